@@ -79,9 +79,14 @@ def success_rate(requests: Column, failed: Column) -> Column:
     return (requests - failed) / F.greatest(requests, F.lit(1)) * 100
 
 
+def mean(col: Column) -> Column:
+    """Mean as a double from the exact sum, so it does not depend on the row order."""
+    return F.try_divide(F.sum(col).cast("double"), F.count(col))
+
+
 def mean_positive(col: Column) -> Column:
     """Mean over values above zero only."""
-    return F.avg(F.when(col > 0, col))
+    return mean(F.when(col > 0, col))
 
 
 def value_bytes(columns: list[str]) -> Column:

@@ -137,7 +137,7 @@ def by_date(entries: DataFrame) -> DataFrame:
             F.sum("record_count").alias("total_records"),
             F.sum("json_size_kb").alias("total_json_kb"),
             F.sum(F.coalesce("compressed_size_kb", "json_size_kb")).alias("total_effective_kb"),
-            F.avg("compression_ratio").alias("avg_compression_ratio"),
+            C.mean(F.col("compression_ratio")).alias("avg_compression_ratio"),
         )
         .orderBy(F.desc("data_extraction"))
     )
@@ -146,10 +146,10 @@ def by_date(entries: DataFrame) -> DataFrame:
 def by_type(entries: DataFrame) -> DataFrame:
     return entries.groupBy("extraction_type").agg(
         F.count(F.lit(1)).alias("extractions_count"),
-        F.avg("json_size_kb").alias("avg_json_size_kb"),
-        F.avg("compressed_size_kb").alias("avg_compressed_size_kb"),
-        F.avg("compression_ratio").alias("avg_compression_ratio"),
-        F.avg("record_count").alias("avg_records_per_extraction"),
+        C.mean(F.col("json_size_kb")).alias("avg_json_size_kb"),
+        C.mean(F.col("compressed_size_kb")).alias("avg_compressed_size_kb"),
+        C.mean(F.col("compression_ratio")).alias("avg_compression_ratio"),
+        C.mean(F.col("record_count")).alias("avg_records_per_extraction"),
     )
 
 
@@ -182,10 +182,13 @@ def running_ratio(entries: DataFrame, order: list[str] | None = None) -> DataFra
             F.array_sort(F.collect_list(F.struct(*order, "ratio"))), lambda e: e["ratio"]
         ).alias("ratios")
     )
+    fold = lambda start: F.aggregate(
+        "ratios", F.lit(start), lambda avg, r: F.when(avg == 0, r).otherwise((avg + r) / 2)
+    )
     in_tail = F.size(F.filter("ratios", lambda r: r != 0))
-    start = F.when(in_tail < nonzero, F.lit(1.0)).otherwise(F.lit(0.0))
-    value = F.aggregate("ratios", start, lambda avg, r: F.when(avg == 0, r).otherwise((avg + r) / 2))
-    return folded.select(value.alias("running_ratio"))
+    return folded.select(
+        F.when(in_tail < nonzero, fold(1.0)).otherwise(fold(0.0)).alias("running_ratio")
+    )
 
 
 def save_metrics(entries: DataFrame) -> DataFrame:

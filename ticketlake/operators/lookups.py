@@ -18,7 +18,7 @@ HOT_SHARE = 0.002
 
 def plan_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of a plan, from file sizes and column widths."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def fits_broadcast(df: DataFrame) -> bool:

@@ -27,10 +27,10 @@ def run_summary(log: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("total_executions"),
         F.count_if(F.col("status") == "success").alias("successful_executions"),
         F.count_if(F.col("status") == "failed").alias("failed_executions"),
-        F.avg("duration_seconds").alias("avg_duration_seconds"),
-        F.avg("total_records_processed").alias("avg_records_processed"),
+        C.mean(F.col("duration_seconds")).alias("avg_duration_seconds"),
+        C.mean(F.col("total_records_processed")).alias("avg_records_processed"),
         F.max("started_at").alias("last_execution"),
-        F.avg(F.when(F.col("json_storage_enabled").cast("int") == 1, F.col("compression_ratio"))).alias(
+        C.mean(F.when(F.col("json_storage_enabled").cast("int") == 1, F.col("compression_ratio"))).alias(
             "avg_compression_ratio"
         ),
     )
@@ -41,7 +41,7 @@ def run_perf(log: DataFrame, as_of: datetime, days: int = 7) -> DataFrame:
     return (
         log.where(F.col("started_at") >= since)
         .groupBy("execution_type")
-        .agg(F.avg("duration_seconds").alias("avg_duration"), F.avg("total_api_requests").alias("avg_requests"))
+        .agg(C.mean(F.col("duration_seconds")).alias("avg_duration"), C.mean(F.col("total_api_requests")).alias("avg_requests"))
     )
 
 

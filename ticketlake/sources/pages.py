@@ -29,22 +29,23 @@ def read_pages(spark: SparkSession, path: str, multi_line: bool = False) -> Data
 def page_coverage(pages: DataFrame, limit: int = PAGE_LIMIT) -> DataFrame:
     """One row: pages, records, highest offset, and whether the pages are complete.
 
-    Complete means every offset up to the last page is there and only the last
-    page is short (an empty last page is how a resource ends).
+    Complete means: every offset up to the last page is there, the last page is
+    short or empty, and no page before the end is short.
     """
     size = F.coalesce(F.size("result"), F.lit(0))
     per_offset = pages.groupBy("offset").agg(F.sum(size).alias("n"))
+    short = F.col("n") < limit
     return per_offset.agg(
         F.count(F.lit(1)).alias("pages"),
         F.coalesce(F.sum("n"), F.lit(0)).alias("records"),
         F.coalesce(F.max("offset"), F.lit(0)).alias("last_offset"),
-        F.count_if(F.col("n") < limit).alias("short_pages"),
         F.max_by("n", "offset").alias("last_page_size"),
+        F.min(F.when(short, F.col("offset"))).alias("first_short_offset"),
     ).withColumn(
         "complete",
         (F.col("pages") == F.floor(F.col("last_offset") / limit) + 1)
-        & (F.col("short_pages") == 1)
-        & (F.col("last_page_size") < limit),
+        & F.when(F.col("last_page_size") == 0, F.col("first_short_offset") >= F.col("last_offset") - limit)
+        .otherwise(F.coalesce(F.col("first_short_offset") == F.col("last_offset"), F.lit(False))),
     )
 
 
@@ -87,11 +88,14 @@ def single_page_scan(
 
 
 def land_pages(records: DataFrame, path: str, offset: str = "offset", column: str = "record") -> None:
-    """Write records (JSON text with their page offset) as page files.
+    """Write records (JSON text with their page offset) as page files, and the empty last page.
 
     A page holds at most one page limit of records, so a group stays small.
     """
     pages = records.groupBy(F.col(offset).alias("offset")).agg(
         F.concat(F.lit('{"result":['), F.array_join(F.collect_list(column), ","), F.lit("]}")).alias("value")
     )
-    pages.write.partitionBy("offset").text(path)
+    last = records.agg((F.max(offset) + PAGE_LIMIT).alias("offset")).select(
+        "offset", F.lit('{"result":[]}').alias("value")
+    )
+    pages.unionByName(last).write.partitionBy("offset").text(path)
