@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ticketlake.schemas import HASH_IGNORED_FIELDS, HASH_IGNORED_PREFIX
 
@@ -18,6 +19,16 @@ def flag(col: Column) -> Column:
     return F.when(col.cast("string").isin("true", "1"), F.lit(1)).otherwise(F.lit(0))
 
 
+def is_set(df: DataFrame, name: str) -> Column:
+    """A flag column of any type as a condition; numbers and booleans stay pushable filters."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, T.BooleanType):
+        return F.col(name)
+    if isinstance(kind, T.NumericType):
+        return F.col(name) == 1
+    return flag(F.col(name)) == 1
+
+
 def hash_fields(columns: list[str]) -> list[str]:
     """Columns the change hash looks at, sorted by name."""
     return sorted(

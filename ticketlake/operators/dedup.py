@@ -7,17 +7,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _first_per_key(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
+def first_per_key(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
+    """One row per key, the first in the given order."""
     window = Window.partitionBy(key).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(window)).where("_rn = 1").drop("_rn")
 
 
 def keep_first(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     """The first row per key in the given order; NULL is one key."""
-    return _first_per_key(df, key, [F.asc(c) for c in order])
+    return first_per_key(df, key, [F.asc(c) for c in order])
 
 
 def last_wins(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     """The last row per key in the given order; rows without a key all stay."""
-    keyed = _first_per_key(df.where(F.col(key).isNotNull()), key, [F.desc(c) for c in order])
+    keyed = first_per_key(df.where(F.col(key).isNotNull()), key, [F.desc(c) for c in order])
     return keyed.unionByName(df.where(F.col(key).isNull()))

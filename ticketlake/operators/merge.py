@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketlake.operators.dedup import last_wins
+from ticketlake.operators.dedup import first_per_key
 from ticketlake.operators.lookups import fits_broadcast
 from ticketlake.schemas import strings
 
@@ -21,18 +21,32 @@ def default_key(df: DataFrame) -> str:
     return "sys_id" if "sys_id" in df.columns else df.columns[0]
 
 
+def split_batch(
+    source: DataFrame, key: str, order: list[str] | None = None, stored_order: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """(last row per key, rows without a key).  Rank columns go unless they are stored."""
+    keyed, loose = source.where(F.col(key).isNotNull()), source.where(F.col(key).isNull())
+    if order:
+        keyed = first_per_key(keyed, key, [F.desc(c) for c in order])
+        if not stored_order:
+            keyed, loose = keyed.drop(*order), loose.drop(*order)
+    return keyed, loose
+
+
 def merge_actions(
     target: DataFrame,
     source: DataFrame,
     key: str | None = None,
     order: list[str] | None = None,
+    stored_order: bool = False,
     small_source: bool | None = None,
 ) -> DataFrame:
     """New state of ``target`` after the upsert, each row tagged with what happened.
 
     Matched rows take every source column, NULLs included; columns only the
     target has keep their value.  Rows without a key are always inserted.
-    ``order`` ranks the copies of a key (the last one wins) and is not stored.
+    ``order`` ranks the copies of a key (the last one wins); rank columns are
+    dropped unless ``stored_order``.
 
     A source small enough to broadcast never shuffles the target: the target is
     read through a map-side join, and new keys are those a narrow key scan does
@@ -40,26 +54,25 @@ def merge_actions(
     row per key there, and rows without a key go around it.
     """
     key = key or default_key(source)
-    order = order or []
-    if order:
-        source = last_wins(source, key, order).drop(*order)
     if small_source is None:
         small_source = fits_broadcast(source)
-    new_columns = [c for c in source.columns if c not in target.columns]
-    target = target.withColumns(
-        {c: F.lit(None).cast(source.schema[c].dataType) for c in new_columns}
-    ) if new_columns else target
-    out_columns = target.columns
+    keyed, loose = split_batch(source, key, order, stored_order)
+    columns = keyed.columns
+    missing = {c: F.lit(None).cast(keyed.schema[c].dataType) for c in columns if c not in target.columns}
+    target = target.withColumns(missing) if missing else target
     types = {f.name: f.dataType for f in target.schema.fields}
 
-    src = source.select(*[F.col(c).cast(types[c]).alias(f"_s_{c}") for c in source.columns])
-    src = src.withColumn("_s", F.lit(True))
-    keyed_src = src.where(F.col(f"_s_{key}").isNotNull())
-    keyed_tgt = target.where(F.col(key).isNotNull()).withColumn("_t", F.lit(True))
-    on = F.col(key) == F.col(f"_s_{key}")
+    def side(rows: DataFrame) -> DataFrame:
+        return rows.select(*[F.col(c).cast(types[c]).alias(f"_s_{c}") for c in columns], F.lit(True).alias("_s"))
 
+    def inserted(rows: DataFrame) -> DataFrame:
+        values = [(F.col(f"_s_{c}") if c in columns else F.lit(None).cast(types[c])).alias(c) for c in target.columns]
+        return rows.select(*values, F.lit("insert").alias(ACTION))
+
+    new, old = side(keyed), target.where(F.col(key).isNotNull()).withColumn("_t", F.lit(True))
+    on = F.col(key) == F.col(f"_s_{key}")
     same = F.lit(True)
-    for c in source.columns:
+    for c in columns:
         same = same & F.col(c).eqNullSafe(F.col(f"_s_{c}"))
     action = (
         F.when(F.col("_t").isNull(), "insert")
@@ -68,32 +81,54 @@ def merge_actions(
         .otherwise("update")
     )
     merged = [
-        F.when(F.col("_s").isNotNull(), F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c)
-        if c in source.columns
-        else F.col(c)
-        for c in out_columns
+        F.when(F.col("_s").isNotNull(), F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c) if c in columns else F.col(c)
+        for c in target.columns
     ]
-    inserted = [
-        (F.col(f"_s_{c}") if c in source.columns else F.lit(None).cast(types[c])).alias(c) for c in out_columns
-    ]
-    inserts = lambda rows: rows.select(*inserted, F.lit("insert").alias(ACTION))
-
     if small_source:
-        state = keyed_tgt.join(keyed_src, on, "left").select(*merged, action.alias(ACTION))
-        known = keyed_tgt.select(key).join(keyed_src.select(f"_s_{key}"), on, "left_semi")
-        fresh = keyed_src.join(known.distinct(), on, "left_anti")
-        state = state.unionByName(inserts(fresh))
+        state = old.join(new, on, "left").select(*merged, action.alias(ACTION))
+        known = old.select(key).join(new.select(f"_s_{key}"), on, "left_semi").distinct()
+        state = state.unionByName(inserted(new.join(known, on, "left_anti")))
     else:
-        state = keyed_tgt.join(keyed_src, on, "full_outer").select(*merged, action.alias(ACTION))
-    loose_src = inserts(src.where(F.col(f"_s_{key}").isNull()))
-    loose_tgt = target.where(F.col(key).isNull()).withColumn(ACTION, F.lit("keep"))
-    return state.unionByName(loose_src).unionByName(loose_tgt)
+        state = old.join(new, on, "full_outer").select(*merged, action.alias(ACTION))
+    without_key = target.where(F.col(key).isNull()).withColumn(ACTION, F.lit("keep"))
+    return state.unionByName(inserted(side(loose))).unionByName(without_key)
 
 
 def merge_upsert(target: DataFrame, source: DataFrame, key: str | None = None, order=None, **kw) -> DataFrame:
     return merge_actions(target, source, key, order, **kw).drop(ACTION)
 
 
+def source_actions(
+    target: DataFrame | None,
+    source: DataFrame,
+    key: str | None = None,
+    order: list[str] | None = None,
+    stored_order: bool = False,
+) -> DataFrame:
+    """The batch itself, last copy per key, each row tagged insert, update or unchanged.
+
+    Of the target only the rows with a key of the batch take part; they are
+    picked by a semi-join, so a small batch does not shuffle the target.
+    """
+    key = key or default_key(source)
+    keyed, loose = split_batch(source, key, order, stored_order)
+    insert = F.lit("insert").alias(ACTION)
+    if target is None:
+        return keyed.unionByName(loose).select("*", insert)
+    columns = keyed.columns
+    compared = [c for c in columns if c in target.columns]
+    as_text = lambda c: F.col(c).cast("string")
+    ids = keyed.select(as_text(key).alias("_id"))
+    known = target.where(F.col(key).isNotNull()).join(ids, as_text(key) == F.col("_id"), "left_semi")
+    known = known.select(*[as_text(c).alias(f"_t_{c}") for c in compared], F.lit(True).alias("_t"))
+    same = F.lit(len(compared) == len(columns))
+    for c in compared:
+        same = same & as_text(c).eqNullSafe(F.col(f"_t_{c}"))
+    action = F.when(F.col("_t").isNull(), "insert").when(same, "unchanged").otherwise("update")
+    joined = keyed.join(known, as_text(key) == F.col(f"_t_{key}"), "left").select(*columns, action.alias(ACTION))
+    return joined.unionByName(loose.select("*", insert))
+
+
 def merge_metrics(actions: DataFrame) -> DataFrame:
     """Counts of one merge: rows written, and how each came about."""
     count = lambda name: F.count_if(F.col(ACTION) == name).alias(name)

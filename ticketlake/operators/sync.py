@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticketlake.functions.columns import flag
+from ticketlake.functions.columns import is_set
 from ticketlake.functions.periods import (
     INACTIVE_LOOKBACK_DAYS,
     SYNC_FALLBACK_DAYS,
@@ -41,7 +41,7 @@ def changed_since(df: DataFrame, watermark: datetime, column: str = "sys_updated
 def active_or_recent(df: DataFrame, as_of: datetime) -> DataFrame:
     """Active rows, and inactive ones updated in the last 30 days, tagged by branch."""
     since = F.lit(as_of).cast("timestamp_ntz") - F.expr(f"INTERVAL '{INACTIVE_LOOKBACK_DAYS}' DAY")
-    active = flag(F.col("active")) == 1
+    active = is_set(df, "active")
     recent = F.col("sys_updated_on").cast("timestamp_ntz") >= since
     return df.where(active | (F.col("active").isNotNull() & ~active & recent)).withColumn(
         "branch", F.when(active, 1).otherwise(2)
@@ -91,8 +91,12 @@ def incremental_sync(
     as_of: datetime,
     order: list[str],
 ) -> tuple[DataFrame, DataFrame]:
-    """(new state, changes): watermark, changed rows since then, normalise, compare, upsert."""
+    """(new state, changes): watermark, changed rows since then, normalise, compare, upsert.
+
+    Of several versions of a row the newest counts; ``order`` columns break ties
+    and are not stored.
+    """
     watermark = last_sync(stored, entity, as_of).first()["last_sync"]
-    recent = last_wins(changed_since(source, watermark), "sys_id", order).drop(*order)
+    recent = last_wins(changed_since(source, watermark), "sys_id", ["sys_updated_on", *order]).drop(*order)
     changes = changed_rows(normalise_reference(recent, entity, as_of), stored)
     return merge_upsert(stored, changes.drop(CHANGE), "sys_id"), changes

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ticketlake.functions.columns import is_set
 from ticketlake.operators.lookups import lookup_join, resolve_roles
 
 # Id column of an incident -> prefix of the columns looked up for it.
@@ -59,11 +60,11 @@ def incident_summary(incident: DataFrame, company: DataFrame, user: DataFrame, *
 
 
 def active_users_with_company(user: DataFrame, company: DataFrame) -> DataFrame:
-    return users_with_company(user, company).where(F.col("active") == 1)
+    return users_with_company(user.where(is_set(user, "active")), company)
 
 
 def customer_companies(company: DataFrame, user: DataFrame) -> DataFrame:
-    return companies_with_stats(company, user).where(F.col("customer") == 1)
+    return companies_with_stats(company.where(is_set(company, "customer")), user)
 
 
 def top_companies(company: DataFrame, user: DataFrame, n: int = 10) -> DataFrame:

@@ -4,16 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ticketlake.functions.columns import flag, not_empty
+from ticketlake.functions.columns import is_set, not_empty
 from ticketlake.functions.periods import in_window
 from ticketlake.operators.normalize import project_schema
 from ticketlake.schemas import COMPANY_TYPES, INCIDENT
 
 
-def incident_scan(records: DataFrame, start, end) -> DataFrame:
-    """Incidents opened in the window, on the fixed 42-column text schema."""
-    return project_schema(in_window(records, "opened_at", start, end), INCIDENT)
+def incident_scan(records: DataFrame, start, end, keep: list[str] | None = None) -> DataFrame:
+    """Incidents opened in the window, on the fixed 42-column text schema.
+
+    ``keep`` names further columns to carry along, such as the page order.
+    """
+    extra = [records.schema[c] for c in keep or [] if c in records.columns]
+    return project_schema(in_window(records, "opened_at", start, end), T.StructType([*INCIDENT.fields, *extra]))
 
 
 def task_scan(records: DataFrame, start, end) -> DataFrame:
@@ -32,7 +37,7 @@ def companies_by_type(company: DataFrame, company_type: str = "customer") -> Dat
     """Active companies of one type."""
     if company_type not in COMPANY_TYPES:
         raise ValueError(f"company type must be one of {COMPANY_TYPES}, not {company_type!r}")
-    return company.where((flag(F.col(company_type)) == 1) & (flag(F.col("active")) == 1))
+    return company.where(is_set(company, company_type) & is_set(company, "active"))
 
 
 def warehouse_scan(spark: SparkSession, source: str) -> DataFrame:

@@ -1,8 +1,9 @@
 """Parquet tables that are replaced, never rewritten in place.
 
 ``<root>/<table>/v<number>`` holds one complete state; the highest number with a
-success marker is current.  ``<root>/<table>/changes/batch=<number>`` holds rows
-that came after it (streaming); a state knows by its number which it contains.
+success marker is current.  ``<root>/<table>/changes/v<number>/batch=<number>``
+holds rows that came after that state (streaming), until they are compacted into
+the next one.
 """
 
 from __future__ import annotations
@@ -10,6 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ticketlake.operators.dedup import last_wins
+from ticketlake.operators.merge import merge_upsert
+
 
 class TableStore:
     def __init__(self, spark: SparkSession, root: str):
@@ -55,20 +59,41 @@ class TableStore:
 
     # -- changes after a state ------------------------------------------------
 
+    def _changes_path(self, table: str) -> str:
+        return f"{self.root}/{table}/changes/v{self.version(table) or 0:012d}"
+
     def write_changes(self, table: str, df: DataFrame, batch: int) -> None:
         """Changes of one batch; writing a batch again replaces it, so replays are safe."""
-        df.write.mode("overwrite").parquet(f"{self.root}/{table}/changes/batch={batch:012d}")
+        df.write.mode("overwrite").parquet(f"{self._changes_path(table)}/batch={batch}")
+
+    def pending(self, table: str) -> list[int]:
+        """Numbers of the change batches the current state does not contain."""
+        path = self._changes_path(table)
+        names = [n for n in self._children(path) if n.startswith("batch=")]
+        return sorted(int(n.split("=")[1]) for n in names if self._complete(f"{path}/{n}"))
 
     def changes(self, table: str, before: int | None = None) -> DataFrame | None:
-        """Changes the current state does not contain yet, with their batch number."""
-        path = f"{self.root}/{table}/changes"
-        since = self.version(table) or 0
-        batches = [
-            n for n in self._children(path)
-            if int(n.split("=")[1]) >= since and (before is None or int(n.split("=")[1]) < before)
-            and self._complete(f"{path}/{n}")
-        ]
+        """Changes since the current state (of batches below ``before``), with their batch number."""
+        path = self._changes_path(table)
+        batches = [n for n in self.pending(table) if before is None or n < before]
         if not batches:
             return None
-        rows = self.spark.read.option("basePath", path).parquet(*[f"{path}/{n}" for n in batches])
+        rows = self.spark.read.option("basePath", path).parquet(*[f"{path}/batch={n}" for n in batches])
         return rows.withColumn("batch", F.col("batch").cast("long"))
+
+
+def current_state(store: TableStore, table: str, key: str = "sys_id") -> DataFrame | None:
+    """The stored state with all later changes applied."""
+    base, changes = store.read(table), store.changes(table)
+    if changes is None:
+        return base
+    if base is None:
+        return last_wins(changes, key, ["batch"]).drop("batch")
+    return merge_upsert(base, changes, key, ["batch"])
+
+
+def compact(store: TableStore, table: str, key: str = "sys_id") -> DataFrame | None:
+    """Fold the changes into a new state."""
+    if not store.pending(table):
+        return store.read(table)
+    return store.publish(table, current_state(store, table, key))
