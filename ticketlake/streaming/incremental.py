@@ -85,8 +85,11 @@ def incremental_stream(
     stored hash and is no change.
     """
     if late_by is not None:
-        hashed = source.withColumn("_hash", C.row_hash([c for c in source.columns if c not in (order or [])]))
-        source = hashed.withWatermark(UPDATED, late_by).dropDuplicatesWithinWatermark(["sys_id", "_hash"]).drop("_hash")
+        tracked = [c for c in source.columns if c not in (order or [])]
+        # A watermark needs a timestamp with time zone; the session runs in UTC.
+        marked = source.withColumns({"_hash": C.row_hash(tracked), "_event": F.col(UPDATED).cast("timestamp")})
+        marked = marked.withWatermark("_event", late_by).dropDuplicatesWithinWatermark(["sys_id", "_hash"])
+        source = marked.drop("_hash", "_event")
 
     def run(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
