@@ -117,8 +117,10 @@ def test_archive_round_trip_keeps_whole_texts(spark, data, tmp_path):
     assert AF.load_latest(spark, entry, root, "2024-01-30") is None
 
 
-def test_archive_files_hold_at_most_one_page(spark, tmp_path):
-    AF.write_files({"t": spark.range(0, 95, 1, 1)}, str(tmp_path), rows_per_file=10)
+def test_archive_files_hold_at_most_one_page(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(AF, "SPLIT_BYTES", 0)  # keep the single partition
+    sizes = AF.write_files(spark, {"t": spark.range(0, 95, 1, 1)}, str(tmp_path), rows_per_file=10)
+    assert sizes.first()["record_count"] == 95
     counts = [len(gzip.open(f).read().splitlines()) for f in Path(tmp_path).rglob("*.gz")]
     assert sorted(counts) == [5] + [10] * 9
 

@@ -34,8 +34,8 @@ def is_valid_date(value: str) -> bool:
 
 def valid_date(col: Column) -> Column:
     """Row-wise form: a real calendar day written as year-month-day."""
-    shape = col.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$")
-    return shape & F.try_to_timestamp(col, F.lit("yyyy-M-d")).isNotNull()
+    shape = col.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$") & ~col.startswith("0000")
+    return shape & col.try_cast("date").isNotNull()
 
 
 def default_window(start=None, end=None, *, as_of: date | datetime) -> tuple[date, date]:

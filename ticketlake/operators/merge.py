@@ -21,15 +21,12 @@ def default_key(df: DataFrame) -> str:
     return "sys_id" if "sys_id" in df.columns else df.columns[0]
 
 
-def split_batch(
-    source: DataFrame, key: str, order: list[str] | None = None, stored_order: bool = False
-) -> tuple[DataFrame, DataFrame]:
-    """(last row per key, rows without a key).  Rank columns go unless they are stored."""
+def split_batch(source: DataFrame, key: str, order: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(last row per key, rows without a key), without the rank columns."""
     keyed, loose = source.where(F.col(key).isNotNull()), source.where(F.col(key).isNull())
     if order:
-        keyed = first_per_key(keyed, key, [F.desc(c) for c in order])
-        if not stored_order:
-            keyed, loose = keyed.drop(*order), loose.drop(*order)
+        keyed = first_per_key(keyed, key, [F.desc(c) for c in order]).drop(*order)
+        loose = loose.drop(*order)
     return keyed, loose
 
 
@@ -38,15 +35,13 @@ def merge_actions(
     source: DataFrame,
     key: str | None = None,
     order: list[str] | None = None,
-    stored_order: bool = False,
     small_source: bool | None = None,
 ) -> DataFrame:
     """New state of ``target`` after the upsert, each row tagged with what happened.
 
     Matched rows take every source column, NULLs included; columns only the
     target has keep their value.  Rows without a key are always inserted.
-    ``order`` ranks the copies of a key (the last one wins); rank columns are
-    dropped unless ``stored_order``.
+    ``order`` ranks the copies of a key (the last one wins) and is not stored.
 
     A source small enough to broadcast never shuffles the target: the target is
     read through a map-side join, and new keys are those a narrow key scan does
@@ -56,7 +51,7 @@ def merge_actions(
     key = key or default_key(source)
     if small_source is None:
         small_source = fits_broadcast(source)
-    keyed, loose = split_batch(source, key, order, stored_order)
+    keyed, loose = split_batch(source, key, order)
     columns = keyed.columns
     missing = {c: F.lit(None).cast(keyed.schema[c].dataType) for c in columns if c not in target.columns}
     target = target.withColumns(missing) if missing else target
@@ -99,11 +94,7 @@ def merge_upsert(target: DataFrame, source: DataFrame, key: str | None = None, o
 
 
 def source_actions(
-    target: DataFrame | None,
-    source: DataFrame,
-    key: str | None = None,
-    order: list[str] | None = None,
-    stored_order: bool = False,
+    target: DataFrame | None, source: DataFrame, key: str | None = None, order: list[str] | None = None
 ) -> DataFrame:
     """The batch itself, last copy per key, each row tagged insert, update or unchanged.
 
@@ -111,7 +102,7 @@ def source_actions(
     picked by a semi-join, so a small batch does not shuffle the target.
     """
     key = key or default_key(source)
-    keyed, loose = split_batch(source, key, order, stored_order)
+    keyed, loose = split_batch(source, key, order)
     insert = F.lit("insert").alias(ACTION)
     if target is None:
         return keyed.unionByName(loose).select("*", insert)

@@ -9,6 +9,7 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +21,7 @@ from ticketlake.operators.lookups import plan_bytes
 from ticketlake.operators.normalize import add_row_hash, audit_stamp, normalize_flags, with_reject_reasons
 from ticketlake.operators.sync import incremental_sync, reference_full_scan
 from ticketlake.schemas import TYPED_TABLES
+from ticketlake.session import together
 from ticketlake.sources import archive_files, scans
 from ticketlake.sources.tables import TableStore, current_state
 
@@ -74,15 +76,21 @@ def land(run: Run, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     in the landing area with its reason and is not loaded.  Rows are counted
     while they are written.
     """
-    landed = {}
-    for name, df in tables.items():
-        checked = with_reject_reasons(df, name) if name in TYPED_TABLES else df.withColumn(REASON, F.lit(None).cast("string"))
+
+    def write(name: str, df: DataFrame) -> tuple[DataFrame, dict]:
+        if name in TYPED_TABLES:
+            df = with_reject_reasons(df, name)
+        else:
+            df = df.withColumn(REASON, F.lit(None).cast("string"))
         seen = Observation()
         counts = [F.count(F.lit(1)).alias("rows"), F.count(REASON).alias("rejected")]
-        rows = run.landing.publish(name, checked.observe(seen, *counts))
+        return run.landing.publish(name, df.observe(seen, *counts)), seen.get
+
+    landed = {}
+    for name, (rows, seen) in together({n: partial(write, n, df) for n, df in tables.items()}).items():
         landed[name] = rows.where(F.col(REASON).isNull()).drop(REASON)
-        run.counts[name] = run.counts.get(name, 0) + seen.get["rows"]
-        run.rejected += seen.get["rejected"]
+        run.counts[name] = run.counts.get(name, 0) + seen["rows"]
+        run.rejected += seen["rejected"]
     return landed
 
 
@@ -93,28 +101,28 @@ def rejects(run: Run, name: str) -> DataFrame:
 
 def save(run: Run, tables: dict[str, DataFrame]) -> None:
     """Upsert every non-empty table."""
-    for name, batch in tables.items():
-        if run.counts.get(name):
-            _upsert(run, name, batch)
+    filled = {name: batch for name, batch in tables.items() if run.counts.get(name)}
+    run.merged.update(together({name: partial(_upsert, run, name, batch) for name, batch in filled.items()}))
 
 
-def _upsert(run: Run, name: str, batch: DataFrame) -> None:
+def _upsert(run: Run, name: str, batch: DataFrame) -> dict[str, int]:
     """One table; what the merge did is counted while it is written.
 
     The first batch is the table.  A batch that is small beside the table is
     written as changes to it, and the table itself is rewritten only now and then.
     """
     store = run.store
-    # Rows are applied in order, so the last copy of a key wins; without a rank
-    # column the greatest row stands for the last one.
+    # Rows are applied in order, so the last copy of a key wins.  Without a rank
+    # column there is no last one; a hash of the row picks the same copy each time.
     order = [c for c in run.order if c in batch.columns]
-    rank = {"order": order or batch.columns, "stored_order": not order}
+    if not order:
+        batch, order = batch.withColumn("_rank", F.xxhash64(*batch.columns)), ["_rank"]
     columns = set(batch.columns) - set(order)
     base, pending = store.read(name), store.pending(name)
     action, seen = F.col(M.ACTION), Observation()
     counts = [F.count_if(action == a).alias(a) for a in ("insert", "update", "unchanged")]
     if base is None and not pending:
-        rows = M.source_actions(None, batch, **rank).observe(seen, *counts).drop(M.ACTION)
+        rows = M.source_actions(None, batch, order=order).observe(seen, *counts).drop(M.ACTION)
         store.publish(name, rows.select(*[F.col(c).cast("string").alias(c) for c in rows.columns]))
     elif (
         base is not None
@@ -123,13 +131,13 @@ def _upsert(run: Run, name: str, batch: DataFrame) -> None:
         and (not pending or columns == set(store.changes(name).columns) - {"batch"})
         and plan_bytes(batch) * REWRITE_SHARE < plan_bytes(base)
     ):
-        rows = M.source_actions(current_state(store, name), batch, **rank).observe(seen, *counts)
+        rows = M.source_actions(current_state(store, name), batch, order=order).observe(seen, *counts)
         changed = rows.where(action != "unchanged").drop(M.ACTION)
         store.write_changes(name, changed, pending[-1] + 1 if pending else 0)
     else:
-        state = M.merge_actions(current_state(store, name), batch, **rank).observe(seen, *counts)
+        state = M.merge_actions(current_state(store, name), batch, order=order).observe(seen, *counts)
         store.publish(name, state.drop(M.ACTION))
-    run.merged[name] = dict(seen.get)
+    return dict(seen.get)
 
 
 def load_reference(run: Run, resources: dict[str, DataFrame]) -> Run:

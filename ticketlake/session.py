@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
@@ -34,6 +36,16 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def together(jobs: dict[str, Callable[[], object]]) -> dict[str, object]:
+    """Run independent Spark jobs side by side, so that one's last tasks do not idle the cluster.
+
+    All are waited for; the first failure is raised afterwards.
+    """
+    with ThreadPoolExecutor(max_workers=max(len(jobs), 1)) as pool:
+        running = {name: pool.submit(job) for name, job in jobs.items()}
+    return {name: job.result() for name, job in running.items()}
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder name under the cluster's shared checkpoint folder.
 

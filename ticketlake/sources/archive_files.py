@@ -9,25 +9,47 @@ from __future__ import annotations
 import uuid
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ticketlake.functions.periods import to_day
 from ticketlake.operators.archive import entry_sizes, record_json
+from ticketlake.operators.lookups import plan_bytes
 from ticketlake.schemas import PAGE_LIMIT
+from ticketlake.session import together
 
+SPLIT_BYTES = 128 * 1024 * 1024
 
-def write_files(tables: dict[str, DataFrame], path: str, rows_per_file: int = PAGE_LIMIT) -> None:
-    """Write every table's records; the JVM compresses while it writes."""
-    for name, df in tables.items():
-        (
-            record_json(df)
-            .write.mode("overwrite")
-            .option("compression", "gzip")
-            .option("zlib.compress.level", "BEST_COMPRESSION")
-            .option("maxRecordsPerFile", rows_per_file)
-            .text(f"{path}/table={name}")
-        )
+
+def _write_table(df: DataFrame, path: str, rows_per_file: int) -> dict[str, int]:
+    records = record_json(df)
+    # Compressing is the work here.  Data of less than one input split per core
+    # is spread over the cores first; larger data already is.
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if plan_bytes(df) < cores * SPLIT_BYTES:
+        records = records.repartition(cores)
+    seen = Observation()
+    records.observe(
+        seen, F.count(F.lit(1)).alias("record_count"), F.sum(F.octet_length("record")).alias("json_bytes")
+    ).write.mode("overwrite").option("compression", "gzip").option("zlib.compress.level", "BEST_COMPRESSION").option(
+        "maxRecordsPerFile", rows_per_file
+    ).text(path)
+    return seen.get
+
+
+def write_files(
+    spark: SparkSession, tables: dict[str, DataFrame], path: str, rows_per_file: int = PAGE_LIMIT
+) -> DataFrame:
+    """Write every table's records; the JVM compresses while it writes.
+
+    Returns (table, record_count, json_bytes), counted while writing.
+    """
+    seen = together({
+        name: lambda df=df, name=name: _write_table(df, f"{path}/table={name}", rows_per_file)
+        for name, df in tables.items()
+    })
+    rows = [(name, s["record_count"], s["json_bytes"] or 0) for name, s in seen.items()]
+    return spark.createDataFrame(rows, "table STRING, record_count BIGINT, json_bytes BIGINT")
 
 
 def read_files(spark: SparkSession, path: str, table: str | None = None) -> DataFrame:
@@ -50,18 +72,6 @@ def file_sizes(spark: SparkSession, path: str) -> DataFrame:
     return files.groupBy(table.alias("table")).agg(F.sum("length").alias("compressed_bytes"))
 
 
-def raw_sizes(tables: dict[str, DataFrame]) -> DataFrame:
-    """Records and JSON bytes per table, before compression."""
-    out = None
-    for name, df in tables.items():
-        row = record_json(df).agg(
-            F.count(F.lit(1)).alias("record_count"),
-            F.coalesce(F.sum(F.octet_length("record")), F.lit(0)).alias("json_bytes"),
-        ).select(F.lit(name).alias("table"), "record_count", "json_bytes")
-        out = row if out is None else out.unionByName(row)
-    return out
-
-
 def save_entry(
     spark: SparkSession,
     tables: dict[str, DataFrame],
@@ -78,8 +88,7 @@ def save_entry(
     """Write one extraction and return its entry row (not yet listed anywhere)."""
     entry_id = entry_id or uuid.uuid4().hex
     path = f"{root}/{entry_id}"
-    write_files(tables, path)
-    sizes = raw_sizes(tables).join(file_sizes(spark, path), "table", "left")
+    sizes = write_files(spark, tables, path).join(file_sizes(spark, path), "table", "left")
     total = sizes.agg(
         F.sum("record_count").alias("record_count"),
         F.sum("json_bytes").alias("json_bytes"),

@@ -248,8 +248,8 @@ def profile(d: Data):
 def archive_write(d: Data):
     path = scratch_dir(d.spark, "archive")
     tables = archived_tables(d)
-    archive_files.write_files(tables, path)
-    sizes = archive_files.raw_sizes(tables).join(archive_files.file_sizes(d.spark, path), "table", "left")
+    sizes = archive_files.write_files(d.spark, tables, path)
+    sizes = sizes.join(archive_files.file_sizes(d.spark, path), "table", "left")
     return sizes.select(
         F.col("table").alias("table_name"), "record_count", "json_bytes",
         (F.col("compressed_bytes") < F.col("json_bytes")).alias("is_smaller"),
