@@ -30,7 +30,7 @@ def plain(value):
     if isinstance(value, Decimal):
         return f"decimal {value}"  # decimals must not leave a query: the engines type them differently
     if isinstance(value, float):
-        return "nan" if math.isnan(value) else float(f"{value:.12g}")
+        return "nan" if math.isnan(value) else value
     if isinstance(value, (datetime, date)):
         return value.isoformat()
     return value

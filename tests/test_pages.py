@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from ticketlake.sources import pages as P
@@ -31,6 +32,20 @@ def test_missing_or_cut_pages_are_an_error(spark, tmp_path, sizes, skip):
         P.paged_scan(spark, land(tmp_path, sizes, skip=skip), limit=3)
 
 
+def test_coverage_is_gathered_while_the_records_are_read(spark, tmp_path):
+    for name, skip in (("whole", ()), ("cut", (1,))):
+        folder, seen = tmp_path / name, Observation()
+        folder.mkdir()
+        records = P.paged_scan(spark, land(folder, [3, 3, 2], skip=skip), limit=3, coverage=seen)
+        records.write.format("noop").mode("overwrite").save()
+        if skip:
+            with pytest.raises(P.MissingPages):
+                P.assert_complete(seen.get, limit=3)
+        else:
+            P.assert_complete(seen.get, limit=3)
+            assert seen.get["records"] == 8
+
+
 def test_broken_page_is_an_error(spark, tmp_path):
     path = land(tmp_path, [3, 1])
     (tmp_path / "offset=3" / "page.json").write_text('{"result": [{"sys_id": "cut')

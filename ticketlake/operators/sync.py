@@ -65,8 +65,12 @@ def reference_full_scan(df: DataFrame, entity: str, as_of: datetime, order: list
 
 
 def reference_by_ids(df: DataFrame, ids: DataFrame) -> DataFrame:
-    """Only the rows whose id is listed (first column of ``ids``)."""
-    return lookup_join(df, ids.select(F.col(ids.columns[0]).alias("_wanted")), "sys_id", "_wanted", "left_semi")
+    """Only the rows whose id is listed (first column of ``ids``).
+
+    Ids are made unique before the join; the resource has one row per id.
+    """
+    wanted = ids.select(F.col(ids.columns[0]).alias("_wanted")).where(F.col("_wanted").isNotNull()).distinct()
+    return df.join(wanted, F.col("sys_id") == F.col("_wanted"), "left_semi")
 
 
 def changed_rows(incoming: DataFrame, stored: DataFrame | None, key: str = "sys_id") -> DataFrame:

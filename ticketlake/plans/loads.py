@@ -23,6 +23,7 @@ from ticketlake.operators.sync import incremental_sync, reference_full_scan
 from ticketlake.schemas import TYPED_TABLES
 from ticketlake.session import together
 from ticketlake.sources import archive_files, scans
+from ticketlake.sources.pages import assert_complete
 from ticketlake.sources.tables import TableStore, current_state
 
 # A batch becomes a change set if the table is this many times its size, until
@@ -47,6 +48,7 @@ class Run:
     as_of: datetime
     json_storage: bool = False
     order: list[str] = field(default_factory=list)  # columns that rank the copies of a record
+    coverage: dict[str, Observation] = field(default_factory=dict)  # page checks of paged resources
     execution_id: str = field(default_factory=lambda: str(uuid.uuid4()))
     counts: dict[str, int] = field(default_factory=dict)
     merged: dict[str, dict[str, int]] = field(default_factory=dict)
@@ -84,7 +86,10 @@ def land(run: Run, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
             df = df.withColumn(REASON, F.lit(None).cast("string"))
         seen = Observation()
         counts = [F.count(F.lit(1)).alias("rows"), F.count(REASON).alias("rejected")]
-        return run.landing.publish(name, df.observe(seen, *counts)), seen.get
+        rows = run.landing.publish(name, df.observe(seen, *counts))
+        if name in run.coverage:
+            assert_complete(run.coverage[name].get)
+        return rows, seen.get
 
     landed = {}
     for name, (rows, seen) in together({n: partial(write, n, df) for n, df in tables.items()}).items():

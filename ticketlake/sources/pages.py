@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ticketlake.schemas import PAGE_LIMIT
@@ -26,27 +26,29 @@ def read_pages(spark: SparkSession, path: str, multi_line: bool = False) -> Data
     )
 
 
-def page_coverage(pages: DataFrame, limit: int = PAGE_LIMIT) -> DataFrame:
-    """One row: pages, records, highest offset, and whether the pages are complete.
-
-    Complete means: every offset up to the last page is there, the last page is
-    short or empty, and no page before the end is short.
-    """
-    size = F.coalesce(F.size("result"), F.lit(0))
-    per_offset = pages.groupBy("offset").agg(F.sum(size).alias("n"))
-    short = F.col("n") < limit
-    return per_offset.agg(
+def _coverage(size, limit: int) -> list:
+    short = size < limit
+    return [
         F.count(F.lit(1)).alias("pages"),
-        F.coalesce(F.sum("n"), F.lit(0)).alias("records"),
-        F.coalesce(F.max("offset"), F.lit(0)).alias("last_offset"),
-        F.max_by("n", "offset").alias("last_page_size"),
+        F.sum(size).alias("records"),
+        F.max("offset").alias("last_offset"),
+        F.max_by(size, F.col("offset")).alias("last_page_size"),
         F.min(F.when(short, F.col("offset"))).alias("first_short_offset"),
-    ).withColumn(
-        "complete",
-        (F.col("pages") == F.floor(F.col("last_offset") / limit) + 1)
-        & F.when(F.col("last_page_size") == 0, F.col("first_short_offset") >= F.col("last_offset") - limit)
-        .otherwise(F.coalesce(F.col("first_short_offset") == F.col("last_offset"), F.lit(False))),
-    )
+    ]
+
+
+def page_coverage(pages: DataFrame, limit: int = PAGE_LIMIT) -> DataFrame:
+    """One row: pages, records, highest offset, size of the last page, first short page."""
+    return pages.agg(*_coverage(F.coalesce(F.size("result"), F.lit(0)), limit))
+
+
+def assert_complete(found: dict, limit: int = PAGE_LIMIT) -> None:
+    """Every offset up to the last page is there once, the last page is short or
+    empty, and no page before the end is short."""
+    last, short = found["last_offset"], found["first_short_offset"]
+    ends_at = last - limit if found["last_page_size"] == 0 else last
+    if last is None or found["pages"] != last // limit + 1 or short is None or short < max(ends_at, 0):
+        raise MissingPages(str(found))
 
 
 def split_records(pages: DataFrame, column: str = "result") -> DataFrame:
@@ -68,14 +70,23 @@ def parse_envelope(texts: DataFrame, column: str = "page") -> DataFrame:
 
 
 def paged_scan(
-    spark: SparkSession, path: str, limit: int = PAGE_LIMIT, check: bool = True, multi_line: bool = False
+    spark: SparkSession,
+    path: str,
+    limit: int = PAGE_LIMIT,
+    coverage: Observation | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
-    """All records of a resource as (offset, position, record)."""
+    """All records of a resource as (offset, position, record).
+
+    The pages are checked for completeness.  With ``coverage`` that costs no
+    pass of its own: the numbers are gathered while the records are first
+    written, and the caller hands them to ``assert_complete`` afterwards.
+    """
     pages = read_pages(spark, path, multi_line)
-    if check:
-        found = page_coverage(pages, limit).first()
-        if not found["complete"]:
-            raise MissingPages(f"{path}: {found.asDict()}")
+    if coverage is None:
+        assert_complete(page_coverage(pages, limit).first().asDict(), limit)
+    else:
+        pages = pages.observe(coverage, *_coverage(F.coalesce(F.size("result"), F.lit(0)), limit))
     return split_records(pages)
 
 
