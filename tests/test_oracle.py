@@ -16,6 +16,9 @@ def con():
 def test_query_agrees_with_sql(spark, con, name):
     df = entry.queries()[name](spark, SF_DIR)
     assert compare(df, con, entry.oracle_sql()[name]) is None
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for node in ("Python", "MapInArrow", "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert node not in plan  # everything runs in the JVM, nothing multiplies tables
 
 
 def test_childless_companies_exist_at_the_next_scale(spark):

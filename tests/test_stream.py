@@ -60,6 +60,19 @@ def test_stream_ends_where_the_batch_ends(spark, store, tmp_path, late_by):
     assert rows(current_state(store, "user").select(*SHOWN)) == want
 
 
+def test_many_small_batches_with_compaction(spark, store, tmp_path):
+    want = expected(spark, store)
+    folder = str(tmp_path / "in")
+    for n in range(len(FILES)):
+        write(spark, folder, n)
+    source = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(folder)
+    incremental_stream(
+        source, store, "user", "user", str(tmp_path / "checkpoint"), lambda: AS_OF, ["seq"], compact_every=2
+    ).awaitTermination()
+    assert store.version("user") == 2 and len(store.pending("user")) == 1
+    assert rows(current_state(store, "user").select(*SHOWN)) == want
+
+
 def test_replayed_batch_replaces_its_changes(spark, store):
     def apply(n, batch_id):
         apply_batch(spark.createDataFrame(FILES[n], SCHEMA), batch_id, store, "user", "user", AS_OF, ["seq"])

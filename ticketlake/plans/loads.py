@@ -128,7 +128,8 @@ def _upsert(run: Run, name: str, batch: DataFrame) -> dict[str, int]:
     counts = [F.count_if(action == a).alias(a) for a in ("insert", "update", "unchanged")]
     if base is None and not pending:
         rows = M.source_actions(None, batch, order=order).observe(seen, *counts).drop(M.ACTION)
-        store.publish(name, rows.select(*[F.col(c).cast("string").alias(c) for c in rows.columns]))
+        rows = rows.select(*[F.col(c).cast("string").alias(c) for c in rows.columns])
+        store.publish(name, rows, INCIDENT_TABLES.get(name))
     elif (
         base is not None
         and len(pending) < MAX_PENDING
@@ -141,7 +142,7 @@ def _upsert(run: Run, name: str, batch: DataFrame) -> dict[str, int]:
         store.write_changes(name, changed, pending[-1] + 1 if pending else 0)
     else:
         state = M.merge_actions(current_state(store, name), batch, order=order).observe(seen, *counts)
-        store.publish(name, state.drop(M.ACTION))
+        store.publish(name, state.drop(M.ACTION), INCIDENT_TABLES.get(name))
     return dict(seen.get)
 
 

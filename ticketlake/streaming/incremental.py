@@ -8,6 +8,7 @@ not depend on how the input is cut into batches.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -17,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ticketlake.functions import columns as C
 from ticketlake.operators.dedup import last_wins
 from ticketlake.operators.sync import normalise_reference
-from ticketlake.sources.tables import TableStore
+from ticketlake.sources.tables import TableStore, compact
 
 UPDATED = "sys_updated_on"
 
@@ -73,11 +74,17 @@ def incremental_stream(
     table: str,
     entity: str,
     checkpoint: str,
-    as_of: datetime,
+    as_of: datetime | Callable[[], datetime],
     order: list[str] | None = None,
     late_by: str | None = None,
+    compact_every: int | None = None,
+    trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Start the sync of a streaming source and stop when the input is used up.
+    """Start the sync of a streaming source; by default it stops when the input is used up.
+
+    ``as_of`` is the load time of the rows (a function is asked once per batch).
+    ``compact_every`` folds the change batches into the table when that many have
+    piled up; without it the caller compacts.
 
     ``late_by`` (such as the overlap of the batch sync, ``1 hour``) drops repeated
     rows before they reach the comparison, with a watermark; rows later than that
@@ -94,13 +101,16 @@ def incremental_stream(
     def run(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            apply_batch(batch, batch_id, store, table, entity, as_of, order or [])
+            now = as_of() if callable(as_of) else as_of
+            apply_batch(batch, batch_id, store, table, entity, now, order or [])
         finally:
             batch.unpersist()
+        if compact_every and len(store.pending(table)) >= compact_every:
+            compact(store, table)
 
     return (
         source.writeStream.foreachBatch(run)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
