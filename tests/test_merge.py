@@ -1,9 +1,11 @@
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
+from ticketlake.functions import columns as C
 from ticketlake.operators import dedup, merge
 
 TARGET = [("a", "1", "keep"), ("b", "2", "keep"), ("c", "3", "keep"), (None, "9", "loose")]
@@ -69,6 +71,22 @@ def test_random_batches_like_a_row_by_row_upsert(spark):
         target = spark.createDataFrame(target.collect(), target.schema)
 
 
+@pytest.mark.parametrize("small", [True, False])
+def test_wide_hashed_batches_plan_quickly(spark, small):
+    """48 columns under a hash of all of them: planning must not grow with every mix of names."""
+    wide = spark.range(20).select(
+        F.col("id").cast("string").alias("sys_id"), *[F.col("id").alias(f"c{i}") for i in range(47)], F.col("id").alias("seq")
+    )
+    hashed = wide.withColumn("etl_hash", C.row_hash(wide.columns))
+    text = hashed.drop("seq").where("sys_id < 15").select(*[F.col(c).cast("string") for c in hashed.columns if c != "seq"])
+    start = time.time()
+    actions = merge.merge_actions(text, hashed, order=["seq"], small_source=small)
+    assert rows(actions.groupBy("merge_action").count()) == [("insert", 5), ("unchanged", 15)]
+    batch = merge.source_actions(text, hashed, order=["seq"])
+    assert rows(batch.groupBy("merge_action").count()) == [("insert", 5), ("unchanged", 15)]
+    assert time.time() - start < 90
+
+
 def test_source_actions_and_metrics(spark):
     target, source = frames(spark)
     source = source.drop("only_source")

@@ -57,18 +57,24 @@ def merge_actions(
     target = target.withColumns(missing) if missing else target
     types = {f.name: f.dataType for f in target.schema.fields}
 
+    # The source row travels as one struct.  Renaming its columns one by one above
+    # a hash of all of them would make the optimiser derive a constraint for every
+    # mix of old and new names.
     def side(rows: DataFrame) -> DataFrame:
-        return rows.select(*[F.col(c).cast(types[c]).alias(f"_s_{c}") for c in columns], F.lit(True).alias("_s"))
+        row = F.struct(*[F.col(c).cast(types[c]).alias(c) for c in columns])
+        return rows.select(F.col(key).cast(types[key]).alias("_s_key"), row.alias("_s"))
 
     def inserted(rows: DataFrame) -> DataFrame:
-        values = [(F.col(f"_s_{c}") if c in columns else F.lit(None).cast(types[c])).alias(c) for c in target.columns]
+        values = [
+            (F.col("_s").getField(c) if c in columns else F.lit(None).cast(types[c])).alias(c) for c in target.columns
+        ]
         return rows.select(*values, F.lit("insert").alias(ACTION))
 
     new, old = side(keyed), target.where(F.col(key).isNotNull()).withColumn("_t", F.lit(True))
-    on = F.col(key) == F.col(f"_s_{key}")
+    on = F.col(key) == F.col("_s_key")
     same = F.lit(True)
     for c in columns:
-        same = same & F.col(c).eqNullSafe(F.col(f"_s_{c}"))
+        same = same & F.col(c).eqNullSafe(F.col("_s").getField(c))
     action = (
         F.when(F.col("_t").isNull(), "insert")
         .when(F.col("_s").isNull(), "keep")
@@ -76,12 +82,14 @@ def merge_actions(
         .otherwise("update")
     )
     merged = [
-        F.when(F.col("_s").isNotNull(), F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c) if c in columns else F.col(c)
+        F.when(F.col("_s").isNotNull(), F.col("_s").getField(c)).otherwise(F.col(c)).alias(c)
+        if c in columns
+        else F.col(c)
         for c in target.columns
     ]
     if small_source:
         state = old.join(new, on, "left").select(*merged, action.alias(ACTION))
-        known = old.select(key).join(new.select(f"_s_{key}"), on, "left_semi").distinct()
+        known = old.select(key).join(new.select("_s_key"), on, "left_semi").distinct()
         state = state.unionByName(inserted(new.join(known, on, "left_anti")))
     else:
         state = old.join(new, on, "full_outer").select(*merged, action.alias(ACTION))

@@ -118,10 +118,10 @@ def _upsert(run: Run, name: str, batch: DataFrame) -> dict[str, int]:
     """
     store = run.store
     # Rows are applied in order, so the last copy of a key wins.  Without a rank
-    # column there is no last one; a hash of the row picks the same copy each time.
+    # column the place in the landed files, which stay as they are, is the order.
     order = [c for c in run.order if c in batch.columns]
     if not order:
-        batch, order = batch.withColumn("_rank", F.xxhash64(*batch.columns)), ["_rank"]
+        batch, order = batch.withColumn("_rank", F.monotonically_increasing_id()), ["_rank"]
     columns = set(batch.columns) - set(order)
     base, pending = store.read(name), store.pending(name)
     action, seen = F.col(M.ACTION), Observation()
