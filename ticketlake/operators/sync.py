@@ -88,19 +88,21 @@ def changed_rows(incoming: DataFrame, stored: DataFrame | None, key: str = "sys_
     )
 
 
-def incremental_sync(
-    source: DataFrame,
-    stored: DataFrame,
-    entity: str,
-    as_of: datetime,
-    order: list[str],
-) -> tuple[DataFrame, DataFrame]:
-    """(new state, changes): watermark, changed rows since then, normalise, compare, upsert.
+def incremental_changes(
+    source: DataFrame, stored: DataFrame, entity: str, as_of: datetime, order: list[str]
+) -> DataFrame:
+    """Rows to upsert: updated since the watermark, newest version per id, normalised, really changed.
 
-    Of several versions of a row the newest counts; ``order`` columns break ties
-    and are not stored.
+    ``order`` columns break ties between versions and are not stored.
     """
     watermark = last_sync(stored, entity, as_of).first()["last_sync"]
     recent = last_wins(changed_since(source, watermark), "sys_id", ["sys_updated_on", *order]).drop(*order)
-    changes = changed_rows(normalise_reference(recent, entity, as_of), stored)
+    return changed_rows(normalise_reference(recent, entity, as_of), stored)
+
+
+def incremental_sync(
+    source: DataFrame, stored: DataFrame, entity: str, as_of: datetime, order: list[str]
+) -> tuple[DataFrame, DataFrame]:
+    """(new state, changes): the changes and the upsert of them."""
+    changes = incremental_changes(source, stored, entity, as_of, order)
     return merge_upsert(stored, changes.drop(CHANGE), "sys_id"), changes

@@ -19,7 +19,7 @@ from ticketlake.operators import merge as M
 from ticketlake.operators.archive import replace_slice
 from ticketlake.operators.lookups import plan_bytes
 from ticketlake.operators.normalize import add_row_hash, audit_stamp, normalize_flags, with_reject_reasons
-from ticketlake.operators.sync import incremental_sync, reference_full_scan
+from ticketlake.operators.sync import CHANGE, incremental_changes, reference_full_scan
 from ticketlake.schemas import TYPED_TABLES
 from ticketlake.session import together
 from ticketlake.sources import archive_files, scans
@@ -237,8 +237,8 @@ def sync_reference(run: Run, resources: dict[str, DataFrame], full: bool = False
             load_reference(run, {name: resources[name]})
             continue
         order = [c for c in run.order if c in resources[name].columns]
-        _, changes = incremental_sync(resources[name], stored, name, run.as_of, order)
-        save(run, land(run, {name: changes.drop("change_type")}))
+        changes = incremental_changes(resources[name], stored, name, run.as_of, order)
+        save(run, land(run, {name: changes.drop(CHANGE)}))
     return run
 
 
