@@ -5,6 +5,7 @@ import pytest
 import __spark_entry__ as entry
 from tests.conftest import SF_DIR
 from tests.oracle_check import compare, connect
+from ticketlake_queries.registry import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -12,7 +13,7 @@ def con():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_agrees_with_sql(spark, con, name):
     df = entry.queries()[name](spark, SF_DIR)
     assert compare(df, con, entry.oracle_sql()[name]) is None
