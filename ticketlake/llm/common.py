@@ -28,3 +28,16 @@ def text_of(name: str = "text") -> Column:
 def col(name: str) -> Column:
     """A top-level column, whatever characters its name holds."""
     return F.col(f"`{name}`")
+
+
+def spread_join(left: DataFrame, right: DataFrame, on: str, how: str = "inner") -> DataFrame:
+    """Join a table that may hold hot keys with an aggregate that has one row per key.
+
+    The aggregate already lies by its key, so Spark would join it in place and
+    leave all rows of a hot key to one task.  A second key, a hash of the first,
+    asks for a new exchange on both sides, and partitions that come from plain
+    exchanges are what AQE splits when they are skewed.
+    """
+    extra = F.xxhash64(col(on))
+    a, b = left.withColumn("_spread", extra), right.withColumn("_spread", extra)
+    return a.join(b, [on, "_spread"], how).drop("_spread")

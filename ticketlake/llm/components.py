@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticketlake.llm.common import settle
+from ticketlake.llm.common import settle, spread_join
 
 
 def _mark(edges: DataFrame) -> tuple[int, int]:
@@ -22,13 +22,13 @@ def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is linked with the smallest node around it."""
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("low")).select("u", F.least("u", "low").alias("m"))
-    return both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    return spread_join(both, least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """A node and its smaller neighbours are linked with the smallest of them; edges run from larger to smaller."""
     least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    joined = edges.join(least, "u")
+    joined = spread_join(edges, least, "u")
     return joined.select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v"))).where(
         "u <> v"
     ).distinct()

@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ticketlake.llm.common import col, settle, text_of
+from ticketlake.llm.common import col, settle, spread_join, text_of
 from ticketlake.llm.components import components
 
 WIDTH = 5
@@ -204,7 +204,7 @@ def hidden_pairs(members: DataFrame, nodes: DataFrame, found: DataFrame, hashes:
         "bucket", "set_key", F.coalesce("component", "set_key").alias("component")
     )
     mixed = labelled.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
-    rows = settle(labelled.join(mixed.select("bucket"), "bucket", "left_semi"), "mixed")
+    rows = settle(spread_join(labelled, mixed.select("bucket"), "bucket"), "mixed")
     per = rows.groupBy("bucket", "component").agg(F.count("*").alias("n"))
     shape = per.groupBy("bucket").agg(
         F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("members")
@@ -214,7 +214,7 @@ def hidden_pairs(members: DataFrame, nodes: DataFrame, found: DataFrame, hashes:
         F.ceil(F.col("members") / BLOCK).cast("int").alias("across"),
         F.ceil((F.col("members") - F.col("top.n")) / BLOCK).cast("int").alias("down"),
     )
-    held = rows.join(shape, "bucket").join(nodes.select("set_key", "signature"), "set_key")
+    held = spread_join(rows, shape, "bucket").join(nodes.select("set_key", "signature"), "set_key")
     place = lambda n: F.pmod(F.xxhash64("set_key"), F.col(n)).cast("int")
     base = held.withColumn("i", place("across")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("down") - 1)))
     asked = (
@@ -270,7 +270,7 @@ def near_dedup(
     )
     buckets = nodes.select("set_key", bucket.alias("bucket"))
     shared = buckets.groupBy("bucket").agg(F.min("set_key").alias("low"), F.max("set_key").alias("high")).where("low <> high")
-    members = settle(buckets.join(shared, "bucket"), "members")
+    members = settle(spread_join(buckets, shared, "bucket"), "members")
     first = (
         members.select(F.col("low").alias("a"), F.col("set_key").alias("b"))
         .union(members.select(F.col("set_key").alias("a"), F.col("high").alias("b")))
@@ -287,8 +287,8 @@ def near_dedup(
     labels = nodes.select("set_key", "min_id").join(found, F.col("set_key") == F.col("node"), "left")
     labels = labels.select("set_key", "min_id", F.coalesce("component", "set_key").alias("component"))
     least = labels.groupBy("component").agg(F.min("min_id").alias("component_id"))
-    named = labels.join(least, "component").select("set_key", "component_id")
-    out = docs.join(named, "set_key", "left").withColumn(
+    named = spread_join(labels, least, "component").select("set_key", "component_id")
+    out = spread_join(docs, named, "set_key", "left").withColumn(
         "component_id", F.when(F.col("set_key").isNull(), F.col("id")).otherwise(F.col("component_id"))
     )
     return out.select(

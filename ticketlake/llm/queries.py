@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ticketlake.llm import decontaminate, exact_dedup, near_dedup, packing, toxicity
+from ticketlake.llm import decontaminate, exact_dedup, near_dedup, packing, toxicity, warc
+from ticketlake.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -69,3 +70,22 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_near_dedup")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_dedup(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op8_warc",
+    """
+    WITH p AS (
+      SELECT page_id, coalesce(html, '') AS payload, strlen(coalesce(html, '')) AS payload_bytes,
+             sha256(coalesce(html, '')) AS payload_digest FROM pages),
+    f AS (SELECT *, min(page_id) OVER (PARTITION BY payload) AS first_id FROM p)
+    SELECT page_id, payload_bytes, payload_digest,
+           CASE WHEN payload_bytes >= 100 AND first_id <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN payload_bytes >= 100 AND first_id <> page_id THEN first_id END AS refers_to
+    FROM f
+    """,
+)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_dir(spark, "warc")
+    warc.write_pages(table(spark, sf_dir, "pages"), folder)
+    return warc.read_pages(spark, folder).drop("payload")
