@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ticketlake.llm import decontaminate, exact_dedup, near_dedup, packing, toxicity, warc
+from ticketlake.llm import decontaminate, exact_dedup, near_dedup, packing, pii, toxicity, warc
 from ticketlake.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,3 +89,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_dir(spark, "warc")
     warc.write_pages(table(spark, sf_dir, "pages"), folder)
     return warc.read_pages(spark, folder).drop("payload")
+
+
+@query("op3_personal_data")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(pii.personal_data(table(spark, sf_dir, "documents")))
