@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ticketlake.llm import decontaminate, exact_dedup, near_dedup, packing, pii, toxicity, warc
+from ticketlake.llm import decontaminate, exact_dedup, line_dedup, near_dedup, packing, pii, toxicity, warc
 from ticketlake.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +95,15 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_personal_data")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(pii.personal_data(table(spark, sf_dir, "documents")))
+
+
+@query("op5_line_dedup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = line_dedup.line_dedup(table(spark, sf_dir, "documents"))
+    return done.select(
+        F.col("id").alias("doc_id"),
+        "n_lines",
+        "n_removed",
+        "n_chunks",
+        F.sha2(F.coalesce("row.text", F.lit("")), 256).alias("kept_sha256"),
+    )
