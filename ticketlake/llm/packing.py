@@ -12,9 +12,9 @@ length with these ranks go to these sequences at this offset".  The ranks are
 assigned on the cluster; a length that a third of all pieces have is ranked in
 ``buckets`` separate groups.  Nothing else leaves the executors.
 
-Tokens: white space separates words for this tokenizer, so a word's ids do not
-depend on its neighbours, and each task keeps the ids of the words it has met
-(at most ``CACHED_WORDS``; a full cache is emptied).
+Tokens: the tokenizer splits a text into words whose ids do not depend on their
+neighbours, so each task keeps the ids of the words it has met (``CACHED_WORDS``
+and those of one batch at most; a full cache keeps the words in use).
 
 Defined results: a null or empty text has only the closing id; repeated rows
 are packed each for itself, ties of length in order of id and piece; a null id
@@ -25,7 +25,9 @@ are not looked at.
 from __future__ import annotations
 
 import os
+import re
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections import defaultdict
 from collections.abc import Iterator
@@ -40,45 +42,48 @@ from ticketlake.llm.common import col, settle, text_of
 
 CAPACITY = 4096
 END_ID = 1
-CACHED_WORDS = 300_000
-LONGEST_CACHED = 48
+CACHED_WORDS = 400_000
+# The tokenizer's word pattern for lower-case text of the characters that UNCOMMON leaves.
+LETTERS = "a-z\u00aa\u00b5\u00ba\u00df-\u00f6\u00f8-\u00ff\u0153"
+NUMBERS = "0-9\u00b2\u00b3\u00b9\u00bc-\u00be"
+WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[^ \t-\r{LETTERS}{NUMBERS}]+")
+UNCOMMON = re.compile("[^\t-\r -~\u00a1-\u00ff\u0152\u0153]")
 
 
 class WordIds:
-    """The ids of a text as little-endian unsigned 32-bit numbers, word by word."""
+    """The ids of a text as little-endian unsigned 32-bit numbers, word by word.
 
-    def __init__(self, tokenizer_path: str):
+    Texts of common Latin characters are split as the tokenizer's own pattern
+    splits them after lower-casing, and only words not met before are given to
+    the tokenizer; any other text is given to it whole.
+    """
+
+    def __init__(self, tokenizer_path: str, known: dict[str, bytes] | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
-        self.known: dict[bytes, bytes] = {}
+        self.known = {} if known is None else known
 
-    def _learn(self, words: list[bytes], into: dict[bytes, bytes]) -> None:
-        said = self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
-        into.update((w, np.asarray(e.ids, "<u4").tobytes()) for w, e in zip(words, said, strict=True))
+    def _ids(self, words: list[str]) -> Iterator[bytes]:
+        for low in range(0, len(words), 4096):
+            for e in self.tokenizer.encode_batch_fast(words[low : low + 4096], add_special_tokens=False):
+                yield array("I", e.ids).tobytes()
 
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Split at ASCII white space only: the tokenizer itself sees any other."""
-        split = [t.split() for t in texts]
-        new: set[bytes] = set()
+    def encode(self, texts: list[str]) -> list[bytes]:
+        split = [None if UNCOMMON.search(t) or "<|" in t else WORDS.findall(t.lower()) for t in texts]
+        new: set[str] = set()
         for words in split:
-            new.update(set(words).difference(self.known))
-        rare = [w for w in new if len(w) > LONGEST_CACHED]
+            if words:
+                new.update(words)
         if len(self.known) + len(new) > CACHED_WORDS:
+            used = {w: self.known[w] for w in new if w in self.known}
             self.known.clear()
-            new = {w for words in split for w in words}
-        self._learn([w for w in new if len(w) <= LONGEST_CACHED], self.known)
-        own: dict[bytes, bytes] = {}
-        if rare:
-            self._learn(rare, own)
-        out = []
-        for words in split:
-            try:
-                out.append(b"".join(map(self.known.__getitem__, words)))
-            except KeyError:
-                out.append(b"".join(self.known[w] if w in self.known else own[w] for w in words))
-        return out
+            self.known.update(used)
+        missing = [w for w in new if w not in self.known]
+        self.known.update(zip(missing, self._ids(missing), strict=True))
+        whole = self._ids([t for t, words in zip(texts, split, strict=True) if words is None])
+        return [next(whole) if words is None else b"".join(map(self.known.__getitem__, words)) for words in split]
 
 
 def tokenized_pieces(
@@ -91,7 +96,7 @@ def tokenized_pieces(
     with_ids: bool = False,
 ) -> DataFrame:
     """One row per piece: id, piece, start, length, ids_crc32 and, if wanted, the ids themselves."""
-    rows = df.select(col(id_col).alias(id_col), F.encode(text_of(text_col), "UTF-8").alias("utf8"))
+    rows = df.select(col(id_col).alias(id_col), text_of(text_col).alias("text"))
     fields = [
         rows.schema[0],
         T.StructField("piece", T.IntegerType()),
@@ -102,10 +107,11 @@ def tokenized_pieces(
     if with_ids:
         fields.append(T.StructField("ids", T.ArrayType(T.IntegerType())))
     names = [f.name for f in fields]
-    closing = np.asarray([end_id], "<u4").tobytes()
+    known = df.sparkSession.sparkContext.broadcast({})  # each worker process fills its own copy, task after task
+    closing = array("I", [end_id]).tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordIds(tokenizer_path)
+        words = WordIds(tokenizer_path, known.value)
         for batch in batches:
             for low in range(0, batch.num_rows, 256):
                 part = batch.slice(low, 256)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketlake.llm import decontaminate, exact_dedup, line_dedup, near_dedup, packing, pii, toxicity, warc
+from ticketlake.llm import decontaminate, exact_dedup, line_dedup, lm_score, near_dedup, packing, pii, toxicity, warc
 from ticketlake.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,3 +107,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_chunks",
         F.sha2(F.coalesce("row.text", F.lit("")), 256).alias("kept_sha256"),
     )
+
+
+@query("op9_lm_score")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.lm_scores(table(spark, sf_dir, "documents"))
