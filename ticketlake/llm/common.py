@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketlake.session import scratch_dir
@@ -41,3 +41,14 @@ def spread_join(left: DataFrame, right: DataFrame, on: str, how: str = "inner")
     extra = F.xxhash64(col(on))
     a, b = left.withColumn("_spread", extra), right.withColumn("_spread", extra)
     return a.join(b, [on, "_spread"], how).drop("_spread")
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """Where a public tokenizer's file lies."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)

@@ -252,7 +252,7 @@ def near_dedup(
     rows: int = ROWS,
     least_equal: int = LEAST_EQUAL,
 ) -> DataFrame:
-    """One row per input row: id, n_shingles, component_id, kept."""
+    """One row per input row: id, text_key, n_shingles, component_id, kept."""
     hashes = bands * rows
     docs = settle(sketches(df, id_col, text_col, width, hashes), "sketches")
     nodes = settle(
@@ -293,7 +293,23 @@ def near_dedup(
     )
     return out.select(
         F.col("id").alias(id_col),
+        "text_key",
         "n_shingles",
         "component_id",
         F.col("id").eqNullSafe(F.col("component_id")).alias("kept"),
     )
+
+
+def representatives(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **method) -> DataFrame:
+    """One row of each group, with all columns of ``df``; rows without words are all kept."""
+    groups = settle(near_dedup(df, id_col, text_col, **method).where("kept"), "kept").select(
+        col(id_col).alias("own_id"), F.col("text_key").alias("own_key"), "n_shingles"
+    )
+    rows = df.select(F.struct("*").alias("row"), col(id_col).alias("id"), F.xxhash64(text_of(text_col)).alias("key"))
+    same = rows["id"].eqNullSafe(F.col("own_id")) & (F.col("key") == F.col("own_key"))
+    kept = rows.join(groups.distinct(), same)
+    again = groups.where("n_shingles > 0").groupBy("own_id", "own_key").count().where("count > 1")
+    if not again.isEmpty():  # rows that repeat an id and its text: one of them
+        one = kept.where("n_shingles > 0").groupBy("id", "key").agg(F.first("row").alias("row"))
+        kept = kept.where("n_shingles = 0").select("id", "key", "row").union(one)
+    return kept.select("row.*")

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from ticketlake.llm import decontaminate, exact_dedup, line_dedup, lm_score, near_dedup, packing, pii, toxicity, warc
+from ticketlake.llm.common import table, tokenizer_path
 from ticketlake.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,16 +26,6 @@ def query(name: str, sql: str | None = None):
     return register
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
 @query(
     "op1_exact_dedup",
     r"""
@@ -70,7 +62,7 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op10_near_dedup")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup.near_dedup(table(spark, sf_dir, "documents"))
+    return near_dedup.near_dedup(table(spark, sf_dir, "documents")).drop("text_key")
 
 
 @query(
@@ -112,3 +104,6 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_lm_score")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.lm_scores(table(spark, sf_dir, "documents"))
+
+
+query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)

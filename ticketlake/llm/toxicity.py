@@ -209,64 +209,79 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.pmod(F.crc32(F.coalesce(col(id_col).cast("string"), F.lit(""))), F.lit(4)) == 2
 
 
-def toxicity(
-    df: DataFrame,
-    labels: DataFrame,
-    training: DataFrame | None = None,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    max_docs: int = MAX_DOCS,
-    threshold: float = THRESHOLD,
-) -> DataFrame:
-    """One row per row of ``df``: id, held_out, score, predicted.  ``training`` holds the labelled texts (default ``df``)."""
-    source = df if training is None else training
+def fitted(
+    texts: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_docs: int = MAX_DOCS
+) -> tuple[Ratios, float, float] | None:
+    """The model made from labelled rows of ``texts`` that are not held out."""
     truth = (
         labels.where("toxic is not null and doc_id is not null")
         .groupBy(F.col("doc_id").alias("label_id"))
         .agg(F.max("toxic").cast("int").alias("toxic"))
-        .where("crc32(cast(label_id as string)) % 4 <> 2")
+        .where(~held_out("label_id"))
     )
-    known = source.select(col(id_col).alias("label_id"), text_of(text_col).alias("text"))
+    known = texts.select(col(id_col).alias("label_id"), text_of(text_col).alias("text"))
     shares = {r["toxic"]: r["count"] for r in truth.groupBy("toxic").count().collect()}
-    sampled = truth.where("false")
-    for c in (0, 1):
-        sampled = sampled.union(truth.where(F.col("toxic") == c).orderBy(F.xxhash64("label_id"), "label_id").limit(max_docs))
+    order = [F.xxhash64("label_id"), F.col("label_id")]
+    sampled = truth.where("toxic = 0").orderBy(*order).limit(max_docs)
+    sampled = sampled.union(truth.where("toxic = 1").orderBy(*order).limit(max_docs))
     # at most 2 * max_docs ids: small whatever the table
-    texts = known.join(F.broadcast(sampled), "label_id").dropDuplicates(["label_id"]).orderBy(F.xxhash64("label_id"), "label_id")
-    rows = texts.select("toxic", "text").collect()
+    chosen = known.join(F.broadcast(sampled), "label_id").dropDuplicates(["label_id"]).orderBy(*order)
+    rows = chosen.select("toxic", "text").collect()
     total = sum(shares.values())
-    model = fit(
+    return fit(
         [r["text"] for r in rows if r["toxic"] == 1],
         [r["text"] for r in rows if r["toxic"] == 0],
         shares.get(1, 0) / total if total else 0.0,
     )
+
+
+def scores(
+    df: DataFrame, model: tuple[Ratios, float, float] | None, kept: Column, text_col: str = "text", threshold: float = THRESHOLD
+) -> DataFrame:
+    """kept, score and predicted of every row of ``df``."""
+    rows = df.select(kept.alias("kept"), text_of(text_col).alias("text"))
     schema = T.StructType(
-        [
-            T.StructField(id_col, df.schema[id_col].dataType),
-            T.StructField("held_out", T.BooleanType()),
-            T.StructField("score", T.DoubleType()),
-            T.StructField("predicted", T.IntegerType()),
-        ]
+        [rows.schema[0], T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())]
     )
-    rows_in = df.select(col(id_col).alias(id_col), held_out(id_col).alias("held_out"), text_of(text_col).alias("text"))
     shipped = df.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fitted = pickle.loads(shipped.value)
+        made = pickle.loads(shipped.value)
         for batch in batches:
-            scores = np.zeros(batch.num_rows)
-            if fitted:
-                ratios, slope, intercept = fitted
-                means = np.array([ratios.of(t.as_py()) for t in batch.column(2)])
-                scores = 1 / (1 + np.exp(-np.clip(slope * means + intercept, -35, 35)))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    batch.column(1),
-                    pa.array(scores, pa.float64()),
-                    pa.array((scores >= threshold).astype(np.int32), pa.int32()),
-                ],
-                names=schema.names,
-            )
+            out = np.zeros(batch.num_rows)
+            if made:
+                ratios, slope, intercept = made
+                means = np.array([ratios.of(t.as_py()) for t in batch.column(1)])
+                out = 1 / (1 + np.exp(-np.clip(slope * means + intercept, -35, 35)))
+            flags = pa.array((out >= threshold).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out), flags], names=schema.names)
+
+    return rows.mapInArrow(scored, schema)
+
+
+def toxicity(
+    df: DataFrame,
+    labels: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    max_docs: int = MAX_DOCS,
+    threshold: float = THRESHOLD,
+) -> DataFrame:
+    """One row per row of ``df``: id, held_out, score, predicted."""
+    model = fitted(df, labels, id_col, text_col, max_docs)
+    return scores(df, model, col(id_col), text_col, threshold).select(
+        F.col("kept").alias(id_col), held_out("kept").alias("held_out"), "score", "predicted"
+    )
 
-    return rows_in.mapInArrow(scored, schema)
+
+def without_toxic(
+    df: DataFrame,
+    labels: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    max_docs: int = MAX_DOCS,
+    threshold: float = THRESHOLD,
+) -> DataFrame:
+    """The rows of ``df`` that are not predicted toxic, with all their columns."""
+    model = fitted(df, labels, id_col, text_col, max_docs)
+    return scores(df, model, F.struct("*"), text_col, threshold).where("predicted = 0").select("kept.*")
