@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ticketlake.llm import decontaminate, exact_dedup, line_dedup, lm_score, near_dedup, packing, pii, toxicity, warc
+from ticketlake.llm import decontaminate, exact_dedup, line_dedup, lm_score, near_dedup, packing, pii, suffix_dedup, toxicity, warc
 from ticketlake.llm.common import table, tokenizer_path
 from ticketlake.session import scratch_dir
 
@@ -107,3 +107,11 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
+
+
+@query("op4_suffix_dedup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents"))
+    return done.select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
