@@ -131,7 +131,20 @@ def entity_of() -> Column:
 
 def contexts(base: DataFrame) -> DataFrame:
     """id, text_key, entity, term, start, after: the whole words next to every mention, outside other mentions."""
-    one = base.where(F.size("spans") > 0).select("id", "text_key", "spans", F.explode("spans").alias("s"))
+    # only so many spans can start or end within reach of another: none is shorter than five characters,
+    # those of one kind do not overlap, and they are in order
+    beside = F.transform(
+        "spans",
+        lambda s, k: F.struct(
+            s.alias("s"),
+            F.transform(
+                F.slice("spans", F.greatest(k - REACH, F.lit(0)) + 1, F.lit(2 * REACH + 1)),
+                lambda o: F.struct(o["start"].alias("start"), o["after"].alias("after")),
+            ).alias("others"),
+        ),
+    )
+    one = base.where(F.size("spans") > 0).select("id", "text_key", F.explode(beside).alias("x"))
+    one = one.select("id", "text_key", "x.s", "x.others")
     left = F.greatest(F.col("s.start") - REACH, F.lit(0))
     full = F.char_length("s.behind") == REACH
     moved = lambda words, by: F.transform(
@@ -145,7 +158,7 @@ def contexts(base: DataFrame) -> DataFrame:
     behind = F.filter(matches(F.col("s.behind"), WORD), lambda w: (w["after"] < REACH) | ~full)
     words = F.concat(moved(before, left), moved(behind, F.col("s.after")))
     outside = F.filter(
-        words, lambda w: ~F.exists("spans", lambda o: (w["start"] < o["after"]) & (o["start"] < w["after"]))
+        words, lambda w: ~F.exists("others", lambda o: (w["start"] < o["after"]) & (o["start"] < w["after"]))
     )
     return one.select(
         "id", "text_key", entity_of().alias("entity"), F.explode(outside).alias("w")
