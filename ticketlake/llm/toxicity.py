@@ -1,8 +1,10 @@
 """Toxicity by class-conditional Kneser-Ney models.
 
 Two word models, one of toxic and one of ordinary labelled texts, give every
-word a log-likelihood ratio.  A document's ratio is the mean over its words, so
-length does not count by itself.  A word's probability under a class is its
+word a log-likelihood ratio.  The words of a toxic text are mostly ordinary, so its
+model is the ordinary one but for a part ``SPECIFIC``, and a word can speak for
+toxicity much more strongly than against it.  A document's ratio is the mean over
+its words, so length does not count by itself.  A word's probability under a class is its
 discounted share of the class's words plus, for the mass the discount frees,
 its spelling's probability under a Kneser-Ney character model: the counts of
 the longest context are of the class's distinct words, every shorter one
@@ -42,9 +44,12 @@ from ticketlake.llm.common import col, text_of
 
 MAX_DOCS = 4000
 THRESHOLD = 0.3
-ORDER = 5
+ORDER = 4
 SHARED = 1
-DISCOUNT = 0.75
+DISCOUNT = 0.95
+WORD_DISCOUNT = 0.95
+SPECIFIC = 0.02
+FLOOR = 0.01
 KNOWN_WORDS = 300_000
 NO_WORD = re.compile(rb"[\x00-\x60\x7B-\x7F]+")
 
@@ -147,31 +152,28 @@ class Ratios(dict):
         self.spelling = Spelling([sorted(c) for c in counts])
 
     def __missing__(self, word: bytes) -> float:
-        freed = [DISCOUNT * len(own) / total for own, total in zip(self.counts, self.totals, strict=True)]
+        freed = [WORD_DISCOUNT * len(own) / total for own, total in zip(self.counts, self.totals, strict=True)]
         if word in self.counts[0] or word in self.counts[1]:
             p0, p1 = (
-                max(own.get(word, 0) - DISCOUNT, 0) / total + f * self.spelling.word(c, word) + 1e-300
+                max(own.get(word, 0) - WORD_DISCOUNT, 0) / total + f * self.spelling.word(c, word) + 1e-300
                 for c, (own, total, f) in enumerate(zip(self.counts, self.totals, freed, strict=True))
             )
             ratio = math.log(p1 / p0)
         else:  # neither has met it: only the spelling differs
             ratio = math.log(freed[1] / freed[0]) + self.spelling.log_ratio(word)
-        self[word] = ratio
-        return ratio
+        # most words of a toxic text are ordinary ones: its model shares the ordinary one but for a part
+        mixed = self[word] = math.log1p(SPECIFIC * math.expm1(min(ratio, 50.0)))
+        return mixed
 
     def of(self, text: str) -> float:
-        """Length-normalised ratio of a text, over the ratio of its ordinary word.
-
-        Every word of a language carries the same surplus if one class holds
-        more of that language; the median word shows it, and it is taken off.
-        """
+        """Length-normalised ratio of a text, on a scale of powers: clear cases shall not flatten the curve."""
         words = words_of(text)
         if not words:
-            return 0.0
+            return math.log(FLOOR)
         if len(self) > KNOWN_WORDS:
             self.clear()
         own = np.fromiter(map(self.__getitem__, words), np.float64, len(words))
-        return float(own.mean() - np.median(own))
+        return math.log(FLOOR + max(float(own.mean()), 0.0))
 
 
 def logistic(x: np.ndarray, y: np.ndarray, steps: int = 60) -> tuple[float, float]:
@@ -191,9 +193,9 @@ def fit(toxic: list[str], ordinary: list[str], toxic_share: float) -> tuple[Rati
     """Models from two thirds of the texts, the curve from the rest, set for the given share of toxic documents."""
     if not toxic or not ordinary:
         return None
-    even = min(len(ordinary), len(toxic)) * 2 // 3 or 1  # equal shares: neither class knows more words than the other
-    parts = [ordinary[:even], toxic[:even]]
-    rest = [own[even:] or own for own in (ordinary, toxic)]
+    cut = [len(own) * 2 // 3 for own in (ordinary, toxic)]
+    parts = [own[:n] or own for own, n in zip((ordinary, toxic), cut, strict=True)]
+    rest = [own[n:] or own for own, n in zip((ordinary, toxic), cut, strict=True)]
     counts = [Counter(w for t in part for w in words_of(t)) for part in parts]
     ratios = Ratios(counts)
     x = np.array([ratios.of(t) for part in rest for t in part])
