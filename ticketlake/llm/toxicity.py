@@ -14,7 +14,7 @@ expression is judged by the spellings it shares with known ones.
 
 The models are fitted on at most ``max_docs`` labelled documents of each class
 (those with the smallest hash of the id), the only bounded part: whole texts,
-collected to the driver.  Two thirds of them give the counts, the rest the
+collected to the driver.  Four fifths of them give the counts, the rest the
 logistic curve that turns the ratio into a score.  Scoring reads every row;
 each task keeps the ratios of the words it has met.
 
@@ -190,10 +190,10 @@ def logistic(x: np.ndarray, y: np.ndarray, steps: int = 60) -> tuple[float, floa
 
 
 def fit(toxic: list[str], ordinary: list[str], toxic_share: float) -> tuple[Ratios, float, float] | None:
-    """Models from two thirds of the texts, the curve from the rest, set for the given share of toxic documents."""
+    """Models from four fifths of the texts, the curve from the rest, set for the given share of toxic documents."""
     if not toxic or not ordinary:
         return None
-    cut = [len(own) * 2 // 3 for own in (ordinary, toxic)]
+    cut = [len(own) * 4 // 5 for own in (ordinary, toxic)]
     parts = [own[:n] or own for own, n in zip((ordinary, toxic), cut, strict=True)]
     rest = [own[n:] or own for own, n in zip((ordinary, toxic), cut, strict=True)]
     counts = [Counter(w for t in part for w in words_of(t)) for part in parts]

@@ -206,6 +206,7 @@ class WarcReader(DataSourceReader):
     def __init__(self, path: str, payload: bool):
         self.path, self.payload = path, payload
         self.wanted: dict[str, set] = {}
+        self.present: set[str] = set()
 
     def pushFilters(self, filters: list[Filter]):  # noqa: N802
         for f in filters:
@@ -213,7 +214,9 @@ class WarcReader(DataSourceReader):
             if column in HEADERS and isinstance(f, (EqualTo, In)):
                 values = {f.value} if isinstance(f, EqualTo) else set(f.value)
                 self.wanted[column] = self.wanted.get(column, values) & values
-            elif not (column in HEADERS and isinstance(f, IsNotNull) and column == "record_type"):
+            elif column in HEADERS and isinstance(f, IsNotNull):
+                self.present.add(column)
+            else:
                 yield f
 
     def partitions(self) -> list[Part]:
@@ -234,7 +237,7 @@ class WarcReader(DataSourceReader):
         return parts or [Part("", 0, 0)]
 
     def accepts(self, values: dict[str, str | None]) -> bool:
-        return all(values[c] in allowed for c, allowed in self.wanted.items())
+        return all(values[c] is not None for c in self.present) and all(values[c] in v for c, v in self.wanted.items())
 
     def read(self, partition: Part) -> Iterator[pa.RecordBatch]:
         columns = [*WRITE_COLUMNS, "file", "offset"]
