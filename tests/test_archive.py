@@ -42,6 +42,9 @@ def fold(values):
         [90] + [0] * 1095 + [8],  # zeros fill the tail, but not quite to underflow
         [0] * 1500 + [8],
         [90] + [0] * 1500 + [8],
+        [99] + [0] * 1078 + [80] + [10] * 21,  # many zeros, and the average is not yet nothing
+        [99] + [0] * 1100 + [80] + [10] * 21,
+        [5] + [0] * 899 + [0] * 100 + [7, -7, 3.5, 2, -4.25, 0, 9] + [1.5] * 80,
     ],
 )
 def test_running_ratio_is_the_fold_over_all_saves(spark, values):

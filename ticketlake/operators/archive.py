@@ -4,16 +4,17 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ticketlake.functions import columns as C
 from ticketlake.functions.periods import to_day
 
-# A ratio this many saves back weighs 2**-1100, which is below the smallest
-# double: older ratios cannot change the running ratio.
-RUNNING_TAIL = 1100
+# From so many zeros on, a running average may be halved to nothing (the least double is 2 ** -1074).
+LONG_RUN = 900
+# After so many saves a negative average is a positive one again (ratios have two decimals).
+AFTER_NEGATIVE = 64
 
 
 def iso_text(col: Column) -> Column:
@@ -165,29 +166,62 @@ def totals(entries: DataFrame) -> DataFrame:
 
 
 def running_ratio(entries: DataFrame, order: list[str] | None = None) -> DataFrame:
-    """The ratio kept while saving: the first ratio, then ``(old + new) / 2`` per save.
-
-    Each save halves the weight of all earlier ones, so the newest RUNNING_TAIL
-    ratios decide the value; Spark picks them with a distributed top-k.  Whether
-    anything but zeros came before matters only for how a run of zeros starts.
+    """The ratio kept while saving: the first ratio while it is 0, then ``(old + new) / 2`` per save.
+
+    A stretch of saves turns an average ``a`` into ``a / 2**n + s``, so every day
+    is first collapsed to that form and only the days are combined in order.
+    Zeros halve the average; where so many follow each other that it may reach 0
+    and start anew, a stretch ends, and there the halving is done step by step.
+    A save may also meet its exact opposite: for AFTER_NEGATIVE saves after a
+    negative ratio every one is a step of its own.
     """
     order = order or ["created_at", "id"]
-    ratios = entries.where(F.col("compression_ratio").isNotNull()).select(
-        *order, F.col("compression_ratio").cast("double").alias("ratio")
+    by_day = Window.partitionBy("day").orderBy(*order)
+    saves = (
+        entries.where(F.col("compression_ratio").isNotNull())
+        .select(*order, F.col("compression_ratio").cast("double").alias("ratio"), F.to_date(order[0]).alias("day"))
+        .withColumn("nth", F.row_number().over(by_day))
+    )
+    parted = (
+        saves.where("ratio <> 0")
+        .withColumn("zeros", F.col("nth") - F.lag("nth", 1, 0).over(by_day) - 1)
+        .withColumn("negative", F.max(F.when(F.col("ratio") < 0, F.col("nth"))).over(by_day.rowsBetween(Window.unboundedPreceding, -1)))
+    )
+    any_negative = saves.select(F.coalesce(F.min("ratio") < 0, F.lit(False)).alias("b")).scalar()
+    since = F.col("nth") - F.coalesce("negative", F.lit(0))
+    alone = (F.col("zeros") >= LONG_RUN) | (any_negative & (since <= AFTER_NEGATIVE))
+    parted = parted.withColumn("part", F.sum(F.when(alone, 1).otherwise(0)).over(by_day))
+    whole = Window.partitionBy("day", "part")
+    bounded = parted.withColumns({"first": F.min("nth").over(whole), "last": F.max("nth").over(whole)})
+    later = F.col("nth") > F.col("first")
+    weight = F.pow(F.lit(2.0), F.col("nth") - F.col("last") - 1)
+    stretches = bounded.groupBy("day", "part", "first", "last").agg(
+        F.sum(F.when(~later, F.col("zeros"))).alias("zeros"),
+        F.sum(F.when(~later, F.col("ratio"))).alias("ratio"),
+        F.coalesce(F.sum(F.when(later, F.col("ratio") * weight)), F.lit(0.0)).alias("rest"),
     )
-    tail = ratios.orderBy(*[F.desc(c) for c in order]).limit(RUNNING_TAIL)
-    nonzero = ratios.select(F.count_if(F.col("ratio") != 0).alias("n")).scalar()
-    folded = tail.agg(
-        F.transform(
-            F.array_sort(F.collect_list(F.struct(*order, "ratio"))), lambda e: e["ratio"]
-        ).alias("ratios")
+    ends = saves.groupBy("day").agg(
+        F.max("nth").alias("n"), F.coalesce(F.max(F.when(F.col("ratio") != 0, F.col("nth"))), F.lit(0)).alias("last")
     )
-    fold = lambda start: F.aggregate(
-        "ratios", F.lit(start), lambda avg, r: F.when(avg == 0, r).otherwise((avg + r) / 2)
+    step = lambda at, zeros, ratio, n, rest: F.struct(
+        "day", at.alias("at"), zeros.cast("int").alias("zeros"), ratio.alias("ratio"), n.cast("int").alias("n"), rest.alias("rest")
     )
-    in_tail = F.size(F.filter("ratios", lambda r: r != 0))
-    return folded.select(
-        F.when(in_tail < nonzero, fold(1.0)).otherwise(fold(0.0)).alias("running_ratio")
+    c, none = F.col, F.lit(None).cast("double")
+    steps = stretches.select(
+        step(c("first"), c("zeros"), c("ratio"), c("last") - c("first"), c("rest")).alias("step")
+    ).union(ends.select(step(c("n") + 1, c("n") - c("last"), none, F.lit(0), none).alias("step")))
+
+    def halved(avg, times):
+        slowly = F.aggregate(F.sequence(F.lit(1), F.least(times, F.lit(2200))), avg, lambda a, _: a / 2)
+        return F.when(times < LONG_RUN, avg * F.pow(F.lit(2.0), -times)).otherwise(slowly)
+
+    def combine(avg, s):
+        old = halved(avg, s["zeros"])
+        first = F.when(old == 0, s["ratio"]).otherwise((old + s["ratio"]) / 2)
+        return F.when(s["ratio"].isNull(), old).otherwise(first * F.pow(F.lit(2.0), -s["n"]) + s["rest"])
+
+    return steps.agg(F.array_sort(F.collect_list("step")).alias("steps")).select(
+        F.aggregate("steps", F.lit(0.0), combine).alias("running_ratio")
     )
 
 
