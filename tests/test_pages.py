@@ -58,11 +58,30 @@ def test_indented_pages(spark, tmp_path):
     assert P.paged_scan(spark, path, limit=3, multi_line=True).count() == 4
 
 
-def test_single_page_is_whole_unless_capped(spark, tmp_path):
+def test_single_page_is_whole(spark, tmp_path):
     path = land(tmp_path, [5], limit=10)
     assert P.single_page_scan(spark, path).count() == 5
-    capped = P.single_page_scan(spark, path, cap=2)
-    assert sorted(json.loads(r["record"])["sys_id"] for r in capped.collect()) == ["0-0", "0-1"]
+
+
+def test_a_page_there_twice_does_not_make_up_for_a_lost_one(spark, tmp_path):
+    path = land(tmp_path, [3, 3, 3, 2], skip=(2,))
+    (tmp_path / "offset=3" / "again.json").write_text((tmp_path / "offset=3" / "page.json").read_text())
+    with pytest.raises(P.MissingPages):
+        P.paged_scan(spark, path, limit=3)
+
+
+def test_power_sums_are_no_proof(spark):
+    """Pages 0, 4, 5 lost and 1, 2, 6 there twice: same number, sum and sum of squares."""
+    pages = [1, 1, 2, 2, 3, 6, 6]
+    df = spark.createDataFrame([(3 * p, ["r"] * (2 if p == 6 else 3)) for p in pages], "offset LONG, result ARRAY<STRING>")
+    with pytest.raises(P.MissingPages):
+        P.assert_complete(P.page_coverage(df, 3).first().asDict(), 3)
+
+
+def test_an_empty_resource_can_be_landed(spark, tmp_path):
+    path = str(tmp_path / "pages")
+    P.land_pages(spark.createDataFrame([], "offset LONG, record STRING"), path)
+    assert P.paged_scan(spark, path).count() == 0
 
 
 def test_landing_adds_the_empty_last_page(spark, tmp_path):

@@ -110,10 +110,11 @@ def latest_entries(entries: DataFrame) -> DataFrame:
     )
 
 
-def listing(entries: DataFrame) -> DataFrame:
-    """Entries newest first, with absent sizes shown as 0."""
+def listing(entries: DataFrame, ordered: bool = True) -> DataFrame:
+    """Entries, newest first if ``ordered``, with absent sizes shown as 0."""
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).alias(c)
-    return entries.orderBy(F.desc("created_at"), F.desc("id")).select(
+    rows = entries.orderBy(F.desc("created_at"), F.desc("id")) if ordered else entries
+    return rows.select(
         "id", "data_extraction", "extraction_type", zero("record_count"), zero("json_size_kb"),
         zero("compressed_size_kb"), zero("compression_ratio"), "created_at",
     )

@@ -94,12 +94,15 @@ def resolve_roles(
     ``roles`` maps an id column to the prefix of its output columns,
     ``attributes`` maps a reference column to an output suffix.
 
+    A repeated reference id stands for one of its rows, the greatest by its
+    attributes, so the result does not depend on the path taken.
+
     With a small reference table this is one broadcast used once per role.  With
     a large one the fact rows would be shuffled once per role, so only the ids
     travel: they are unpivoted, looked up in a single (salted) join, folded
     back per row, and joined to the full rows in one shuffle.
     """
-    dim = dim.select("sys_id", *attributes)
+    dim = dim.groupBy("sys_id").agg(F.max(F.struct(*attributes)).alias("_one")).select("sys_id", "_one.*")
     if narrow is None:
         narrow = not fits_broadcast(dim)
     if not narrow:

@@ -19,9 +19,6 @@ from ticketlake.schemas import (
     TypedField,
 )
 
-# More field names than this are no table; discovery then fails instead of guessing.
-MAX_FIELDS = 5_000
-
 
 def _is_reference(value: str) -> str:
     # A path into text or a number yields NULL, and so does an object without the
@@ -39,10 +36,8 @@ def discover_fields(records: DataFrame, column: str = "record") -> dict[str, boo
         F.explode(F.from_json(column, "MAP<STRING, VARIANT>")).alias("field", "value")
     )
     found = entries.groupBy("field").agg(F.expr(f"bool_or({_is_reference('value')})").alias("is_ref"))
-    names = found.limit(MAX_FIELDS + 1).collect()
-    if len(names) > MAX_FIELDS:
-        raise ValueError(f"more than {MAX_FIELDS} field names: name the fields to read")
-    return {r["field"]: bool(r["is_ref"]) for r in sorted(names, key=lambda r: r["field"])}
+    # the names become columns, so they are needed where the plan is made
+    return {r["field"]: bool(r["is_ref"]) for r in sorted(found.collect(), key=lambda r: r["field"])}
 
 
 def flatten_refs(

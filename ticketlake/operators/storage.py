@@ -125,7 +125,7 @@ def report_rows(sizes: DataFrame, entries: DataFrame, as_of: date | datetime) ->
         F.col("record_count").alias("records"),
         "size_kb",
     )
-    archive = A.listing(entries).select(
+    archive = A.listing(entries, ordered=False).select(
         F.lit("json_compressed").alias("model"),
         F.col("extraction_type").alias("table_type"),
         F.col("data_extraction").cast("string").alias("date"),

@@ -21,6 +21,7 @@ def audit_row(
     execution_type: str,
     status: str,
     ended_at: datetime,
+    started_at: datetime | None = None,
     start=None,
     end=None,
     error: str | None = None,
@@ -29,14 +30,15 @@ def audit_row(
     hostname: str | None = None,
     username: str | None = None,
 ) -> DataFrame:
-    """One run-log row from what the run observed."""
+    """One run-log row from what the run observed; without ``started_at`` the run began at its as-of time."""
+    started_at = started_at or run.as_of
     written = sum(m["insert"] + m["update"] for m in run.merged.values())
     known = {
         "execution_id": run.execution_id,
         "execution_type": execution_type,
         "start_date": str(start) if start else None,
         "end_date": str(end) if end else None,
-        "started_at": run.as_of.isoformat(sep=" "),
+        "started_at": started_at.isoformat(sep=" "),
         "ended_at": ended_at.isoformat(sep=" "),
         "status": status,
         "json_storage_enabled": str(run.json_storage).lower(),
@@ -52,7 +54,7 @@ def audit_row(
     }
     base = run.spark.range(1).select(*[F.lit(v).cast("string").alias(k) for k, v in known.items()])
     if request_log is not None:
-        totals = apilog.api_totals(request_log, (ended_at - run.as_of).total_seconds())
+        totals = apilog.api_totals(request_log, (ended_at - started_at).total_seconds())
         base = base.select(
             "*",
             *[
@@ -93,13 +95,16 @@ def run_audited(
     request_log: DataFrame | None = None,
     **options,
 ) -> Run:
-    """Execute a mode and log it: success, partial (rows were rejected) or failed."""
+    """Execute a mode and log it: success, partial (rows were rejected) or failed.
+
+    The clock is read at both ends: a run for a past as-of time lasts as long as it takes.
+    """
     start, end = options.get("start"), options.get("end")
-    log = {"start": start, "end": end, "request_log": request_log}
+    log = {"started_at": clock(), "start": start, "end": end, "request_log": request_log}
     try:
         execute(run, mode, resources, **options)
     except Exception as error:
-        append_run(run, audit_row(run, mode, "failed", clock(), error=str(error), **log))
+        append_run(run, audit_row(run, mode, "failed", clock(), error=str(error), db_seconds=round(run.write_seconds, 2), **log))
         raise
-    append_run(run, audit_row(run, mode, "partial" if run.rejected else "success", clock(), **log))
+    append_run(run, audit_row(run, mode, "partial" if run.rejected else "success", clock(), db_seconds=round(run.write_seconds, 2), **log))
     return run

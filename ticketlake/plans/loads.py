@@ -6,6 +6,7 @@ upsert, the archive and the counts from there.
 
 from __future__ import annotations
 
+import time
 import uuid
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta
@@ -53,6 +54,7 @@ class Run:
     counts: dict[str, int] = field(default_factory=dict)
     merged: dict[str, dict[str, int]] = field(default_factory=dict)
     rejected: int = 0
+    write_seconds: float = 0.0  # spent storing tables
 
     @property
     def store(self) -> TableStore:
@@ -107,7 +109,9 @@ def rejects(run: Run, name: str) -> DataFrame:
 def save(run: Run, tables: dict[str, DataFrame]) -> None:
     """Upsert every non-empty table."""
     filled = {name: batch for name, batch in tables.items() if run.counts.get(name)}
+    began = time.monotonic()
     run.merged.update(together({name: partial(_upsert, run, name, batch) for name, batch in filled.items()}))
+    run.write_seconds += time.monotonic() - began
 
 
 def _upsert(run: Run, name: str, batch: DataFrame) -> dict[str, int]:

@@ -26,14 +26,23 @@ def read_pages(spark: SparkSession, path: str, multi_line: bool = False) -> Data
     )
 
 
+def _trace(page):
+    """A number of a page that sums up differently unless every page is there once; for columns and plain numbers."""
+    page = page % 1_000_003
+    return (page * page * 40_503 + page * 2_654_435_761) % 4_294_967_291
+
+
 def _coverage(size, limit: int) -> list:
     short = size < limit
+    page = F.col("offset").cast("bigint") / limit
     return [
         F.count(F.lit(1)).alias("pages"),
         F.sum(size).alias("records"),
         F.max("offset").alias("last_offset"),
         F.max_by(size, F.col("offset")).alias("last_page_size"),
         F.min(F.when(short, F.col("offset"))).alias("first_short_offset"),
+        F.count_if(F.col("offset") % limit != 0).alias("odd_offsets"),
+        F.sum(_trace(F.floor(page).cast("bigint"))).alias("trace"),
     ]
 
 
@@ -49,6 +58,8 @@ def assert_complete(found: dict, limit: int = PAGE_LIMIT) -> None:
     ends_at = last - limit if found["last_page_size"] == 0 else last
     if last is None or found["pages"] != last // limit + 1 or short is None or short < max(ends_at, 0):
         raise MissingPages(str(found))
+    if found["odd_offsets"] or found["trace"] != sum(map(_trace, range(found["pages"]))):
+        raise MissingPages(f"a page is missing and another one is there twice: {found}")
 
 
 def split_records(pages: DataFrame, column: str = "result") -> DataFrame:
@@ -90,12 +101,9 @@ def paged_scan(
     return split_records(pages)
 
 
-def single_page_scan(
-    spark: SparkSession, path: str, cap: int | None = None, order: list[str] | None = None, multi_line: bool = False
-) -> DataFrame:
-    """A resource fetched without paging; ``cap`` keeps the first records only if asked for."""
-    records = split_records(read_pages(spark, path, multi_line))
-    return records if cap is None else records.orderBy(*(order or ["offset", "position"])).limit(cap)
+def single_page_scan(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """A resource fetched without paging, whole."""
+    return split_records(read_pages(spark, path, multi_line))
 
 
 def land_pages(records: DataFrame, path: str, offset: str = "offset", column: str = "record") -> None:
@@ -106,7 +114,7 @@ def land_pages(records: DataFrame, path: str, offset: str = "offset", column: st
     pages = records.groupBy(F.col(offset).alias("offset")).agg(
         F.concat(F.lit('{"result":['), F.array_join(F.collect_list(column), ","), F.lit("]}")).alias("value")
     )
-    last = records.agg((F.max(offset) + PAGE_LIMIT).alias("offset")).select(
+    last = records.agg(F.coalesce(F.max(offset) + PAGE_LIMIT, F.lit(0)).alias("offset")).select(
         "offset", F.lit('{"result":[]}').alias("value")
     )
     pages.unionByName(last).write.partitionBy("offset").text(path)

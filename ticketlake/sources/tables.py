@@ -1,9 +1,11 @@
 """Parquet tables that are replaced, never rewritten in place.
 
 ``<root>/<table>/v<number>`` holds one complete state; the highest number with a
-success marker is current.  ``<root>/<table>/changes/v<number>/batch=<number>``
-holds rows that came after that state (streaming), until they are compacted into
-the next one.
+success marker is current.  ``<root>/<table>/changes/v<number>/batch=<place>/<writer>-<number>``
+holds rows that came after that state, in the order of their places, until they
+are compacted into the next one.  A writer that repeats a number (a replayed
+micro-batch) replaces its own rows; writers never replace each other's.
+``<root>/<table>/applied/<writer>-<number>`` remembers what a state contains.
 """
 
 from __future__ import annotations
@@ -67,23 +69,48 @@ class TableStore:
     def _changes_path(self, table: str) -> str:
         return f"{self.root}/{table}/changes/v{self.version(table) or 0:012d}"
 
-    def write_changes(self, table: str, df: DataFrame, batch: int) -> None:
+    def _change_sets(self, table: str) -> dict[int, str]:
+        """Every change set begun, by its place: ``<writer>-<number>``."""
+        path = self._changes_path(table)
+        places = sorted(int(n.split("=")[1]) for n in self._children(path) if n.startswith("batch="))
+        return {p: name for p in places for name in self._children(f"{path}/batch={p}")}
+
+    def place(self, table: str, writer: str, number: int) -> int | None:
+        """Where a writer's change set lies, None if it has none yet."""
+        return next((p for p, name in self._change_sets(table).items() if name == f"{writer}-{number}"), None)
+
+    def write_changes(self, table: str, df: DataFrame, number: int, writer: str = "run") -> None:
         """Changes of one batch; writing a batch again replaces it, so replays are safe."""
-        df.write.mode("overwrite").parquet(f"{self._changes_path(table)}/batch={batch}")
+        place = self.place(table, writer, number)
+        if place is None:
+            place = max(self._change_sets(table), default=-1) + 1
+        df.write.mode("overwrite").parquet(f"{self._changes_path(table)}/batch={place}/{writer}-{number}")
 
     def pending(self, table: str) -> list[int]:
-        """Numbers of the change batches the current state does not contain."""
+        """Places of the change sets the current state does not contain."""
         path = self._changes_path(table)
-        names = [n for n in self._children(path) if n.startswith("batch=")]
-        return sorted(int(n.split("=")[1]) for n in names if self._complete(f"{path}/{n}"))
+        return [p for p, name in self._change_sets(table).items() if self._complete(f"{path}/batch={p}/{name}")]
+
+    def mark_applied(self, table: str) -> None:
+        """Remember the pending change sets, before they become part of a state."""
+        path = self._changes_path(table)
+        for p, name in self._change_sets(table).items():
+            if self._complete(f"{path}/batch={p}/{name}"):
+                jpath = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{table}/applied/{name}")
+                jpath.getFileSystem(self.spark._jsc.hadoopConfiguration()).mkdirs(jpath)
+
+    def applied(self, table: str, writer: str, number: int) -> bool:
+        """Whether a change set is part of a state already."""
+        return f"{writer}-{number}" in self._children(f"{self.root}/{table}/applied")
 
     def changes(self, table: str, before: int | None = None) -> DataFrame | None:
-        """Changes since the current state (of batches below ``before``), with their batch number."""
+        """Changes since the current state (of places below ``before``), with their place as ``batch``."""
         path = self._changes_path(table)
-        batches = [n for n in self.pending(table) if before is None or n < before]
-        if not batches:
+        sets = self._change_sets(table)
+        paths = [f"{path}/batch={p}/{sets[p]}" for p in self.pending(table) if before is None or p < before]
+        if not paths:
             return None
-        rows = self.spark.read.option("basePath", path).parquet(*[f"{path}/batch={n}" for n in batches])
+        rows = self.spark.read.option("basePath", path).parquet(*paths)
         return rows.withColumn("batch", F.col("batch").cast("long"))
 
 
@@ -101,4 +128,5 @@ def compact(store: TableStore, table: str, key: str = "sys_id", sort_by: str | N
     """Fold the changes into a new state."""
     if not store.pending(table):
         return store.read(table)
+    store.mark_applied(table)
     return store.publish(table, current_state(store, table, key), sort_by)

@@ -21,12 +21,13 @@ from ticketlake.operators.sync import normalise_reference
 from ticketlake.sources.tables import TableStore, compact
 
 UPDATED = "sys_updated_on"
+WRITER = "stream"
 
 
-def _known(store: TableStore, table: str, batch_id: int, key: str) -> DataFrame | None:
+def _known(store: TableStore, table: str, place: int | None, key: str) -> DataFrame | None:
     """(key, hash, update time, batch) of every stored row version, base included."""
     columns = [key, "etl_hash", F.col(UPDATED).cast("timestamp_ntz").alias(UPDATED)]
-    base, changes = store.read(table), store.changes(table, before=batch_id)
+    base, changes = store.read(table), store.changes(table, before=place)
     parts = []
     if base is not None:
         parts.append(base.select(*columns, F.lit(-1).cast("long").alias("batch")))
@@ -48,9 +49,11 @@ def apply_batch(
     key: str = "sys_id",
 ) -> None:
     """Write the rows of one micro-batch that are new, or newer and different."""
+    if store.applied(table, WRITER, batch_id):
+        return
     newest = last_wins(batch, key, [UPDATED, *order]).drop(*order)
     rows = normalise_reference(newest, entity, as_of)
-    known = _known(store, table, batch_id, key)
+    known = _known(store, table, store.place(table, WRITER, batch_id), key)
     if known is not None:
         wanted = batch.select(F.col(key).alias("_key")).where(F.col("_key").isNotNull()).distinct()
         known = known.join(wanted, F.col(key) == F.col("_key"), "left_semi")
@@ -65,7 +68,7 @@ def apply_batch(
         # One row per key on both sides; rows without a key match nothing.
         rows = rows.join(known, F.col(key) == F.col("_key"), "left").where(fresh)
         rows = rows.drop("_key", "_hash", "_updated")
-    store.write_changes(table, rows, batch_id)
+    store.write_changes(table, rows, batch_id, WRITER)
 
 
 def incremental_stream(
@@ -95,8 +98,10 @@ def incremental_stream(
         tracked = [c for c in source.columns if c not in (order or [])]
         # A watermark needs a timestamp with time zone; the session runs in UTC.
         marked = source.withColumns({"_hash": C.row_hash(tracked), "_event": F.col(UPDATED).cast("timestamp")})
-        marked = marked.withWatermark("_event", late_by).dropDuplicatesWithinWatermark(["sys_id", "_hash"])
-        source = marked.drop("_hash", "_event")
+        marked = marked.withWatermark("_event", late_by)
+        # the update time belongs to the key: a value that returns is a change; rows without an id are all kept
+        named = marked.where("sys_id is not null").dropDuplicatesWithinWatermark(["sys_id", "_hash", UPDATED])
+        source = named.unionByName(marked.where("sys_id is null")).drop("_hash", "_event")
 
     def run(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
