@@ -132,3 +132,10 @@ def test_incremental_reference_sync_takes_only_changes(spark, data, tmp_path):
 def test_unknown_company_type(spark, data, tmp_path):
     with pytest.raises(ValueError):
         loads.sync_companies(new_run(spark, tmp_path), resources(data), "partner")
+
+
+def test_a_run_for_a_past_time_is_logged_with_its_real_duration(spark, data, tmp_path):
+    run = audit.run_audited(new_run(spark, tmp_path), "backlog", {"incident": data.incident})
+    row = run.store.read_appended("run_log").first()
+    assert row["status"] == "success" and 0 < float(row["duration_seconds"]) < 3600
+    assert 0 < float(row["db_time_seconds"]) <= float(row["duration_seconds"])

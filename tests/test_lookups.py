@@ -100,3 +100,13 @@ def test_changed_rows_without_a_table_are_all_new(spark):
     assert rows(sync.changed_rows(incoming, None)) == [("1", "h", "new")]
     stored = spark.createDataFrame([("1", None), (None, "h")], "sys_id STRING, etl_hash STRING")
     assert rows(sync.changed_rows(incoming, stored)) == [("1", "h", "modified")]
+
+
+def test_repeated_reference_ids_give_whole_rows_on_both_paths(spark):
+    fact = spark.createDataFrame([("1", "a"), ("2", "b"), ("3", None), ("4", "gone")], "sys_id STRING, ref STRING")
+    dim = spark.createDataFrame([("a", "x", "9"), ("a", "y", "1"), ("b", "z", None)], "sys_id STRING, name STRING, email STRING")
+    found = [
+        rows(lookups.resolve_roles(fact, dim, {"ref": "r"}, {"name": "name", "email": "email"}, narrow=narrow))
+        for narrow in (False, True)
+    ]
+    assert found[0] == found[1] == [("1", "a", "y", "1"), ("2", "b", "z", None), ("3", None, None, None), ("4", "gone", None, None)]

@@ -102,3 +102,36 @@ def test_unfinished_versions_are_not_read(spark, tmp_path):
     old = store.read("t")
     store.publish("t", store.read("t").union(spark.range(1)))
     assert store.read("t").count() == 4 and old.count() == 3
+
+
+def test_a_value_that_returns_is_kept_with_late_by(spark, store, tmp_path):
+    versions = [("q", v, T0 + timedelta(minutes=m), m) for m, v in ((1, "A"), (2, "B"), (3, "A"))]
+    nameless = [(None, "same", T0 + timedelta(minutes=5), 9)] * 2
+    folder = str(tmp_path / "in")
+    spark.createDataFrame(versions + nameless, SCHEMA).coalesce(1).write.parquet(folder)
+    source = spark.readStream.schema(SCHEMA).parquet(folder)
+    incremental_stream(source, store, "user", "user", str(tmp_path / "checkpoint"), AS_OF, ["seq"], "1 hour").awaitTermination()
+    state = current_state(store, "user")
+    assert [r["name"] for r in state.where("sys_id = 'q'").collect()] == ["A"]
+    assert state.where("name = 'same'").count() == 2
+
+
+def test_runs_and_the_stream_do_not_replace_each_other(spark, store):
+    def stream(n, batch_id):
+        apply_batch(spark.createDataFrame(FILES[n], SCHEMA), batch_id, store, "user", "user", AS_OF, ["seq"])
+
+    stream(0, 0)
+    own = store.changes("user").drop("batch").where("sys_id = 'a'")
+    store.write_changes("user", own.withColumns({"sys_id": F.lit("run"), "name": F.lit("from a run")}), 1)
+    stream(1, 1)
+    assert store.pending("user") == [0, 1, 2]
+    names = {r["sys_id"]: r["name"] for r in current_state(store, "user").collect()}
+    assert names["run"] == "from a run" and names["c"] == "c1" and names["a"] == "a1"
+
+
+def test_rows_without_an_id_are_not_inserted_again_after_compaction(spark, store):
+    batch = spark.createDataFrame([(None, "nameless", T0, 1), ("n", "n1", T0, 2)], SCHEMA)
+    for _ in range(2):
+        apply_batch(batch, 7, store, "user", "user", AS_OF, ["seq"])
+        compact(store, "user")
+    assert current_state(store, "user").where("name = 'nameless'").count() == 1

@@ -15,7 +15,8 @@ from ticketlake.sources import archive_files, pages, scans
 from ticketlake_queries.registry import hash_sql, query, text
 from ticketlake_queries.shapes import EVENTS_AS_OF, ORDERS_AS_OF, Data
 
-RAW_FIELDS = ["sys_id", "number", "state", "short_description", "opened_at", "company", "resolved_by"]
+RAW_FIELDS = ["sys_id", "number", "state", "priority", "urgency", "impact", "short_description", "opened_at", "closed_at",
+              "company", "resolved_by", "opened_by", "caller_id"]
 
 
 def raw_incidents(d: Data) -> DataFrame:
@@ -41,7 +42,8 @@ def page_texts(d: Data) -> DataFrame:
 
 
 RAW_SQL = """
-SELECT sys_id, number, state, short_description, opened_at, coalesce(company, '') AS company, resolved_by FROM incident
+SELECT sys_id, number, state, priority, urgency, impact, short_description, opened_at, closed_at,
+       coalesce(company, '') AS company, resolved_by, opened_by, caller_id FROM incident
 """
 
 
