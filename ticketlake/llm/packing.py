@@ -13,8 +13,8 @@ assigned on the cluster; a length that a third of all pieces have is ranked in
 ``buckets`` separate groups.  Nothing else leaves the executors.
 
 Tokens: the tokenizer splits a text into words whose ids do not depend on their
-neighbours, so each task keeps the ids of the words it has met (``CACHED_WORDS``
-and those of one batch at most; a full cache keeps the words in use).
+neighbours, so each worker process keeps the ids of the words it has met: those
+of late and, when that cache is full (``CACHED_WORDS``), those before.
 
 Defined results: a null or empty text has only the closing id; repeated rows
 are packed each for itself, ties of length in order of id and piece; a null id
@@ -42,7 +42,7 @@ from ticketlake.llm.common import col, settle, text_of
 
 CAPACITY = 4096
 END_ID = 1
-CACHED_WORDS = 400_000
+CACHED_WORDS = 500_000
 # The tokenizer's word pattern for lower-case text of the characters that UNCOMMON leaves.
 LETTERS = "a-z\u00aa\u00b5\u00ba\u00df-\u00f6\u00f8-\u00ff\u0153"
 NUMBERS = "0-9\u00b2\u00b3\u00b9\u00bc-\u00be"
@@ -58,12 +58,12 @@ class WordIds:
     the tokenizer; any other text is given to it whole.
     """
 
-    def __init__(self, tokenizer_path: str, known: dict[str, bytes] | None = None):
+    def __init__(self, tokenizer_path: str, caches: tuple[dict, dict] | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
-        self.known = {} if known is None else known
+        self.known, self.older = caches or ({}, {})  # words met lately, and before that
 
     def _ids(self, words: list[str]) -> Iterator[bytes]:
         for low in range(0, len(words), 4096):
@@ -76,11 +76,16 @@ class WordIds:
         for words in split:
             if words:
                 new.update(words)
-        if len(self.known) + len(new) > CACHED_WORDS:
-            used = {w: self.known[w] for w in new if w in self.known}
+        if len(self.known) > CACHED_WORDS:
+            self.older.clear()
+            self.older.update(self.known)
             self.known.clear()
-            self.known.update(used)
-        missing = [w for w in new if w not in self.known]
+        new.difference_update(self.known)
+        if self.older:
+            again = new.intersection(self.older)
+            self.known.update((w, self.older[w]) for w in again)
+            new -= again
+        missing = list(new)
         self.known.update(zip(missing, self._ids(missing), strict=True))
         whole = self._ids([t for t, words in zip(texts, split, strict=True) if words is None])
         return [next(whole) if words is None else b"".join(map(self.known.__getitem__, words)) for words in split]
@@ -107,14 +112,14 @@ def tokenized_pieces(
     if with_ids:
         fields.append(T.StructField("ids", T.ArrayType(T.IntegerType())))
     names = [f.name for f in fields]
-    known = df.sparkSession.sparkContext.broadcast({})  # each worker process fills its own copy, task after task
+    caches = df.sparkSession.sparkContext.broadcast(({}, {}))  # each worker process fills its own copy, task after task
     closing = array("I", [end_id]).tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordIds(tokenizer_path, known.value)
+        words = WordIds(tokenizer_path, caches.value)
         for batch in batches:
-            for low in range(0, batch.num_rows, 256):
-                part = batch.slice(low, 256)
+            for low in range(0, batch.num_rows, 512):
+                part = batch.slice(low, 512)
                 row, piece, start, length, crc, ids = [], [], [], [], [], []
                 for k, data in enumerate(words.encode(part.column(1).to_pylist())):
                     data += closing
