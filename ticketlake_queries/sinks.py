@@ -171,11 +171,12 @@ def run_log_retention_removed(d: Data):
 SIZED = {
     "incident": ["sys_id", "number", "state", "priority", "urgency", "impact", "short_description", "opened_at",
                  "closed_at", "company", "resolved_by", "opened_by", "caller_id"],
-    "usr": ["sys_id", "user_name", "name", "email", "company", "department", "active"],
+    "usr": ["sys_id", "user_name", "name", "email", "company", "department", "active", "first_name", "last_name", "phone",
+            "title", "last_login", "sys_created_on", "sys_updated_on", "etl_updated_at"],
     "company": ["sys_id", "name", "customer", "vendor", "manufacturer", "phone", "website", "city", "state",
-                "country", "active"],
-    "task_sla": ["sys_id", "task", "stage", "business_percentage"],
-    "task_time_worked": ["sys_id", "task", "sys_created_by", "time_in_seconds"],
+                "country", "active", "sys_created_on", "sys_updated_on", "etl_updated_at"],
+    "task_sla": ["sys_id", "task", "sys_created_on", "stage", "business_percentage"],
+    "task_time_worked": ["sys_id", "task", "sys_created_on", "sys_created_by", "time_in_seconds"],
 }
 
 
