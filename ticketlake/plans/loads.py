@@ -18,13 +18,14 @@ from pyspark.sql import functions as F
 from ticketlake.functions.periods import default_window, in_window, run_window, to_day
 from ticketlake.operators import merge as M
 from ticketlake.operators.archive import replace_slice
+from ticketlake.operators.integrity import missing_company_ids, missing_user_ids
 from ticketlake.operators.lookups import plan_bytes
-from ticketlake.operators.normalize import add_row_hash, audit_stamp, normalize_flags, with_reject_reasons
-from ticketlake.operators.sync import CHANGE, incremental_changes, reference_full_scan
-from ticketlake.schemas import TYPED_TABLES
+from ticketlake.operators.normalize import add_row_hash, audit_stamp, flatten_refs, normalize_flags, with_reject_reasons
+from ticketlake.operators.sync import CHANGE, incremental_changes, normalise_reference, reference_by_ids, reference_full_scan
+from ticketlake.schemas import PAGE_LIMIT, TYPED_TABLES
 from ticketlake.session import together
 from ticketlake.sources import archive_files, scans
-from ticketlake.sources.pages import assert_complete
+from ticketlake.sources.pages import assert_complete, paged_scan
 from ticketlake.sources.tables import TableStore, current_state
 
 # A batch becomes a change set if the table is this many times its size, until
@@ -50,6 +51,7 @@ class Run:
     json_storage: bool = False
     order: list[str] = field(default_factory=list)  # columns that rank the copies of a record
     coverage: dict[str, Observation] = field(default_factory=dict)  # page checks of paged resources
+    page_limits: dict[str, int] = field(default_factory=dict)
     execution_id: str = field(default_factory=lambda: str(uuid.uuid4()))
     counts: dict[str, int] = field(default_factory=dict)
     merged: dict[str, dict[str, int]] = field(default_factory=dict)
@@ -90,7 +92,7 @@ def land(run: Run, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
         counts = [F.count(F.lit(1)).alias("rows"), F.count(REASON).alias("rejected")]
         rows = run.landing.publish(name, df.observe(seen, *counts))
         if name in run.coverage:
-            assert_complete(run.coverage[name].get)
+            assert_complete(run.coverage[name].get, run.page_limits.get(name, PAGE_LIMIT))
         return rows, seen.get
 
     landed = {}
@@ -101,6 +103,33 @@ def land(run: Run, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return landed
 
 
+def paged_resource(run: Run, name: str, path: str, fields: list[str], limit: int = PAGE_LIMIT) -> DataFrame:
+    """A resource from its landed pages, as a run takes it.
+
+    The records keep their page offset and position, which rank the copies of a
+    record if the run's ``order`` names them.  The pages are checked while the
+    records are landed; a lost, cut or repeated page ends the run before
+    anything is stored.
+    """
+    seen = run.coverage[name] = Observation()
+    run.page_limits[name] = limit
+    return flatten_refs(paged_scan(run.spark, path, limit, coverage=seen), fields)
+
+
+def sync_missing(run: Run, source: DataFrame, name: str) -> Run:
+    """Fetch and store the users or companies that stored incidents name and the table lacks."""
+    incident, known = run.table("incident"), run.table(name)
+    if incident is None:
+        return run
+    if known is None:
+        known = run.spark.createDataFrame([], "sys_id STRING")
+    find = {"user": missing_user_ids, "company": missing_company_ids}[name]
+    fetched = reference_by_ids(source, find(incident, known)).drop(*run.order).dropDuplicates(["sys_id"])
+    rows = normalise_reference(fetched, name, run.as_of)
+    save(run, land(run, {name: rows}))
+    return run
+
+
 def rejects(run: Run, name: str) -> DataFrame:
     """Rows of a landed table that were not loaded, with their reasons."""
     return run.landing.read(name).where(F.col(REASON).isNotNull())

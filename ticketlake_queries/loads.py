@@ -11,9 +11,11 @@ from ticketlake.operators import sync
 from ticketlake.operators.normalize import add_row_hash, audit_stamp
 from ticketlake.plans import audit, loads
 from ticketlake.session import scratch_dir
+from ticketlake.sources import pages
 from ticketlake.sources.tables import TableStore, current_state
 from ticketlake.streaming.incremental import incremental_stream
 from ticketlake_queries.registry import double, hash_sql, query
+from ticketlake_queries.scans import RAW_FIELDS, raw_incidents
 from ticketlake_queries.shapes import ORDERS_AS_OF, Data
 
 TRACKED = ["sys_id", "name", "department", "active"]
@@ -263,3 +265,51 @@ def run_log_append(d: Data):
     return store.read_appended("run_log").groupBy("execution_type", "status").agg(
         F.count(F.lit(1)).alias("runs"), F.sum("total_records_processed").alias("records")
     )
+
+
+INCIDENT_ROWS = """
+SELECT sys_id, number, state, priority, urgency, impact, short_description, opened_at, closed_at,
+       coalesce(company, '') AS company, resolved_by, opened_by, caller_id
+FROM incident WHERE opened_at >= '1996-03-01 00:00:00' AND opened_at <= '2000-10-31 23:59:59'
+"""
+
+
+@query("load_from_pages", INCIDENT_ROWS)
+def load_from_pages(d: Data):
+    """Landed pages through check, flattening, window and upsert, and the stored rows back."""
+    path = scratch_dir(d.spark, "pages")
+    pages.land_pages(raw_incidents(d), path)
+    run = loads.Run(d.spark, scratch_dir(d.spark, "run"), ORDERS_AS_OF, order=["offset", "position"])
+    incidents = loads.paged_resource(run, "incident", path, RAW_FIELDS)
+    loads.load_incidents(run, {"incident": incidents}, "1996-03-01", "2000-10-31")
+    return run.table("incident").select(*RAW_FIELDS)
+
+
+def _missing_loaded(d: Data, name: str, partial: DataFrame) -> DataFrame:
+    run = new_run(d)
+    loads.load_incidents(run, {"incident": d.incident}, backlog=True)
+    loads.load_reference(run, {name: partial.drop("etl_updated_at")})
+    source = resources(d)[name]
+    loads.sync_missing(run, source, name)
+    return run.table(name).select("sys_id", "name")
+
+
+NAMED_USERS = """
+SELECT resolved_by AS id FROM incident UNION SELECT opened_by FROM incident UNION SELECT caller_id FROM incident
+"""
+
+
+@query(
+    "sync_missing_users",
+    f"SELECT sys_id, name FROM usr WHERE (department <> 'MACHINERY' AND {RECENT}) OR sys_id IN (SELECT id FROM ({NAMED_USERS}) AS n)",
+)
+def sync_missing_users(d: Data):
+    return _missing_loaded(d, "user", d.usr.where("department <> 'MACHINERY'"))
+
+
+@query(
+    "sync_missing_companies",
+    f"SELECT sys_id, name FROM company WHERE (vendor = 1 AND {RECENT}) OR sys_id IN (SELECT company FROM incident)",
+)
+def sync_missing_companies(d: Data):
+    return _missing_loaded(d, "company", d.company.where("vendor = 1"))
