@@ -188,8 +188,8 @@ def disclosing(df: DataFrame, base: DataFrame, text_col: str, near: DataFrame, s
     )
     words = F.array_distinct(F.regexp_extract_all(F.lower(text_of(text_col)), F.lit(WORD), F.lit(0)))
     terms = df.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
-    total = base.agg(F.count("*").alias("n_all"))
-    scored = pairs.join(entities, "entity").join(terms, "term").join(F.broadcast(total))  # one row
+    total = base.select(F.count("*")).scalar()
+    scored = pairs.join(entities, "entity").join(terms, "term").withColumn("n_all", total)
     log = lambda x: F.log2(x)
     pmi = log(F.col("n_all") * F.col("n_both") / (F.col("n_term") * F.col("n_entity")))
     content = log(F.col("n_all") / F.col("n_entity"))

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ticketlake.llm.common import col, settle, text_of
+from ticketlake.llm.common import col, settle, spread_join, text_of
 from ticketlake.llm.suffix_array import repeated_prefixes
 
 LENGTH = 400
@@ -244,7 +244,7 @@ def sorted_groups(rows: DataFrame, length: int) -> DataFrame:
 def contested_ranges(found: DataFrame, length: int) -> DataFrame:
     """gram, whole, low, high: the repeated starts of strings that have their gram in common."""
     sizes = found.groupBy("gram").agg(F.count("*").alias("n"))
-    held = found.join(sizes, "gram").withColumn("upto", F.length("string") - length)
+    held = spread_join(found, sizes, "gram").withColumn("upto", F.length("string") - length)
     usual = held.where(F.col("n") <= GROUP).select(
         F.col("gram").alias("part"), "gram", "whole", "string", F.lit(0).alias("from_"), "upto"
     )
@@ -271,7 +271,7 @@ def repeated_ranges(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     kinds = settle(kinds, "strings")
     shape = kinds.groupBy("gram").agg(F.count("*").alias("different"), F.min("n").alias("least"))
     contested = shape.where("different > 1 and least = 1").select("gram")
-    wanted = kinds.join(contested, "gram").select("gram", "whole", "where.*")
+    wanted = spread_join(kinds, contested, "gram").select("gram", "whole", "where.*")
     found = contested_ranges(settle(strings(texts, wanted, length), "contested"), length)
     single = kinds.where("n = 1").join(found, ["gram", "whole"]).select(
         "where.k1", "where.k2", (F.col("where.first") + F.col("low")).alias("first"), (F.col("where.first") + F.col("high") + length).alias("after")
