@@ -88,14 +88,22 @@ def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
     )
     same = lambda k: F.col("id").eqNullSafe(F.col(f"{k}.id")) & (F.col("text_key") == F.col(f"{k}.text_key"))
     members = spread_join(cut, repeated, "digest").where(~(same("keeper") & (F.col("first") == F.col("keeper.first"))))
-    texts = df.select(col(id_col).alias("id"), F.xxhash64(text_of(text_col)).alias("text_key"), text_of(text_col).alias("text"))
+    # the columns beside id and text under names of their own; without any, both joins read one exchange of the texts
+    others = {f"_c{k}": f.name for k, f in enumerate(df.schema.fields) if f.name not in (id_col, text_col)}
+    texts = df.select(
+        col(id_col).alias("id"),
+        F.xxhash64(text_of(text_col)).alias("text_key"),
+        col(text_col).alias("text"),
+        *[col(name).alias(own) for own, name in others.items()],
+    )
+    whole = F.coalesce(F.col("text").cast("string"), F.lit(""))
     wanted = repeated.groupBy(F.col("keeper.id").alias("own_id"), F.col("keeper.text_key").alias("own_key")).agg(
         F.collect_list(F.struct("digest", F.col("keeper.first").alias("first"), F.col("keeper.after").alias("after"))).alias("own")
     )
     own_text = F.col("id").eqNullSafe(F.col("own_id")) & (F.col("text_key") == F.col("own_key"))
     kept = (
-        texts.join(wanted, own_text)
-        .select("own", lines_of("text").alias("lines"))
+        texts.join(wanted.hint("merge"), own_text)
+        .select("own", lines_of(whole).alias("lines"))
         .select(
             F.explode(
                 F.transform("own", lambda s: F.struct(s["digest"].alias("digest"), piece("lines", s).alias("piece")))
@@ -110,19 +118,14 @@ def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
         .groupBy(F.col("id").alias("own_id"), F.col("text_key").alias("own_key"))
         .agg(F.collect_set(F.struct("first", "after", "piece")).alias("own"))
     )
-    rows = df.select(
-        F.struct("*").alias("row"),
-        col(id_col).alias("id"),
-        F.xxhash64(text_of(text_col)).alias("text_key"),
-        text_of(text_col).alias("text"),
-    )
-    joined = rows.join(doomed, own_text, "left").withColumn("lines", lines_of("text"))
+    joined = texts.join(doomed.hint("merge"), own_text, "left").withColumn("lines", lines_of(whole))
     joined = joined.withColumn("gone", F.filter("own", lambda s: s["piece"] == piece("lines", s)))
     left = F.filter("lines", lambda line, i: ~F.exists("gone", lambda s: (i >= s["first"]) & (i < s["after"])))
     some = F.col("gone").isNotNull() & (F.size("gone") > 0)
     joined = joined.withColumn("left", F.when(some, left).otherwise(F.col("lines")))
-    text = F.when(some, F.array_join("left", "\n")).otherwise(F.col(f"row.`{text_col}`"))
-    fields = [F.col(f"row.`{f.name}`") if f.name != text_col else text.alias(text_col) for f in df.schema.fields]
+    text = F.when(some, F.array_join("left", "\n")).otherwise(F.col("text"))
+    own_name = {id_col: F.col("id"), text_col: text} | {name: F.col(own) for own, name in others.items()}
+    fields = [own_name[name].alias(name) for name in df.columns]
     return joined.select(
         "id",
         F.struct(*fields).alias("row"),

@@ -91,7 +91,7 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op5_line_dedup")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = line_dedup.line_dedup(table(spark, sf_dir, "documents"))
+    done = line_dedup.line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return done.select(
         F.col("id").alias("doc_id"),
         "n_lines",
