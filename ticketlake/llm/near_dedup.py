@@ -13,14 +13,15 @@ its whole word sequence as the only shingle).  Documents are linked when
 3. The links give components.  A bucket whose members then still lie in
    several components may hide links between them, so there the members
    outside the bucket's most frequent component are compared with all
-   members of other components, in blocks of ``BLOCK`` x ``BLOCK``
-   signatures.  Pairs inside one component need no comparison.  No bucket is
+   members of other components, in blocks of ``BLOCK`` x ``BLOCK``, by finer
+   signatures (the last four bits of ``FINE`` minima, made for these members
+   only).  Pairs inside one component need no comparison.  No bucket is
    capped.
 
 With 32 bands of 4 rows a pair at exactly 0.75 is missed with a probability of
 about 5 in a million, a closer one far less often; ``LEAST_EQUAL`` of the 128
 minima (five standard deviations under the expectation at 0.75) adds one in a
-million.  Whatever is linked is confirmed on the full sets.
+million, and so do the finer signatures.  Whatever is linked is confirmed on the full sets.
 
 Defined results: null or wordless texts have an empty set and are linked with
 nothing.  ``component_id`` is the smallest id of the group; null ids do not
@@ -49,6 +50,7 @@ PERCENT = 75
 BANDS = 32
 ROWS = 4
 LEAST_EQUAL = 72
+FINE = 1024
 BLOCK = 1000
 KNOWN_WORDS = 300_000
 SEED = 20260
@@ -198,10 +200,37 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def hidden_pairs(members: DataFrame, nodes: DataFrame, found: DataFrame, hashes: int, least: int) -> DataFrame:
-    """Pairs of one bucket, in different components, whose signatures agree in at least ``least`` places."""
+def fine_signatures(sets: DataFrame) -> DataFrame:
+    """set_key and four bits of each of ``FINE`` minima, two to a byte."""
+    a, b = coefficients(FINE)
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = []
+            for row in batch.column(1):
+                s = row.values.to_numpy().view(np.uint64)
+                bits = np.concatenate([signature(s, a[k : k + 128], b[k : k + 128]) for k in range(0, FINE, 128)]) & 15
+                made.append((bits[::2] | bits[1::2] << 4).astype(np.uint8).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], names=["set_key", "fine"])
+
+    return sets.select("set_key", "shingles").mapInArrow(sign, "set_key binary, fine binary")
+
+
+def least_alike(percent: int) -> int:
+    """Five standard deviations under the number of equal four-bit minima expected at the threshold."""
+    p = percent / 100 + (1 - percent / 100) / 16
+    return int(FINE * p - 5 * (FINE * p * (1 - p)) ** 0.5)
+
+
+def hidden_pairs(
+    members: DataFrame, nodes: DataFrame, sets: DataFrame, found: DataFrame, percent: int, bands: int
+) -> DataFrame:
+    """Pairs of one bucket, in different components, whose finer signatures are similar enough.
+
+    A pair with several buckets in common is found in the first of them only.
+    """
     labelled = members.join(found, members["set_key"] == found["node"], "left").select(
-        "bucket", "set_key", F.coalesce("component", "set_key").alias("component")
+        "bucket", "band", "set_key", F.coalesce("component", "set_key").alias("component")
     )
     mixed = labelled.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
     rows = settle(spread_join(labelled, mixed.select("bucket"), "bucket"), "mixed")
@@ -214,7 +243,9 @@ def hidden_pairs(members: DataFrame, nodes: DataFrame, found: DataFrame, hashes:
         F.ceil(F.col("members") / BLOCK).cast("int").alias("across"),
         F.ceil((F.col("members") - F.col("top.n")) / BLOCK).cast("int").alias("down"),
     )
-    held = spread_join(rows, shape, "bucket").join(nodes.select("set_key", "signature"), "set_key")
+    fine = settle(fine_signatures(sets.join(rows.select("set_key").distinct(), "set_key", "left_semi")), "fine")
+    signed = fine.join(nodes.select("set_key", "signature"), "set_key")
+    held = spread_join(rows, shape, "bucket").join(signed, "set_key")
     place = lambda n: F.pmod(F.xxhash64("set_key"), F.col(n)).cast("int")
     base = held.withColumn("i", place("across")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("down") - 1)))
     asked = (
@@ -222,18 +253,25 @@ def hidden_pairs(members: DataFrame, nodes: DataFrame, found: DataFrame, hashes:
         .withColumn("j", place("down"))
         .withColumn("i", F.explode(F.sequence(F.lit(0), F.col("across") - 1)))
     )
-    wanted = ["bucket", "i", "j", "set_key", "component", "signature"]
+    wanted = ["bucket", "i", "j", "band", "set_key", "component", "fine", "signature"]
     both = base.select(*wanted, F.lit(False).alias("asks")).union(asked.select(*wanted, F.lit(True).alias("asks")))
+    least = least_alike(percent)
 
     def compare(group: pa.Table) -> pa.Table:
         asks = group.column("asks").to_numpy()
         keys = np.array(group.column("set_key").to_pylist(), object)
         parts = np.unique(np.array(group.column("component").to_pylist(), object), return_inverse=True)[1]
-        signs = np.frombuffer(b"".join(group.column("signature").to_pylist()), "<u4").reshape(-1, hashes)
-        base_keys, base_parts, base_signs = keys[~asks], parts[~asks], signs[~asks]
+        signs = np.frombuffer(b"".join(group.column("fine").to_pylist()), np.uint8).reshape(len(keys), -1)
+        coarse = np.frombuffer(b"".join(group.column("signature").to_pylist()), "<u4").reshape(len(keys), bands, -1)
+        band = group.column("band")[0].as_py()
+        base_keys, base_parts, base_signs, base_coarse = keys[~asks], parts[~asks], signs[~asks], coarse[~asks]
         pairs = set()
         for k in np.flatnonzero(asks):
-            near = (alike(base_signs, signs[k]) >= least) & (base_parts != parts[k])
+            others = np.flatnonzero(base_parts != parts[k])
+            differ = base_signs[others] ^ signs[k]
+            equal = ((differ & 15) == 0).sum(axis=1) + (differ < 16).sum(axis=1)
+            near = others[equal >= least]
+            near = near[(base_coarse[near] == coarse[k]).all(axis=2).argmax(axis=1) == band]
             pairs.update((min(keys[k], other), max(keys[k], other)) for other in base_keys[near])
         return pa.table(
             {"a": pa.array([p[0] for p in pairs], pa.binary()), "b": pa.array([p[1] for p in pairs], pa.binary())}
@@ -265,10 +303,10 @@ def near_dedup(
         ),
         "nodes",
     )
-    bucket = F.explode(
+    bucket = F.posexplode(
         F.array(*[F.xxhash64(F.lit(k), F.substring("signature", 4 * rows * k + 1, 4 * rows)) for k in range(bands)])
     )
-    buckets = nodes.select("set_key", bucket.alias("bucket"))
+    buckets = nodes.select("set_key", bucket.alias("band", "bucket"))
     shared = buckets.groupBy("bucket").agg(F.min("set_key").alias("low"), F.max("set_key").alias("high")).where("low <> high")
     members = settle(spread_join(buckets, shared, "bucket"), "members")
     first = (
@@ -281,9 +319,10 @@ def near_dedup(
     sets = settle(full_sets(df, nodes.join(in_use, "set_key"), id_col, text_col, width), "sets")
     links = settle(confirmed(signed_pairs(first, nodes, hashes, least_equal), sets, percent), "links")
     found = components(links)
-    more = settle(confirmed(hidden_pairs(members, nodes, found, hashes, least_equal), sets, percent), "links")
+    more = settle(confirmed(hidden_pairs(members, nodes, sets, found, percent, bands), sets, percent), "links")
     if not more.isEmpty():
-        found = components(links.union(more))
+        stars = found.where("node <> component").select(F.col("node").alias("u"), F.col("component").alias("v"))
+        found = components(stars.union(more))
     labels = nodes.select("set_key", "min_id").join(found, F.col("set_key") == F.col("node"), "left")
     labels = labels.select("set_key", "min_id", F.coalesce("component", "set_key").alias("component"))
     least = labels.groupBy("component").agg(F.min("min_id").alias("component_id"))
