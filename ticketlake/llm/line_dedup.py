@@ -1,22 +1,31 @@
-"""Line deduplication by content-defined chunks of lines.
+"""Line deduplication: repeated passages of lines, whatever stands around them.
 
-Built-in functions only.  A hash over ``window`` consecutive line hashes rolls
-along a text; a chunk begins where it has a local minimum.  Such a place depends
-on the lines around it alone, so a passage that stands in several texts is cut
-alike in all of them, wherever it stands and whatever comes before.  Two
-minima are never neighbours: chunks between them have two lines or more.
+Built-in functions only.  The units that are looked up in all texts are
 
-1. Chunks are compared by a narrow table of their hashes; the first chunk (by
+* every pair of neighbouring visible lines, with the blank lines between them,
+* every single line of ``LONG_LINE`` characters or more, and
+* content-defined chunks: a hash over ``window`` consecutive line hashes rolls
+  along a text, and a chunk begins where it has a local minimum.  They take the
+  blank lines at the ends of passages too.
+
+Units overlap, so a passage that stands in several texts is covered from its
+first line to its last in each of them: a match grows over neighbouring lines
+as long as the next pair is repeated too.
+
+1. Units are compared by a narrow table of their hashes; the first unit (by
    id, then place) of each hash that occurs more than once is the keeper.
 2. The keepers' bytes are taken from their texts and go to the other members.
-3. A member is removed from its text if its bytes equal the keeper's.
+3. A member is removed from its text if its bytes equal the keeper's and it does
+   not overlap the keeper.  The first place of a line is in no member, so every
+   line stays somewhere.
 
-Only the hashes of the chunks and the texts of repeated ones are shuffled by
-content; a chunk that a third of all texts hold is one row per text there, and
+Only the hashes of the units and the texts of repeated ones are shuffled by
+content; a unit that a third of all texts hold is one row per text there, and
 AQE splits it.
 
-Defined results: a null text is empty and has one empty line; chunks of one
-line and chunks without a visible character stay; lines end at ``\\n`` only.
+Defined results: a null text is empty and has one empty line; single lines under
+``LONG_LINE`` and units without a visible character stay; lines end at ``\\n`` only.
+``n_chunks`` counts the removed passages: runs of neighbouring removed lines.
 Null ids come last.  Rows that repeat an id and its text are one text: all of
 them keep or lose the same chunks.  An empty table gives an empty result.
 """
@@ -29,6 +38,9 @@ from pyspark.sql import functions as F
 from ticketlake.llm.common import col, settle, spread_join, text_of
 
 WINDOW = 2
+#: a line of so many characters is a passage by itself; one of over 50 words has at least as many
+LONG_LINE = 100
+VISIBLE = r"[^\x00-\x20]"
 
 
 def lines_of(text: str | Column) -> Column:
@@ -36,7 +48,7 @@ def lines_of(text: str | Column) -> Column:
 
 
 def chunks(df: DataFrame, id_col: str, text_col: str, window: int) -> DataFrame:
-    """id, text_key, digest, first and after (line numbers) of all chunks of two lines or more."""
+    """id, text_key, digest, first and after (line numbers) of all units: chunks of two lines or more, pairs, long lines."""
     rows = df.select(
         col(id_col).alias("id"), F.xxhash64(text_of(text_col)).alias("text_key"), lines_of(text_of(text_col)).alias("lines")
     )
@@ -58,16 +70,25 @@ def chunks(df: DataFrame, id_col: str, text_col: str, window: int) -> DataFrame:
         "begins",
         lambda b, k: F.struct(b.alias("first"), F.coalesce(F.get("begins", k + 1), n).alias("after")),
     )
-    long_enough = F.filter(spans, lambda s: s["after"] - s["first"] >= 2)
+    seen = F.filter(F.sequence(F.lit(0), n - 1), lambda i: F.get("lines", i).rlike(VISIBLE))
+    rows = rows.withColumn("spans", F.filter(spans, lambda s: s["after"] - s["first"] >= 2)).withColumn("seen", seen)
+    pairs = F.transform(
+        F.slice("seen", 1, F.greatest(F.size("seen") - 1, F.lit(0))),
+        lambda i, k: F.struct(i.alias("first"), (F.get("seen", k + 1) + 1).alias("after")),
+    )
+    long_lines = F.transform(
+        F.filter("seen", lambda i: F.char_length(F.get("lines", i)) >= LONG_LINE),
+        lambda i: F.struct(i.alias("first"), (i + 1).alias("after")),
+    )
     own = F.transform(
-        long_enough,
+        F.array_distinct(F.concat("spans", pairs, long_lines)),
         lambda s: F.struct(
             s["first"].alias("first"),
             s["after"].alias("after"),
             piece("lines", s).alias("piece"),
         ),
     )
-    visible = F.filter(own, lambda s: s["piece"].rlike(r"[^\x00-\x20]"))
+    visible = F.filter(own, lambda s: s["piece"].rlike(VISIBLE))
     made = F.transform(
         visible,
         lambda s: F.struct(F.xxhash64(s["piece"]).alias("digest"), s["first"].alias("first"), s["after"].alias("after")),
@@ -87,7 +108,7 @@ def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
         cut.groupBy("digest").agg(F.min(place).alias("keeper"), F.count("*").alias("n")).where("n > 1").drop("n"), "repeated"
     )
     same = lambda k: F.col("id").eqNullSafe(F.col(f"{k}.id")) & (F.col("text_key") == F.col(f"{k}.text_key"))
-    members = spread_join(cut, repeated, "digest").where(~(same("keeper") & (F.col("first") == F.col("keeper.first"))))
+    members = spread_join(cut, repeated, "digest").where(~(same("keeper") & (F.col("first") < F.col("keeper.after"))))
     # the columns beside id and text under names of their own; without any, both joins read one exchange of the texts
     others = {f"_c{k}": f.name for k, f in enumerate(df.schema.fields) if f.name not in (id_col, text_col)}
     texts = df.select(
@@ -120,8 +141,13 @@ def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
     )
     joined = texts.join(doomed.hint("merge"), own_text, "left").withColumn("lines", lines_of(whole))
     joined = joined.withColumn("gone", F.filter("own", lambda s: s["piece"] == piece("lines", s)))
-    left = F.filter("lines", lambda line, i: ~F.exists("gone", lambda s: (i >= s["first"]) & (i < s["after"])))
     some = F.col("gone").isNotNull() & (F.size("gone") > 0)
+    # by sets of line numbers: linear in the lines, however many units are gone
+    numbers = F.flatten(F.transform("gone", lambda s: F.sequence(s["first"], s["after"] - 1)))
+    joined = joined.withColumn("numbers", F.when(some, F.array_sort(F.array_distinct(numbers))))
+    kept_numbers = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("numbers"))
+    left = F.transform(kept_numbers, lambda i: F.get("lines", i))
+    runs = F.filter("numbers", lambda i, k: (k == 0) | (F.get("numbers", k - 1) < i - 1))
     joined = joined.withColumn("left", F.when(some, left).otherwise(F.col("lines")))
     text = F.when(some, F.array_join("left", "\n")).otherwise(F.col("text"))
     own_name = {id_col: F.col("id"), text_col: text} | {name: F.col(own) for own, name in others.items()}
@@ -131,10 +157,10 @@ def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
         F.struct(*fields).alias("row"),
         F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size("left")).cast("long").alias("n_removed"),
-        F.when(some, F.size("gone")).otherwise(0).cast("long").alias("n_chunks"),
+        F.when(some, F.size(runs)).otherwise(0).cast("long").alias("n_chunks"),
     )
 
 
 def shortened(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
-    """``df`` without its repeated chunks."""
+    """``df`` without its repeated passages."""
     return line_dedup(df, id_col, text_col, window).select("row.*")
