@@ -5,15 +5,22 @@ Built-in functions only.
 Base spans are e-mail addresses, IP addresses, card numbers and phone numbers
 found by pattern and checked (parts up to 255, Luhn, number of digits).
 
-Every distinct value found is a protected entity ``e``.  Over the whole corpus
-the terms ``t`` within ``REACH`` characters of its mentions are counted per
-document.  With ``N`` documents, ``IC(e) = log2(N / n(e))`` is the information
-that the entity carries and
-``PMI(t, e) = log2(N * n(t, e) / (n(t) * n(e)))`` what the term gives away of
-it.  Where ``PMI / IC`` reaches ``GENERALISE`` the term next to a mention
-becomes a span of kind ``term`` too; from ``REMOVE`` on ``sanitised`` drops it,
-below that it puts a general word.  A term needs ``SUPPORT`` different texts
-with the entity: one text and its exact copies are no evidence.
+Every distinct value found is a protected entity ``e``, and every word outside
+the spans a term ``t``.  Documents are counted whole: ``n(e)`` hold the entity,
+``n(t)`` the term and ``n(t, e)`` both, however far apart.  With ``N``
+documents, ``IC(e) = log2(N / n(e))`` is the information that the entity
+carries and ``PMI(t, e) = log2(N * n(t, e) / (n(t) * n(e)))`` what the term
+gives away of it.  Where ``PMI / IC`` reaches ``GENERALISE`` every occurrence
+of the term, in documents without the entity too, becomes a span of kind
+``term``; from ``REMOVE`` on ``sanitised`` drops it, below that it puts a
+general word.  A term needs ``SUPPORT`` different texts with the entity: one
+text and its exact copies are no evidence, as each of its own words would give
+away all.
+
+Since ``n(t, e) <= n(e)``, a term can reach the threshold ``g`` only if
+``n(t) <= N ** (1 - g) * n(e) ** g``: pairs beyond that, and of entities or
+terms without enough support, are left out before they are counted, which
+changes no result.
 
 Patterns run in time proportional to the text: repeats are possessive, and a
 search begins only where a run of its characters begins (or the last match
@@ -29,7 +36,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ticketlake.llm.common import col, settle, text_of
+from ticketlake.llm.common import col, settle, spread_join, text_of
 
 #: kinds in their order, with the pattern of each
 KINDS = {
@@ -40,7 +47,7 @@ KINDS = {
 }
 BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 WORD = r"[\p{L}][\p{L}\p{N}_]+"
-REACH = 48
+BLOCK = 64
 GENERALISE = 0.8
 REMOVE = 0.95
 SUPPORT = 3
@@ -88,13 +95,14 @@ CHECKS = {
 }
 
 
-def base_spans(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id, text_key and the checked spans (start, rank, kind, after, value, before, behind) in their order."""
-    rows = df.select(col(id_col).alias("id"), text_of(text_col).alias("text"))
+def base_spans(df: DataFrame, id_col: str, text_col: str, *others: str) -> DataFrame:
+    """id, text_key, the checked spans (start, rank, kind, after, value) in their order, and the text with blanks for them."""
+    rows = df.select(col(id_col).alias("id"), text_of(text_col).alias("text"), *others)
     hint = {"email": "@", "ip": ".", "card": "", "phone": "+"}
     rows = rows.select(
         "id",
         "text",
+        *others,
         *[
             F.when(
                 F.contains("text", F.lit(hint[k])), F.regexp_extract_all("text", F.lit(p), F.lit(0))
@@ -114,88 +122,140 @@ def base_spans(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 s["after"].alias("after"),
                 F.lit(kind).alias("kind"),
                 s["value"].alias("value"),
-                F.substring(text, F.greatest(s["start"] - REACH, F.lit(0)) + 1, F.least(s["start"], F.lit(REACH))).alias("before"),
-                F.substring(text, s["after"] + 1, F.lit(REACH)).alias("behind"),
             ),
         )
 
     each = [spans(k, kind) for k, kind in enumerate(KINDS)]
-    return rows.select("id", F.xxhash64("text").alias("text_key"), F.array_sort(F.concat(*each)).alias("spans"))
+    rows = rows.select("id", F.xxhash64("text").alias("text_key"), F.array_sort(F.concat(*each)).alias("spans"), text.alias("blanked"), *others)
+    of_rank = lambda rank: F.filter("spans", lambda s: s["rank"] == rank)
+    for rank in range(len(KINDS)):  # spans of one kind do not overlap
+        rows = rows.withColumn("own", of_rank(rank))
+        rows = rows.withColumn("blanked", F.when(F.size("own") > 0, blanked("blanked", "own")).otherwise(F.col("blanked")))
+    return rows.drop("own")
+
+
+def blanked(text: str, spans: str) -> Column:
+    """The text with a blank for each character of the spans."""
+    until = lambda k: F.coalesce(F.get(spans, k)["after"], F.lit(0))
+    pieces = F.transform(
+        spans,
+        lambda s, k: F.concat(
+            F.substring(text, until(k - 1) + 1, s["start"] - until(k - 1)), F.repeat(F.lit(" "), s["after"] - s["start"])
+        ),
+    )
+    return F.concat(F.array_join(pieces, ""), F.substring(text, until(F.size(spans) - 1) + 1, F.char_length(text)))
 
 
-def entity_of() -> Column:
-    """What is protected by a span ``s``: its kind and its value without differences of writing."""
-    plain = F.when(F.col("s.kind") == "email", F.lower("s.value")).when(F.col("s.kind") == "ip", F.col("s.value"))
-    return F.concat_ws(":", "s.kind", plain.otherwise(digits(F.col("s.value"))))
+def entity_of(s: Column) -> Column:
+    """What is protected by a span: its kind and its value without differences of writing."""
+    plain = F.when(s["kind"] == "email", F.lower(s["value"])).when(s["kind"] == "ip", s["value"])
+    return F.concat_ws(":", s["kind"], plain.otherwise(digits(s["value"])))
 
 
-def contexts(base: DataFrame) -> DataFrame:
-    """id, text_key, entity, term, start, after: the whole words next to every mention, outside other mentions."""
-    # only so many spans can start or end within reach of another: none is shorter than five characters,
-    # those of one kind do not overlap, and they are in order
-    beside = F.transform(
-        "spans",
-        lambda s, k: F.struct(
-            s.alias("s"),
-            F.transform(
-                F.slice("spans", F.greatest(k - REACH, F.lit(0)) + 1, F.lit(2 * REACH + 1)),
-                lambda o: F.struct(o["start"].alias("start"), o["after"].alias("after")),
-            ).alias("others"),
-        ),
+def terms_of(text: str) -> Column:
+    """The different words of a text."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), F.lower))
+
+
+def disclosing(base: DataFrame, support: int, generalise: float) -> DataFrame:
+    """term and the largest disclosure of the terms that give an entity away."""
+    total = base.select(F.count("*")).scalar()
+    mentions = (
+        base.where(F.size("spans") > 0)
+        .select("id", "text_key", F.explode(F.array_distinct(F.transform("spans", entity_of))).alias("entity"))
+        .distinct()  # repeated rows count once
     )
-    one = base.where(F.size("spans") > 0).select("id", "text_key", F.explode(beside).alias("x"))
-    one = one.select("id", "text_key", "x.s", "x.others")
-    left = F.greatest(F.col("s.start") - REACH, F.lit(0))
-    full = F.char_length("s.behind") == REACH
-    moved = lambda words, by: F.transform(
-        words,
-        lambda w: F.struct(
-            F.lower(w["value"]).alias("term"), (w["start"] + by).alias("start"), (w["after"] + by).alias("after")
-        ),
+    entities = (
+        mentions.groupBy("entity", "text_key")
+        .agg(F.count("*").alias("n"))
+        .groupBy("entity")
+        .agg(F.sum("n").alias("n_entity"), F.count("*").alias("texts"))
+        .where(F.col("texts") >= support)
+        .withColumn("n_all", total)
+        .where("n_entity < n_all")
+        # no term of more documents can disclose so much; a little more for rounding
+        .withColumn("most", F.pow("n_all", F.lit(1 - generalise)) * F.pow("n_entity", F.lit(generalise)) * (1 + 1e-6))
+        .drop("texts")
     )
-    # a word that touches the outer edge of the window may be cut
-    before = F.filter(matches(F.col("s.before"), WORD), lambda w: (w["start"] > 0) | (left == 0))
-    behind = F.filter(matches(F.col("s.behind"), WORD), lambda w: (w["after"] < REACH) | ~full)
-    words = F.concat(moved(before, left), moved(behind, F.col("s.after")))
-    outside = F.filter(
-        words, lambda w: ~F.exists("others", lambda o: (w["start"] < o["after"]) & (o["start"] < w["after"]))
+    entities = settle(entities, "entities")
+    terms = (
+        base.select(F.explode("terms").alias("term"))
+        .groupBy("term")
+        .agg(F.count("*").alias("n_term"))
+        .where((F.col("n_term") >= support) & (F.col("n_term") <= entities.select(F.max("most")).scalar()))
     )
-    return one.select(
-        "id", "text_key", entity_of().alias("entity"), F.explode(outside).alias("w")
-    ).select("id", "text_key", "entity", "w.term", "w.start", "w.after")
-
-
-def disclosing(df: DataFrame, base: DataFrame, text_col: str, near: DataFrame, support: int, generalise: float) -> DataFrame:
-    """entity, term and disclosure of the terms that give an entity away."""
+    wanted = settle(spread_join(mentions, entities, "entity"), "mentions")
+    holders = wanted.select(F.col("id").alias("own_id"), F.col("text_key").alias("own_key")).distinct()
+    same = F.col("id").eqNullSafe(F.col("own_id")) & (F.col("text_key") == F.col("own_key"))
+    words = (
+        base.where(F.size("spans") > 0)
+        .join(holders, same, "left_semi")
+        .select(F.col("id").alias("own_id"), F.col("text_key").alias("own_key"), F.explode("terms").alias("term"))
+    )
+    words = spread_join(words, terms, "term").distinct()
     per_text = (
-        near.select("id", "text_key", "entity", "term")
-        .distinct()  # repeated mentions in a document count once
-        .groupBy("entity", "term", "text_key")
+        wanted.join(words, same & (F.col("n_term") <= F.col("most")))
+        .groupBy("entity", "term", "text_key", "n_entity", "n_term", "n_all")
         .agg(F.count("*").alias("n"))
     )
-    pairs = per_text.groupBy("entity", "term").agg(F.sum("n").alias("n_both"), F.count("*").alias("texts"))
-    pairs = pairs.where(F.col("texts") >= support)
-    entities = (
-        base.select("id", "text_key", F.explode("spans").alias("s"))
-        .select(
-            "id",
-            "text_key",
-            entity_of().alias("entity"),
-        )
-        .distinct()
-        .groupBy("entity")
-        .agg(F.count("*").alias("n_entity"))
+    pairs = per_text.groupBy("entity", "term", "n_entity", "n_term", "n_all").agg(
+        F.sum("n").alias("n_both"), F.count("*").alias("texts")
     )
-    words = F.array_distinct(F.regexp_extract_all(F.lower(text_of(text_col)), F.lit(WORD), F.lit(0)))
-    terms = df.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
-    total = base.select(F.count("*")).scalar()
-    scored = pairs.join(entities, "entity").join(terms, "term").withColumn("n_all", total)
-    log = lambda x: F.log2(x)
-    pmi = log(F.col("n_all") * F.col("n_both") / (F.col("n_term") * F.col("n_entity")))
-    content = log(F.col("n_all") / F.col("n_entity"))
-    return scored.where("n_entity < n_all").select("entity", "term", (pmi / content).alias("disclosure")).where(
-        F.col("disclosure") >= generalise
+    pmi = F.log2(F.col("n_all") * F.col("n_both") / (F.col("n_term") * F.col("n_entity")))
+    content = F.log2(F.col("n_all") / F.col("n_entity"))
+    scored = pairs.where(F.col("texts") >= support).select("term", (pmi / content).alias("disclosure"))
+    return scored.where(F.col("disclosure") >= generalise).groupBy("term").agg(F.max("disclosure").alias("disclosure"))
+
+
+def occurrences(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``extra``: the spans of the words of ``blanked`` that ``marked`` (term, action) has, in order.
+
+    Ends of words are summed up block by block, and terms looked up in buckets:
+    neither grows with the square of the text for any usual length.
+    """
+    rows = rows.withColumn(
+        "found",
+        F.when(F.col("marked").isNotNull(), F.regexp_extract_all("blanked", F.lit(WORD), F.lit(0))).otherwise(
+            F.array().cast("array<string>")
+        ),
+    )
+    gaps = F.slice(F.split("blanked", WORD, -1), 1, F.size("found"))
+    steps = F.zip_with(gaps, "found", lambda g, v: F.char_length(g) + F.char_length(v))
+    rows = rows.withColumn("steps", F.when(F.size("found") > 0, steps).otherwise(F.array().cast("array<int>")))
+    starts = F.sequence(F.lit(1), F.greatest(F.size("steps"), F.lit(1)), F.lit(BLOCK))
+    last = lambda a: F.coalesce(F.get(a, F.size(a) - 1), F.lit(0))
+    summed = lambda a: F.aggregate(
+        a, F.array().cast("array<int>"), lambda acc, x: F.concat(acc, F.array(last(acc) + x))
+    )
+    rows = rows.withColumn("blocks", F.transform(starts, lambda k: summed(F.slice("steps", k, F.lit(BLOCK)))))
+    before = F.concat(F.array(F.lit(0)), summed(F.transform("blocks", last)))
+    ends = F.flatten(
+        F.zip_with("blocks", F.slice(before, F.lit(1), F.size("blocks")), lambda b, at: F.transform(b, lambda x: x + at))
     )
+    rows = rows.withColumn("ends", ends)
+    rows = rows.withColumn("n_buckets", F.least(F.lit(1024), F.floor(F.coalesce(F.size("marked"), F.lit(0)) / 8) + 1).cast("int"))
+    bucket = lambda term: F.pmod(F.xxhash64(term), F.col("n_buckets")).cast("int")
+    rows = rows.withColumn(
+        "buckets",
+        F.transform(
+            F.sequence(F.lit(0), F.col("n_buckets") - 1),
+            lambda b: F.filter("marked", lambda m: bucket(m["term"]) == b),
+        ),
+    )
+    action = lambda term: F.get(F.filter(F.get("buckets", bucket(term)), lambda m: m["term"] == term), F.lit(0))["action"]
+    spans = F.zip_with(
+        "found",
+        "ends",
+        lambda v, end: F.struct(
+            (end - F.char_length(v)).alias("start"),
+            F.lit(len(KINDS)).alias("rank"),
+            end.alias("after"),
+            F.lit("term").alias("kind"),
+            F.lower(v).alias("value"),
+            action(F.lower(v)).alias("action"),
+        ),
+    )
+    return rows.withColumn("extra", F.filter(spans, lambda s: s["action"].isNotNull()))
 
 
 def personal_data(
@@ -207,28 +267,23 @@ def personal_data(
     remove: float = REMOVE,
 ) -> DataFrame:
     """id, text_key, spans (start, rank, after, kind, value, and action for terms), in order."""
-    base = settle(base_spans(df, id_col, text_col), "personal")
-    near = contexts(base)
-    telling = settle(disclosing(df, base, text_col, near, support, generalise), "telling")
-    extra = (
-        near.join(telling, ["entity", "term"])
-        .groupBy("id", "text_key", "start", "after", "term")
-        .agg(F.max("disclosure").alias("disclosure"))
-        .groupBy("id", "text_key")
+    found = base_spans(df, id_col, text_col)
+    base = settle(found.select("id", "text_key", "spans", terms_of("blanked").alias("terms")), "personal")
+    telling = settle(disclosing(base, support, generalise), "telling")
+    marked = (
+        spread_join(base.select("id", "text_key", F.explode("terms").alias("term")), telling, "term")
+        .groupBy(F.col("id").alias("own_id"), F.col("text_key").alias("own_key"))
         .agg(
-            F.collect_list(
-                F.struct(
-                    "start",
-                    F.lit(len(KINDS)).alias("rank"),
-                    "after",
-                    F.lit("term").alias("kind"),
-                    F.col("term").alias("value"),
-                    F.when(F.col("disclosure") >= remove, "remove").otherwise("generalise").alias("action"),
-                )
-            ).alias("extra")
+            F.collect_set(
+                F.struct("term", F.when(F.col("disclosure") >= remove, "remove").otherwise("generalise").alias("action"))
+            ).alias("marked")
         )
-        .select(F.col("id").alias("own_id"), F.col("text_key").alias("own_key"), "extra")
     )
+    texts = df.select(col(id_col).alias("id"), text_of(text_col).alias("text")).withColumn("text_key", F.xxhash64("text"))
+    joined = texts.join(
+        marked.hint("merge"), F.col("id").eqNullSafe(F.col("own_id")) & (F.col("text_key") == F.col("own_key")), "left"
+    )
+    again = base_spans(joined, "id", "text", "marked")
     plain = F.transform(
         "spans",
         lambda s: F.struct(
@@ -240,12 +295,8 @@ def personal_data(
             F.lit("replace").alias("action"),
         ),
     )
-    rows = base.select("id", "text_key", plain.alias("plain"))
-    joined = rows.join(
-        extra, rows["id"].eqNullSafe(F.col("own_id")) & (F.col("text_key") == F.col("own_key")), "left"
-    )
-    both = F.when(F.col("extra").isNull(), F.col("plain")).otherwise(F.array_sort(F.concat("plain", "extra")))
-    return joined.select(F.col("id").alias(id_col), "text_key", both.alias("spans"))
+    both = F.when(F.size("extra") > 0, F.array_sort(F.concat(plain, "extra"))).otherwise(plain)
+    return occurrences(again).select(F.col("id").alias(id_col), "text_key", both.alias("spans"))
 
 
 def report(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
