@@ -9,14 +9,15 @@ its words, each predicted from both sides.
    word's number is its rank, and ``IN_CLASS`` neighbouring ranks form a class:
    the network predicts the class, then the word in it.
 2. Training, in numpy: in every round each task starts from the same weights,
-   passes over all its documents (in every text each ``MASKED``-th word is
-   masked, from another start in each round) with Adagrad steps, and the
-   results are averaged, weighted by the words they have seen.  Averages are
+   passes over all its documents with Adagrad steps, and the results are
+   averaged, weighted by the words they have predicted.  Each round masks one
+   residue of the places in a text, and the rounds take turns: after ``rounds``
+   rounds every word of every text has been predicted once.  Averages are
    formed piece by piece in two steps, so no task and not the driver gets more
    than one network's worth of numbers plus a bounded number of rows.
 3. Scoring predicts every word of every text.
 
-All passes cover all rows.  The weights depend slightly on how the rows are
+The weights depend slightly on how the rows are
 partitioned, as with any averaged training.
 
 Words are runs of characters between ASCII white space, A-Z lowered.  Defined
@@ -46,7 +47,6 @@ BUCKETS = 1024
 WIDTH = 16
 HIDDEN = 32
 ROUNDS = 2
-MASKED = 8
 BATCH = 4096
 RATE = 0.1
 PIECE = 1024
@@ -213,6 +213,11 @@ def averaged(parts: DataFrame) -> np.ndarray:
     return np.concatenate([np.frombuffer(r["sums"], "<f4") for r in sorted(rows, key=lambda r: r["piece"])]) if rows else np.empty(0)
 
 
+def turn(n: int, r: int, rounds: int) -> np.ndarray:
+    """The places of a text of n words that round r predicts; the rounds share them all out."""
+    return np.arange((r + n) % rounds, n, rounds)
+
+
 def trained(numbers: DataFrame, rounds: int) -> Network:
     """A network trained on all texts."""
     net = Network()
@@ -241,9 +246,9 @@ def trained(numbers: DataFrame, rounds: int) -> Network:
                 target.clear()
 
             for batch in batches:
-                for k, data in enumerate(batch.column(0)):
+                for data in batch.column(0):
                     ids = np.frombuffer(data.as_py(), "<u2").astype(np.int64)
-                    masked = np.arange((r * MASKED // rounds + len(ids) + k) % MASKED, len(ids), MASKED)
+                    masked = turn(len(ids), r, rounds)
                     if len(masked):
                         around.append(own.windows(ids, masked))
                         target.append(ids[masked])
