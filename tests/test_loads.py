@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tests.conftest import rows
 from ticketlake.plans import audit, loads
 from ticketlake.sources import archive_files
+from ticketlake.sources.keyed import bits, bucket_bitmap, bucket_of
 
 AS_OF = datetime(2001, 8, 2, 6)
 INCIDENT_TABLES = ("incident", "incident_task", "task_sla")
@@ -59,29 +60,28 @@ def test_backlog_loads_everything(spark, data, tmp_path):
     assert run.counts["incident"] == data.incident.count()
 
 
-def test_small_batches_become_changes_and_give_the_same_table(spark, data, tmp_path, monkeypatch):
-    def load(path):
-        run = new_run(spark, path)
-        loads.load_incidents(run, {"incident": data.incident}, "1995-01-01", "2001-08-02")
-        for edit, last in (("x", "1995-12-31"), ("y", "1996-06-30")):
-            run = new_run(spark, path)
-            changed = data.incident.withColumn("state", F.concat("state", F.lit(edit)))
-            loads.load_incidents(run, {"incident": changed}, "1995-01-01", last)
-        return run
-
-    monkeypatch.setattr(loads, "REWRITE_SHARE", 0.001)
-    by_changes = load(tmp_path / "changes")
-    assert by_changes.store.version("incident") == 1 and by_changes.store.pending("incident") == [0, 1]
-    monkeypatch.setattr(loads, "REWRITE_SHARE", 10**9)
-    rewritten = load(tmp_path / "rewritten")
-    assert rewritten.store.version("incident") == 3 and rewritten.store.pending("incident") == []
-    assert rows(by_changes.table("incident")) == rows(rewritten.table("incident"))
-    assert by_changes.merged == rewritten.merged
+def test_a_batch_rewrites_only_buckets_with_changes(spark, data, tmp_path):
+    loads.load_incidents(new_run(spark, tmp_path), {"incident": data.incident}, "1995-01-01", "2001-08-02")
+    table = new_run(spark, tmp_path).keyed("incident")
+    first = table.state()
+    table.replace(table.read(first), buckets=32, based_on=first)
+    before = table.state()
+    edited = data.incident.withColumn("state", F.when(F.col("sys_id") == "1", "edited").otherwise(F.col("state")))
+    run = loads.load_incidents(new_run(spark, tmp_path), {"incident": edited}, "1995-01-01", "2001-08-02")
+    after = table.state()
+    assert [b for b in before.base if before.base[b] != after.base[b]] == bits(
+        spark.sql("SELECT '1' AS sys_id").agg(bucket_bitmap(bucket_of("sys_id", 32))).first()[0]
+    )
+    assert run.merged["incident"] == {"insert": 0, "update": 1, "unchanged": run.counts["incident"] - 1}
+    assert run.table("incident").where("state = 'edited'").count() == 1
+    again = loads.load_incidents(new_run(spark, tmp_path), {"incident": edited}, "1995-01-01", "2001-08-02")
+    assert again.merged["incident"]["unchanged"] == run.counts["incident"] and table.state().number == after.number
 
 
 def test_rejected_rows_are_kept_apart_and_the_run_is_partial(spark, data, tmp_path):
     bad = data.company_raw.withColumn("sys_updated_on", F.lit("2001-08-01 00:00:00")).withColumn("active", F.lit("true"))
-    run = audit.run_audited(new_run(spark, tmp_path), "config", {"company": bad}, lambda: AS_OF + timedelta(seconds=3))
+    clock = iter([AS_OF, AS_OF + timedelta(seconds=3)])
+    run = audit.run_audited(new_run(spark, tmp_path), "config", {"company": bad}, clock.__next__)
     rejected = loads.rejects(run, "company")
     assert run.rejected == rejected.count() > 0
     assert run.table("company").count() == run.counts["company"] - run.rejected
@@ -139,3 +139,29 @@ def test_a_run_for_a_past_time_is_logged_with_its_real_duration(spark, data, tmp
     row = run.store.read_appended("run_log").first()
     assert row["status"] == "success" and 0 < float(row["duration_seconds"]) < 3600
     assert 0 < float(row["db_time_seconds"]) <= float(row["duration_seconds"])
+
+
+@pytest.mark.parametrize("copies", [1, 2])
+def test_missing_references_take_the_last_copy(spark, data, tmp_path, copies):
+    """Two versions of a user, in either order of the rows."""
+    run = new_run(spark, tmp_path)
+    loads.load_incidents(run, {"incident": data.incident.limit(50)}, backlog=True)
+    wanted = data.incident.limit(50).where("opened_by IS NOT NULL").first()["opened_by"]
+    versions = [(wanted, "old", 1), (wanted, "new", 2)]
+    source = spark.createDataFrame(versions[:: 3 - 2 * copies], "sys_id STRING, name STRING, seq1 INT")
+    loads.sync_missing(run, source, "user")
+    assert [r["name"] for r in run.table("user").collect()] == ["new"]
+
+
+def test_old_runs_are_cut_from_the_stored_log(spark, tmp_path):
+    run = new_run(spark, tmp_path)
+    for day in (datetime(2001, 3, 31), datetime(2001, 5, 1), datetime(2001, 5, 3, 23), datetime(2001, 5, 4, 7), datetime(2001, 8, 1)):
+        audit.append_run(run, audit.audit_row(run, "daily", "success", day + timedelta(minutes=1), started_at=day))
+    march = set((tmp_path / "tables/run_log/rows/_month=2001-03").iterdir())
+    august = set((tmp_path / "tables/run_log/rows/_month=2001-08").iterdir())
+    assert march and audit.cut_log(run, AS_OF, days=90) == 3  # the cutoff is 2001-05-04 06:00
+    left = sorted(str(r["started_at"]) for r in run.store.read_appended("run_log").collect())
+    assert left == ["2001-05-04 07:00:00", "2001-08-01 00:00:00"]
+    assert not (tmp_path / "tables/run_log/rows/_month=2001-03").exists()
+    assert set((tmp_path / "tables/run_log/rows/_month=2001-08").iterdir()) == august  # untouched
+    assert audit.cut_log(run, AS_OF, days=90) == 0

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ticketlake.operators.dedup import first_per_key
@@ -97,6 +97,46 @@ def merge_actions(
     return state.unionByName(inserted(side(loose))).unionByName(without_key)
 
 
+def merged_rows(
+    old: DataFrame | None, batch: DataFrame, key: str, order: list[str] | None, bucket: Column
+) -> DataFrame:
+    """The buckets of a stored table after the upsert: their rows, ``merge_action`` and ``_bucket``.
+
+    ``old`` has the buckets' rows and ``_bucket``.  Rows and batch are read once
+    and meet by bucket, so every bucket is written by one task.  Copies of a key
+    are cut in the batch before that; without ``order`` its greatest row counts.
+    """
+    order = order or []
+    columns = [c for c in batch.columns if c not in order]
+    types = {f.name: f.dataType for f in old.schema} if old is not None else {}
+    # rows without a key are all different
+    own = F.when(F.col(key).isNull(), F.monotonically_increasing_id()).alias("_own")
+    batch = batch.select("*", own)
+    if order:
+        copies = Window.partitionBy(key, "_own").orderBy(*[F.desc(c) for c in order])
+        batch = batch.withColumn("_rn", F.row_number().over(copies)).where("_rn = 1")
+    typed = [F.col(c).cast(types.get(c, batch.schema[c].dataType)).alias(c) for c in columns]
+    new = batch.select(bucket.alias("_bucket"), F.col(key).cast("string").alias("_key"), "_own", F.struct(*typed).alias("_s"))
+    names = [c for c in (old.columns if old is not None else []) if c != "_bucket"]
+    if old is not None:
+        row = F.struct(*[F.col(c) for c in names]).alias("_t")
+        stored = old.select("_bucket", F.col(key).cast("string").alias("_key"), F.lit(None).cast("long").alias("_own"), row)
+        both = new.unionByName(stored, allowMissingColumns=True)
+    else:
+        both = new.withColumn("_t", F.lit(None).cast("struct<_:int>"))
+    one = both.repartition("_bucket").groupBy("_bucket", "_key", "_own").agg(F.max("_s").alias("_s"), F.max("_t").alias("_t"))
+    given, stored = F.col("_s").isNotNull(), F.col("_t").isNotNull()
+    same = F.lit(True)
+    for c in columns:
+        same = same & (F.col("_s").getField(c).eqNullSafe(F.col("_t").getField(c)) if c in types else F.col("_s").getField(c).isNull())
+    action = F.when(~stored, "insert").when(~given, "keep").when(same, "unchanged").otherwise("update")
+    values = []
+    for c in [*names, *(c for c in columns if c not in types)]:
+        before = F.col("_t").getField(c) if c in types else F.lit(None)
+        values.append((F.when(given, F.col("_s").getField(c)).otherwise(before) if c in columns else before).alias(c))
+    return one.select(*values, action.alias(ACTION), "_bucket")
+
+
 def merge_upsert(target: DataFrame, source: DataFrame, key: str | None = None, order=None, **kw) -> DataFrame:
     return merge_actions(target, source, key, order, **kw).drop(ACTION)
 

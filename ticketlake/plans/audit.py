@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ticketlake.operators import apilog
 from ticketlake.operators.normalize import project_schema
-from ticketlake.operators.runlog import run_duration
+from ticketlake.operators.runlog import RETENTION_DAYS, run_duration
 from ticketlake.plans.loads import Run, execute
 from ticketlake.schemas import RUN_LOG
 
@@ -84,7 +84,12 @@ def audit_row(
 
 
 def append_run(run: Run, row: DataFrame) -> None:
-    run.store.append("run_log", row)
+    run.store.append("run_log", row, month_of="started_at")
+
+
+def cut_log(run: Run, as_of: datetime, days: int = RETENTION_DAYS) -> int:
+    """Remove the runs of the stored log that began more than ``days`` days ago; returns how many."""
+    return run.store.cut("run_log", "started_at", as_of - timedelta(days=days))
 
 
 def run_audited(

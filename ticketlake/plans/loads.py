@@ -16,22 +16,18 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ticketlake.functions.periods import default_window, in_window, run_window, to_day
-from ticketlake.operators import merge as M
 from ticketlake.operators.archive import replace_slice
+from ticketlake.operators.dedup import last_wins
 from ticketlake.operators.integrity import missing_company_ids, missing_user_ids
-from ticketlake.operators.lookups import plan_bytes
 from ticketlake.operators.normalize import add_row_hash, audit_stamp, flatten_refs, normalize_flags, with_reject_reasons
 from ticketlake.operators.sync import CHANGE, incremental_changes, normalise_reference, reference_by_ids, reference_full_scan
 from ticketlake.schemas import PAGE_LIMIT, TYPED_TABLES
 from ticketlake.session import together
 from ticketlake.sources import archive_files, scans
+from ticketlake.sources.keyed import KeyedTable, bits, bucket_bitmap, bucket_of
 from ticketlake.sources.pages import assert_complete, paged_scan
-from ticketlake.sources.tables import TableStore, current_state
+from ticketlake.sources.tables import TableStore
 
-# A batch becomes a change set if the table is this many times its size, until
-# this many change sets have piled up.
-REWRITE_SHARE = 20
-MAX_PENDING = 20
 REASON = "reject_reason"
 INCIDENT_TABLES = {
     "incident": "opened_at",
@@ -55,6 +51,7 @@ class Run:
     execution_id: str = field(default_factory=lambda: str(uuid.uuid4()))
     counts: dict[str, int] = field(default_factory=dict)
     merged: dict[str, dict[str, int]] = field(default_factory=dict)
+    touched: dict[str, tuple[int, list[int]]] = field(default_factory=dict)  # buckets of the landed batches
     rejected: int = 0
     write_seconds: float = 0.0  # spent storing tables
 
@@ -64,7 +61,10 @@ class Run:
 
     def table(self, name: str) -> DataFrame | None:
         """A table as of now."""
-        return current_state(self.store, name)
+        return self.store.current(name)
+
+    def keyed(self, name: str) -> KeyedTable:
+        return self.store.keyed(name, sort_by=INCIDENT_TABLES.get(name))
 
     @property
     def archive_root(self) -> str:
@@ -79,8 +79,9 @@ def land(run: Run, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Write the batch and return its good rows.
 
     Typed tables are checked on the way: a row that breaks a column rule stays
-    in the landing area with its reason and is not loaded.  Rows are counted
-    while they are written.
+    in the landing area with its reason and is not loaded.  While they are
+    written, rows are counted, and noted which buckets of the stored table they
+    belong to.
     """
 
     def write(name: str, df: DataFrame) -> tuple[DataFrame, dict]:
@@ -88,11 +89,16 @@ def land(run: Run, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
             df = with_reject_reasons(df, name)
         else:
             df = df.withColumn(REASON, F.lit(None).cast("string"))
-        seen = Observation()
+        seen, state = Observation(), run.keyed(name).state()
         counts = [F.count(F.lit(1)).alias("rows"), F.count(REASON).alias("rejected")]
+        if state is not None:
+            good = F.col(REASON).isNull()
+            counts.append(bucket_bitmap(bucket_of("sys_id", state.buckets), good).alias("touched"))
         rows = run.landing.publish(name, df.observe(seen, *counts))
         if name in run.coverage:
             assert_complete(run.coverage[name].get, run.page_limits.get(name, PAGE_LIMIT))
+        if state is not None:
+            run.touched[name] = (state.buckets, bits(seen.get["touched"]))
         return rows, seen.get
 
     landed = {}
@@ -124,8 +130,10 @@ def sync_missing(run: Run, source: DataFrame, name: str) -> Run:
     if known is None:
         known = run.spark.createDataFrame([], "sys_id STRING")
     find = {"user": missing_user_ids, "company": missing_company_ids}[name]
-    fetched = reference_by_ids(source, find(incident, known)).drop(*run.order).dropDuplicates(["sys_id"])
-    rows = normalise_reference(fetched, name, run.as_of)
+    order = [c for c in run.order if c in source.columns]
+    fetched = reference_by_ids(source, find(incident, known))
+    newest = last_wins(fetched, "sys_id", order).drop(*order) if order else fetched.dropDuplicates(["sys_id"])
+    rows = normalise_reference(newest, name, run.as_of)
     save(run, land(run, {name: rows}))
     return run
 
@@ -144,39 +152,15 @@ def save(run: Run, tables: dict[str, DataFrame]) -> None:
 
 
 def _upsert(run: Run, name: str, batch: DataFrame) -> dict[str, int]:
-    """One table; what the merge did is counted while it is written.
-
-    The first batch is the table.  A batch that is small beside the table is
-    written as changes to it, and the table itself is rewritten only now and then.
-    """
-    store = run.store
+    """One table; what the merge did is counted while it is written."""
     # Rows are applied in order, so the last copy of a key wins.  Without a rank
     # column the place in the landed files, which stay as they are, is the order.
     order = [c for c in run.order if c in batch.columns]
     if not order:
         batch, order = batch.withColumn("_rank", F.monotonically_increasing_id()), ["_rank"]
-    columns = set(batch.columns) - set(order)
-    base, pending = store.read(name), store.pending(name)
-    action, seen = F.col(M.ACTION), Observation()
-    counts = [F.count_if(action == a).alias(a) for a in ("insert", "update", "unchanged")]
-    if base is None and not pending:
-        rows = M.source_actions(None, batch, order=order).observe(seen, *counts).drop(M.ACTION)
-        rows = rows.select(*[F.col(c).cast("string").alias(c) for c in rows.columns])
-        store.publish(name, rows, INCIDENT_TABLES.get(name))
-    elif (
-        base is not None
-        and len(pending) < MAX_PENDING
-        and columns <= set(base.columns)
-        and (not pending or columns == set(store.changes(name).columns) - {"batch"})
-        and plan_bytes(batch) * REWRITE_SHARE < plan_bytes(base)
-    ):
-        rows = M.source_actions(current_state(store, name), batch, order=order).observe(seen, *counts)
-        changed = rows.where(action != "unchanged").drop(M.ACTION)
-        store.write_changes(name, changed, pending[-1] + 1 if pending else 0)
-    else:
-        state = M.merge_actions(current_state(store, name), batch, order=order).observe(seen, *counts)
-        store.publish(name, state.drop(M.ACTION), INCIDENT_TABLES.get(name))
-    return dict(seen.get)
+    # stored as text, as the resources deliver it
+    batch = batch.select(*[F.col(c) if c in order else F.col(c).cast("string").alias(c) for c in batch.columns])
+    return run.keyed(name).merge(batch, order, touched=run.touched.get(name))
 
 
 def load_reference(run: Run, resources: dict[str, DataFrame]) -> Run:
@@ -223,9 +207,11 @@ def archive(run: Run, tables: dict[str, DataFrame], kind: str, start=None, end=N
     entry = archive_files.save_entry(
         run.spark, tables, run.archive_root, kind, start, end, as_of=run.as_of
     )
-    listed = run.store.read("archive_entry")
-    state = entry if listed is None else replace_slice(listed, entry, kind, start, end, as_of=run.as_of)
-    run.store.publish("archive_entry", state)
+
+    def listed(entries: DataFrame | None) -> DataFrame:
+        return entry if entries is None else replace_slice(entries, entry, kind, start, end, as_of=run.as_of)
+
+    run.store.update("archive_entry", listed)
 
 
 def run_full(run: Run, resources: dict[str, DataFrame], start=None, end=None, *, backlog: bool = False) -> Run:

@@ -1,132 +1,130 @@
-"""Parquet tables that are replaced, never rewritten in place.
-
-``<root>/<table>/v<number>`` holds one complete state; the highest number with a
-success marker is current.  ``<root>/<table>/changes/v<number>/batch=<place>/<writer>-<number>``
-holds rows that came after that state, in the order of their places, until they
-are compacted into the next one.  A writer that repeats a number (a replayed
-micro-batch) replaces its own rows; writers never replace each other's.
-``<root>/<table>/applied/<writer>-<number>`` remembers what a state contains.
+"""Stored tables: keyed ones (``keyed``), whole ones, and logs that only grow.
+
+A whole table is replaced by a new state, never rewritten in place.  States lie
+in ``<root>/<table>/data/<name>``; a commit log tells which one counts, and two
+writers cannot claim the same version.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketlake.operators.dedup import last_wins
-from ticketlake.operators.merge import merge_upsert
+from ticketlake.session import scratch_dir
+from ticketlake.sources.commits import ATTEMPTS, CommitLog, Conflict, Folder
+from ticketlake.sources.keyed import KeyedTable
 
 
 class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
-    def _children(self, path: str) -> list[str]:
-        jpath = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        fs = jpath.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        return [s.getPath().getName() for s in fs.listStatus(jpath)] if fs.exists(jpath) else []
+    def _log(self, table: str) -> CommitLog:
+        return CommitLog(self.spark, f"{self.root}/{table}/log")
+
+    def keyed(self, table: str, key: str = "sys_id", sort_by: str | None = None) -> KeyedTable:
+        return KeyedTable(self.spark, f"{self.root}/{table}", key, sort_by)
 
-    def _complete(self, path: str) -> bool:
-        return "_SUCCESS" in self._children(path)
+    def current(self, table: str) -> DataFrame | None:
+        """A table as of now, of either kind; None if there is none."""
+        _, content = self._log(table).latest()
+        return self.keyed(table).read() if "buckets" in content else self.read(table)
+
+    # -- whole tables -----------------------------------------------------------
 
     def version(self, table: str) -> int | None:
         """Number of the current state, None if there is no table yet."""
-        names = sorted((n for n in self._children(f"{self.root}/{table}") if n.startswith("v")), reverse=True)
-        return next((int(n[1:]) for n in names if self._complete(f"{self.root}/{table}/{n}")), None)
-
-    def path(self, table: str, version: int) -> str:
-        return f"{self.root}/{table}/v{version:012d}"
+        return self._log(table).latest()[0] or None
 
     def exists(self, table: str) -> bool:
         return self.version(table) is not None
 
-    def read(self, table: str) -> DataFrame | None:
-        version = self.version(table)
-        return None if version is None else self.spark.read.parquet(self.path(table, version))
+    def _state(self, table: str, content: dict) -> DataFrame | None:
+        return self.spark.read.parquet(f"{self.root}/{table}/data/{content['data']}") if content else None
 
-    def publish(self, table: str, df: DataFrame, sort_by: str | None = None) -> DataFrame:
-        """Write a new state and return it as stored.  Readers of the old one are not disturbed.
+    def read(self, table: str) -> DataFrame | None:
+        return self._state(table, self._log(table).latest()[1])
+
+    def _write(self, table: str, df: DataFrame) -> str:
+        name = uuid.uuid4().hex
+        df.write.parquet(f"{self.root}/{table}/data/{name}")
+        return name
+
+    def publish(self, table: str, df: DataFrame) -> DataFrame:
+        """Replace whatever is there, and return the new state as stored.  Readers of the old one are not disturbed."""
+        log, content = self._log(table), {"data": self._write(table, df)}
+        for _ in range(ATTEMPTS):
+            if log.claim(log.latest()[0] + 1, content):
+                return self._state(table, content)
+        raise Conflict(f"{table} is replaced too often")
+
+    def update(self, table: str, make: Callable[[DataFrame | None], DataFrame]) -> DataFrame:
+        """A new state made from the current one, and made again if another writer was faster."""
+        log = self._log(table)
+        for _ in range(ATTEMPTS):
+            number, content = log.latest()
+            made = {"data": self._write(table, make(self._state(table, content)))}
+            if log.claim(number + 1, made):
+                return self._state(table, made)
+            Folder(self.spark, f"{self.root}/{table}/data").delete(made["data"])
+        raise Conflict(f"{table} is updated too often")
+
+    def vacuum(self, table: str, keep: int = 10) -> int:
+        """Remove all but the newest states; returns how many were removed."""
+        log, data = self._log(table), Folder(self.spark, f"{self.root}/{table}/data")
+        if "buckets" in log.latest()[1]:
+            return self.keyed(table).vacuum(keep)
+        old = log.numbers()[:-keep]
+        for number in old:
+            data.delete(log.read(number)["data"])
+            log.forget(number)
+        return len(old)
+
+    # -- logs -------------------------------------------------------------------
+
+    def append(self, table: str, df: DataFrame, month_of: str | None = None) -> None:
+        """Add rows to a log; by the month of a timestamp column if one is named."""
+        if month_of is None:
+            df.write.mode("append").parquet(f"{self.root}/{table}/rows")
+        else:
+            month = F.coalesce(F.date_format(month_of, "yyyy-MM"), F.lit("none"))
+            df.withColumn("_month", month).write.mode("append").partitionBy("_month").parquet(f"{self.root}/{table}/rows")
 
-        Sorting every file by a time column costs no shuffle and lets a windowed
-        read skip most pages of each file.
-        """
-        version = (self.version(table) or 0) + 1
-        if sort_by is not None and sort_by in df.columns:
-            df = df.sortWithinPartitions(sort_by)
-        df.write.mode("overwrite").parquet(self.path(table, version))
-        return self.spark.read.parquet(self.path(table, version))
+    def read_appended(self, table: str) -> DataFrame | None:
+        folder = Folder(self.spark, f"{self.root}/{table}/rows")
+        return self.spark.read.parquet(folder.path).drop("_month") if folder.children() else None
 
-    def append(self, table: str, df: DataFrame) -> None:
-        """Append rows to an append-only table (run log, archive entries)."""
-        df.write.mode("append").parquet(f"{self.root}/{table}/rows")
+    def cut(self, table: str, column: str, before: datetime) -> int:
+        """Remove the rows of a log by month that are older than a time; returns how many.
 
-    def read_appended(self, table: str) -> DataFrame | None:
-        path = f"{self.root}/{table}/rows"
-        return self.spark.read.parquet(path) if self._children(path) else None
-
-    # -- changes after a state ------------------------------------------------
-
-    def _changes_path(self, table: str) -> str:
-        return f"{self.root}/{table}/changes/v{self.version(table) or 0:012d}"
-
-    def _change_sets(self, table: str) -> dict[int, str]:
-        """Every change set begun, by its place: ``<writer>-<number>``."""
-        path = self._changes_path(table)
-        places = sorted(int(n.split("=")[1]) for n in self._children(path) if n.startswith("batch="))
-        return {p: name for p in places for name in self._children(f"{path}/batch={p}")}
-
-    def place(self, table: str, writer: str, number: int) -> int | None:
-        """Where a writer's change set lies, None if it has none yet."""
-        return next((p for p, name in self._change_sets(table).items() if name == f"{writer}-{number}"), None)
-
-    def write_changes(self, table: str, df: DataFrame, number: int, writer: str = "run") -> None:
-        """Changes of one batch; writing a batch again replaces it, so replays are safe."""
-        place = self.place(table, writer, number)
-        if place is None:
-            place = max(self._change_sets(table), default=-1) + 1
-        df.write.mode("overwrite").parquet(f"{self._changes_path(table)}/batch={place}/{writer}-{number}")
-
-    def pending(self, table: str) -> list[int]:
-        """Places of the change sets the current state does not contain."""
-        path = self._changes_path(table)
-        return [p for p, name in self._change_sets(table).items() if self._complete(f"{path}/batch={p}/{name}")]
-
-    def mark_applied(self, table: str) -> None:
-        """Remember the pending change sets, before they become part of a state."""
-        path = self._changes_path(table)
-        for p, name in self._change_sets(table).items():
-            if self._complete(f"{path}/batch={p}/{name}"):
-                jpath = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{table}/applied/{name}")
-                jpath.getFileSystem(self.spark._jsc.hadoopConfiguration()).mkdirs(jpath)
-
-    def applied(self, table: str, writer: str, number: int) -> bool:
-        """Whether a change set is part of a state already."""
-        return f"{writer}-{number}" in self._children(f"{self.root}/{table}/applied")
-
-    def changes(self, table: str, before: int | None = None) -> DataFrame | None:
-        """Changes since the current state (of places below ``before``), with their place as ``batch``."""
-        path = self._changes_path(table)
-        sets = self._change_sets(table)
-        paths = [f"{path}/batch={p}/{sets[p]}" for p in self.pending(table) if before is None or p < before]
-        if not paths:
-            return None
-        rows = self.spark.read.option("basePath", path).parquet(*paths)
-        return rows.withColumn("batch", F.col("batch").cast("long"))
-
-
-def current_state(store: TableStore, table: str, key: str = "sys_id") -> DataFrame | None:
-    """The stored state with all later changes applied."""
-    base, changes = store.read(table), store.changes(table)
-    if changes is None:
-        return base
-    if base is None:
-        return last_wins(changes, key, ["batch"]).drop("batch")
-    return merge_upsert(base, changes, key, ["batch"])
-
-
-def compact(store: TableStore, table: str, key: str = "sys_id", sort_by: str | None = None) -> DataFrame | None:
-    """Fold the changes into a new state."""
-    if not store.pending(table):
-        return store.read(table)
-    store.mark_applied(table)
-    return store.publish(table, current_state(store, table, key), sort_by)
+        Whole months go as folders.  The month of the cutoff alone is read, and
+        its folder replaced by what stays (dynamic partition overwrite).
+        """
+        folder = Folder(self.spark, f"{self.root}/{table}/rows")
+        months = {n.split("=")[1] for n in folder.children() if n.startswith("_month=")} - {"none"}
+        border = before.strftime("%Y-%m")
+        removed = 0
+        schema = self.spark.read.parquet(folder.path).schema if months else None
+        for month in sorted(m for m in months if m < border):
+            removed += self.spark.read.parquet(f"{folder.path}/_month={month}").count()
+            folder.delete(f"_month={month}")
+        if border in months:
+            rows = self.spark.read.schema(schema).option("basePath", folder.path).parquet(f"{folder.path}/_month={border}")
+            # the month comes back as it was written, whatever type a reader infers for it
+            rows = rows.withColumn("_month", F.lit(border))
+            held = scratch_dir(self.spark, "log")
+            stay = ~F.coalesce(F.col(column) < F.lit(before).cast(schema[column].dataType), F.lit(False))
+            rows.where(stay).write.parquet(held)
+            kept = self.spark.read.parquet(held)
+            left = kept.count()
+            gone = rows.count() - left
+            if gone and left:
+                kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_month").parquet(folder.path)
+            elif gone:
+                folder.delete(f"_month={border}")
+            removed += gone
+        return removed

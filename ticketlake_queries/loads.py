@@ -12,7 +12,7 @@ from ticketlake.operators.normalize import add_row_hash, audit_stamp
 from ticketlake.plans import audit, loads
 from ticketlake.session import scratch_dir
 from ticketlake.sources import pages
-from ticketlake.sources.tables import TableStore, current_state
+from ticketlake.sources.tables import TableStore
 from ticketlake.streaming.incremental import incremental_stream
 from ticketlake_queries.registry import double, hash_sql, query
 from ticketlake_queries.scans import RAW_FIELDS, raw_incidents
@@ -53,9 +53,7 @@ def incremental_sync(d: Data):
     return state.drop("etl_created_at")
 
 
-@query(
-    "incremental_stream",
-    f"""
+STREAMED = f"""
     WITH base AS (
       SELECT sys_id, name, department, sys_created_on AS sys_updated_on FROM usr
     ), edits AS (
@@ -71,25 +69,43 @@ def incremental_sync(d: Data):
       SELECT * FROM newer UNION ALL SELECT * FROM base WHERE sys_id NOT IN (SELECT sys_id FROM newer)
     )
     SELECT sys_id, name, department, sys_updated_on, {hash_sql(["sys_id", "name", "department"])} AS etl_hash FROM state
-    """,
-)
-def stream(d: Data):
-    """Orders arrive as edits of users; the stored users are older than most of them."""
+    """
+
+
+def _streamed(d: Data, *wheres: str) -> DataFrame:
+    """Orders arrive as edits of users, one stream with a checkpoint of its own for each condition.
+
+    The stored users are older than most of the edits.
+    """
     root = scratch_dir(d.spark, "stream")
     store = TableStore(d.spark, f"{root}/tables")
     base = d.usr.select("sys_id", "name", "department", F.col("sys_created_on").alias("sys_updated_on"))
-    store.publish("user", sync.normalise_reference(base, "user", ORDERS_AS_OF))
+    store.keyed("user").replace(sync.normalise_reference(base, "user", ORDERS_AS_OF))
     path = d.path("orders")
     files = f"{path[:-1]}[{path[-1]}]"  # a stream source wants a pattern or a folder
-    edits = d.spark.readStream.schema(d.table("orders").schema).parquet(files).select(
-        F.col("o_custkey").cast("string").alias("sys_id"),
-        F.concat(F.lit("edit "), F.col("o_orderkey").cast("string")).alias("name"),
-        F.col("o_orderpriority").alias("department"),
-        F.col("o_orderdate").alias("sys_updated_on"),
-        F.col("o_orderkey").alias("seq"),
-    )
-    incremental_stream(edits, store, "user", "user", f"{root}/checkpoint", ORDERS_AS_OF, ["seq"]).awaitTermination()
-    return current_state(store, "user").drop("etl_created_at", "etl_updated_at")
+    for n, where in enumerate(wheres):
+        edits = d.spark.readStream.schema(d.table("orders").schema).parquet(files).where(where).select(
+            F.col("o_custkey").cast("string").alias("sys_id"),
+            F.concat(F.lit("edit "), F.col("o_orderkey").cast("string")).alias("name"),
+            F.col("o_orderpriority").alias("department"),
+            F.col("o_orderdate").alias("sys_updated_on"),
+            F.col("o_orderkey").alias("seq"),
+        )
+        incremental_stream(edits, store, "user", "user", f"{root}/checkpoint{n}", ORDERS_AS_OF, ["seq"]).awaitTermination()
+        if n == 0:
+            store.keyed("user").compact()
+    return store.current("user").drop("etl_created_at", "etl_updated_at")
+
+
+@query("incremental_stream", STREAMED)
+def stream(d: Data):
+    return _streamed(d, "true")
+
+
+@query("incremental_stream_twice", STREAMED)
+def stream_twice(d: Data):
+    """The edits of two streams, whose batches have the same numbers; the second meets what the first changed."""
+    return _streamed(d, "o_orderdate < DATE '1995-06-01'", "o_orderdate >= DATE '1995-06-01'")
 
 
 # -- runs ---------------------------------------------------------------------

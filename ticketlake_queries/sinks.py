@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from ticketlake.operators import archive as A
 from ticketlake.operators import dedup, merge, normalize, runlog, storage
 from ticketlake.session import scratch_dir
+from ticketlake.sources.keyed import KeyedTable
+from ticketlake.sources.tables import TableStore
 from ticketlake_queries.registry import double, query, text
 from ticketlake_queries.shapes import EVENTS_AS_OF, ORDERS_AS_OF, Data
 
@@ -34,18 +38,23 @@ MERGED = (
 )
 
 
-def _merge(d: Data, **kw):
-    return merge.merge_actions(d.usr.select(*TARGET), d.user_changes, "sys_id", ["seq"], **kw)
+def _stored(d: Data) -> KeyedTable:
+    table = KeyedTable(d.spark, scratch_dir(d.spark, "merge"))
+    table.replace(d.usr.select(*TARGET))
+    return table
 
 
 @query("merge_upsert", MERGED + "SELECT sys_id, user_name, name, email, department, active FROM merged")
 def merge_upsert(d: Data):
-    return merge.merge_upsert(d.usr.select(*TARGET), d.user_changes, "sys_id", ["seq"])
+    """The stored table after its buckets took the batch."""
+    table = _stored(d)
+    table.merge(d.user_changes, ["seq"])
+    return table.read()
 
 
 @query("merge_join", MERGED + "SELECT * FROM merged")
 def merge_join(d: Data):
-    return _merge(d)
+    return _stored(d).actions(d.user_changes, ["seq"])
 
 
 @query(
@@ -56,7 +65,13 @@ def merge_join(d: Data):
     + "count(*) FILTER (merge_action = 'unchanged') AS unchanged, count(*) FILTER (merge_action = 'keep') AS untouched FROM merged",
 )
 def db_metrics(d: Data):
-    return merge.merge_metrics(_merge(d))
+    return merge.merge_metrics(_stored(d).actions(d.user_changes, ["seq"]))
+
+
+@query("merge_frames", MERGED + "SELECT * FROM merged")
+def merge_frames(d: Data):
+    """The same upsert of two frames that no table stores."""
+    return merge.merge_actions(d.usr.select(*TARGET), d.user_changes, "sys_id", ["seq"])
 
 
 @query("dedup_last_wins", LAST + "SELECT sys_id, name, department FROM last_change")
@@ -160,6 +175,18 @@ def run_log_retention(d: Data):
     return kept.select("execution_id", "started_at", "status")
 
 
+@query(
+    "run_log_cut",
+    "SELECT execution_id, started_at, status FROM run_log WHERE NOT coalesce(started_at < TIMESTAMP '2024-01-16 00:00:00', false)",
+)
+def run_log_cut(d: Data):
+    """What the stored log holds after old runs were removed from it."""
+    store = TableStore(d.spark, scratch_dir(d.spark, "log"))
+    store.append("run_log", d.run_log.select("execution_id", "started_at", "status"), month_of="started_at")
+    store.cut("run_log", "started_at", EVENTS_AS_OF - timedelta(days=15))
+    return store.read_appended("run_log")
+
+
 @query(
     "run_log_retention_removed",
     "SELECT count(*) FILTER (started_at < TIMESTAMP '2024-01-16 00:00:00') AS removed_rows FROM run_log",
