@@ -2,7 +2,6 @@ import gzip
 import json
 import random
 from datetime import date, datetime, timedelta
-from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -120,12 +119,39 @@ def test_archive_round_trip_keeps_whole_texts(spark, data, tmp_path):
     assert AF.load_latest(spark, entry, root, "2024-01-30") is None
 
 
-def test_archive_files_hold_at_most_one_page(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(AF, "SPLIT_BYTES", 0)  # keep the single partition
-    sizes = AF.write_files(spark, {"t": spark.range(0, 95, 1, 1)}, str(tmp_path), rows_per_file=10)
-    assert sizes.first()["record_count"] == 95
-    counts = [len(gzip.open(f).read().splitlines()) for f in Path(tmp_path).rglob("*.gz")]
-    assert sorted(counts) == [5] + [10] * 9
+def test_archive_files_are_sized_by_bytes_and_listed(spark, tmp_path):
+    """Many records in one small table are one file, few large ones are split."""
+    wide = spark.range(0, 400, 1, 4).select("id", F.concat_ws("", F.transform(F.sequence(F.lit(0), F.lit(60)), lambda k: F.md5((F.col("id") * 99 + k).cast("string")))).alias("t"))
+    narrow = spark.range(0, 30_000, 1, 1)
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200k")
+    try:
+        manifest = AF.write_files(spark, {"wide": wide, "narrow": narrow, "none": narrow.limit(0)}, str(tmp_path)).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    found = {r["table"]: r.asDict() for r in manifest}
+    assert {t: r["record_count"] for t, r in found.items()} == {"wide": 400, "narrow": 30_000, "none": 0}
+    assert found["wide"]["files"] >= 3 and found["narrow"]["files"] <= 3
+    for t in ("wide", "narrow"):
+        files = list((tmp_path / f"table={t}").glob("*.gz"))
+        assert len(files) == found[t]["files"] and sum(f.stat().st_size for f in files) == found[t]["compressed_bytes"]
+        assert sum(len(gzip.open(f).read().splitlines()) for f in files) == found[t]["record_count"]
+
+
+def test_days_are_saved_in_one_write_and_one_is_read_alone(spark, tmp_path, monkeypatch):
+    a = spark.createDataFrame([(k, f"2024-01-0{1 + k % 3} 10:00:00") for k in range(30)], "sys_id INT, opened_at STRING")
+    b = spark.createDataFrame([(7, datetime(2024, 1, 2, 5)), (8, datetime(2024, 1, 9))], "sys_id INT, made TIMESTAMP_NTZ")
+    entries = AF.save_days(spark, {"a": a, "b": b}, str(tmp_path), {"a": "opened_at", "b": "made"}, "a", as_of=AS_OF).orderBy("start_date")
+    got = [(str(r["start_date"]), str(r["end_date"]), r["extraction_type"], r["record_count"]) for r in entries.collect()]
+    assert got == [(d, d, "daily", n) for d, n in (("2024-01-01", 10), ("2024-01-02", 11), ("2024-01-03", 10))]
+    second = entries.collect()[1]["id"]
+    for folder in tmp_path.glob("*/day=2024-01-01"):  # the rest is not looked at
+        folder.chmod(0)
+    records = AF.read_files(spark, f"{tmp_path}/{second}")
+    assert sorted((r["table"], json.loads(r["record"])["sys_id"]) for r in records.collect())[-1] == ("b", 7)
+    assert AF.read_files(spark, f"{tmp_path}/{second}", "b").collect()[0]["record"] == '{"sys_id":7,"made":"2024-01-02T05:00:00"}'
+    again = AF.save_days(spark, {"a": a.where("sys_id < 2")}, str(tmp_path / "2"), {"a": "opened_at"}, "a", as_of=AS_OF)
+    listed = A.replace_windows(entries, again)
+    assert sorted((str(r["start_date"]), r["record_count"]) for r in listed.collect()) == [("2024-01-01", 1), ("2024-01-02", 1), ("2024-01-03", 10)]
 
 
 def test_batch_metadata_leaves_empty_tables_out_of_the_map(spark):

@@ -23,15 +23,15 @@ def iso_text(col: Column) -> Column:
     return F.concat(F.date_format(col, "yyyy-MM-dd'T'HH:mm:ss"), fraction)
 
 
-def record_json(df: DataFrame, name: str = "record") -> DataFrame:
-    """Each row as compact JSON: nulls left out, text unescaped, dates as ISO text."""
+def record_json(df: DataFrame, name: str = "record", keep: dict[str, Column] | None = None) -> DataFrame:
+    """Each row as compact JSON: nulls left out, text unescaped, dates as ISO text; ``keep`` adds columns beside it."""
     columns = []
     for field in df.schema.fields:
         col = F.col(f"`{field.name}`")
         if isinstance(field.dataType, (T.TimestampNTZType, T.TimestampType)):
             col = iso_text(col)
         columns.append(col.alias(field.name))
-    return df.select(F.to_json(F.struct(*columns)).alias(name))
+    return df.select(F.to_json(F.struct(*columns)).alias(name), *[c.alias(n) for n, c in (keep or {}).items()])
 
 
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
@@ -101,6 +101,13 @@ def replace_slice(
     return kept.unionByName(new, allowMissingColumns=True)
 
 
+def replace_windows(existing: DataFrame, new: DataFrame) -> DataFrame:
+    """Entries after a save of several windows: each replaces the entries of its own type and window."""
+    window = ["extraction_type", "start_date", "end_date"]
+    kept = existing.join(new.select(*window).distinct(), window, "left_anti")
+    return kept.unionByName(new, allowMissingColumns=True)
+
+
 def latest_entries(entries: DataFrame) -> DataFrame:
     """The newest entry per (extraction date, type)."""
     return (

@@ -15,8 +15,8 @@ from functools import partial
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ticketlake.functions.periods import default_window, in_window, run_window, to_day
-from ticketlake.operators.archive import replace_slice
+from ticketlake.functions.periods import default_window, run_window, to_day
+from ticketlake.operators.archive import replace_slice, replace_windows
 from ticketlake.operators.dedup import last_wins
 from ticketlake.operators.integrity import missing_company_ids, missing_user_ids
 from ticketlake.operators.normalize import add_row_hash, audit_stamp, flatten_refs, normalize_flags, with_reject_reasons
@@ -233,14 +233,10 @@ def run_daily(run: Run, resources: dict[str, DataFrame], days: int = 3) -> Run:
     finally:
         run.json_storage = store_json
     if store_json and run.counts["incident"]:
-        for day, _ in slices:
-            tables = {
-                name: in_window(run.landing.read(name).drop(REASON), column, day, day)
-                for name, column in INCIDENT_TABLES.items()
-                if run.landing.exists(name)
-            }
-            if not tables["incident"].isEmpty():
-                archive(run, tables, "daily", day, day)
+        landed = {name: run.landing.read(name).drop(REASON) for name in INCIDENT_TABLES if run.landing.exists(name)}
+        days = {name: INCIDENT_TABLES[name] for name in landed}
+        entries = archive_files.save_days(run.spark, landed, run.archive_root, days, "incident", as_of=run.as_of)
+        run.store.update("archive_entry", lambda old: entries if old is None else replace_windows(old, entries))
     return run
 
 

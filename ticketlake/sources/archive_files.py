@@ -1,7 +1,10 @@
-"""Archived extractions: gzip JSON files, one record per line, at most one page per file.
+"""Archived extractions: gzip JSON files, one record per line.
 
-``<root>/<entry id>/table=<name>/*.txt.gz``.  An entry counts once its row is in
-the entry list; files of an unfinished save are never looked at.
+``<root>/<save>/table=<name>/*.txt.gz`` is one entry; a save of several days at
+once lies in ``<root>/<save>/day=<day>/table=<name>``, one entry a day.  Files
+are as large as a shuffle partition should be (AQE rebalances records by their
+bytes), whatever the number of records.  An entry counts once its row is in the
+entry list; files of an unfinished save are never looked at.
 """
 
 from __future__ import annotations
@@ -9,67 +12,94 @@ from __future__ import annotations
 import uuid
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketlake.functions.periods import to_day
 from ticketlake.operators.archive import entry_sizes, record_json
-from ticketlake.operators.lookups import plan_bytes
-from ticketlake.schemas import PAGE_LIMIT
-from ticketlake.session import together
 
-SPLIT_BYTES = 128 * 1024 * 1024
 
-
-def _write_table(df: DataFrame, path: str, rows_per_file: int) -> dict[str, int]:
-    records = record_json(df)
-    # Compressing is the work here.  Data of less than one input split per core
-    # is spread over the cores first; larger data already is.
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if plan_bytes(df) < cores * SPLIT_BYTES:
-        records = records.repartition(cores)
-    seen = Observation()
-    records.observe(
-        seen, F.count(F.lit(1)).alias("record_count"), F.sum(F.octet_length("record")).alias("json_bytes")
-    ).write.mode("overwrite").option("compression", "gzip").option("zlib.compress.level", "BEST_COMPRESSION").option(
-        "maxRecordsPerFile", rows_per_file
-    ).text(path)
-    return seen.get
+def _records(tables: dict[str, DataFrame], days: dict[str, str] | None) -> DataFrame:
+    """(day, table, record) of all tables; the day is null unless ``days`` names a time column of each."""
+    out = None
+    for name, df in tables.items():
+        day = F.substring(F.col(days[name]).cast("string"), 1, 10) if days else F.lit(None).cast("string")
+        # the day travels beside the record, not in it
+        rows = record_json(df, keep={"day": day}).select("day", F.lit(name).alias("table"), "record")
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 def write_files(
-    spark: SparkSession, tables: dict[str, DataFrame], path: str, rows_per_file: int = PAGE_LIMIT
+    spark: SparkSession, tables: dict[str, DataFrame], path: str, days: dict[str, str] | None = None
 ) -> DataFrame:
-    """Write every table's records; the JVM compresses while it writes.
+    """Write every table's records in one job; the JVM compresses while it writes.
 
-    Returns (table, record_count, json_bytes), counted while writing.
+    Returns the manifest: (day, table, record_count, json_bytes, files,
+    compressed_bytes), one row per folder.
     """
-    seen = together({
-        name: lambda df=df, name=name: _write_table(df, f"{path}/table={name}", rows_per_file)
-        for name, df in tables.items()
-    })
-    rows = [(name, s["record_count"], s["json_bytes"] or 0) for name, s in seen.items()]
-    return spark.createDataFrame(rows, "table STRING, record_count BIGINT, json_bytes BIGINT")
+    records = _records(tables, days)
+    parts = ["day", "table"] if days else ["table"]
+    written = records if days else records.drop("day")
+    written.hint("rebalance", *[F.col(p) for p in parts]).write.mode("overwrite").option("compression", "gzip").option(
+        "zlib.compress.level", "BEST_COMPRESSION"
+    ).partitionBy(*parts).text(path)
+    counts = records.groupBy("day", "table").agg(
+        F.count(F.lit(1)).alias("record_count"), F.sum(F.octet_length("record")).alias("json_bytes")
+    )
+    empty = spark.createDataFrame([(name,) for name in tables], "table STRING").select(
+        F.lit(None).cast("string").alias("day"), "table", F.lit(0).alias("record_count"), F.lit(0).alias("json_bytes")
+    )
+    if not days:  # a table without records is part of the entry, too
+        counts = counts.unionByName(empty.join(counts, "table", "left_anti"))
+    sizes = file_sizes(spark, path, by_day=True).withColumnsRenamed({"day": "_day", "table": "_table"})
+    same = F.col("day").eqNullSafe(F.col("_day")) & (F.col("table") == F.col("_table"))
+    return counts.join(sizes, same, "left").drop("_day", "_table")
 
 
 def read_files(spark: SparkSession, path: str, table: str | None = None) -> DataFrame:
-    """Archived records as (table, record)."""
-    rows = spark.read.schema("value STRING, table STRING").text(path)
+    """Archived records of one entry as (table, record); no other entry is listed, and one table alone if it is named."""
     if table is not None:
-        rows = rows.where(F.col("table") == table)
+        rows = spark.read.schema("value STRING").text(f"{path}/table={table}").withColumn("table", F.lit(table))
+    else:
+        rows = spark.read.schema("value STRING, table STRING").text(path)
     return rows.select("table", F.col("value").alias("record"))
 
 
-def file_sizes(spark: SparkSession, path: str) -> DataFrame:
-    """Compressed bytes per table, from the file listing alone."""
+def file_sizes(spark: SparkSession, path: str, by_day: bool = False) -> DataFrame:
+    """Files and compressed bytes per table (and day), from the file listing alone."""
     files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "*.gz")
         .option("recursiveFileLookup", True)
         .load(path)
     )
-    table = F.regexp_extract("path", r"/table=([^/]+)/", 1)
-    return files.groupBy(table.alias("table")).agg(F.sum("length").alias("compressed_bytes"))
+    part = lambda name: F.nullif(F.regexp_extract("path", f"/{name}=([^/]+)/", 1), F.lit(""))
+    keys = [part("day").alias("day")] * by_day + [part("table").alias("table")]
+    return files.groupBy(*keys).agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("compressed_bytes"))
+
+
+def _entries(
+    manifest: DataFrame, entry_id: Column, start: Column, end: Column, extraction_type: str, as_of: datetime,
+    api_requests: int, duration_seconds: float | None,
+) -> DataFrame:
+    total = manifest.groupBy("day").agg(
+        F.sum("record_count").alias("record_count"),
+        F.sum("json_bytes").alias("json_bytes"),
+        F.sum("compressed_bytes").alias("compressed_bytes"),
+    )
+    return total.select(
+        entry_id.alias("id"),
+        F.lit(to_day(as_of)).cast("date").alias("data_extraction"),
+        F.lit(extraction_type).alias("extraction_type"),
+        start.cast("date").alias("start_date"),
+        end.cast("date").alias("end_date"),
+        F.col("record_count"),
+        *[c.alias(n) for n, c in entry_sizes(F.col("json_bytes"), F.col("compressed_bytes")).items()],
+        F.lit(duration_seconds).cast("decimal(8,2)").alias("extraction_duration_seconds"),
+        F.lit(api_requests).alias("api_requests_count"),
+        F.lit(as_of).cast("timestamp_ntz").alias("created_at"),
+    )
 
 
 def save_entry(
@@ -87,30 +117,37 @@ def save_entry(
 ) -> DataFrame:
     """Write one extraction and return its entry row (not yet listed anywhere)."""
     entry_id = entry_id or uuid.uuid4().hex
-    path = f"{root}/{entry_id}"
-    sizes = write_files(spark, tables, path).join(file_sizes(spark, path), "table", "left")
-    total = sizes.agg(
-        F.sum("record_count").alias("record_count"),
-        F.sum("json_bytes").alias("json_bytes"),
-        F.sum("compressed_bytes").alias("compressed_bytes"),
-    )
-    now = F.lit(as_of).cast("timestamp_ntz")
-    day = lambda v: F.lit(to_day(v) if v else None).cast("date")
-    return total.select(
-        F.lit(entry_id).alias("id"),
-        day(as_of).alias("data_extraction"),
-        F.lit(extraction_type).alias("extraction_type"),
-        day(start).alias("start_date"),
-        day(end).alias("end_date"),
-        F.col("record_count"),
-        *[c.alias(n) for n, c in entry_sizes(F.col("json_bytes"), F.col("compressed_bytes")).items()],
-        F.lit(duration_seconds).cast("decimal(8,2)").alias("extraction_duration_seconds"),
-        F.lit(api_requests).alias("api_requests_count"),
-        now.alias("created_at"),
-    )
+    day = lambda v: F.lit(to_day(v) if v else None)
+    manifest = write_files(spark, tables, f"{root}/{entry_id}")
+    return _entries(manifest, F.lit(entry_id), day(start), day(end), extraction_type, as_of, api_requests, duration_seconds)
+
+
+def save_days(
+    spark: SparkSession,
+    tables: dict[str, DataFrame],
+    root: str,
+    days: dict[str, str],
+    only_with: str,
+    *,
+    as_of: datetime,
+    extraction_type: str = "daily",
+) -> DataFrame:
+    """Write the records of many days in one job and return an entry row for each day that has any of ``only_with``.
+
+    ``days`` names the time column of each table.  Other days' records lie in
+    files that no entry names.
+    """
+    save = uuid.uuid4().hex
+    manifest = write_files(spark, tables, f"{root}/{save}", days)
+    wanted = manifest.where(F.col("table") == only_with).select("day")
+    day = F.col("day")
+    entry_id = F.concat(F.lit(f"{save}/day="), day)
+    return _entries(manifest.join(wanted, "day", "left_semi"), entry_id, day, day, extraction_type, as_of, 0, None)
 
 
-def load_latest(spark: SparkSession, entries: DataFrame, root: str, day, extraction_type: str = "daily"):
+def load_latest(
+    spark: SparkSession, entries: DataFrame, root: str, day, extraction_type: str = "daily", table: str | None = None
+) -> DataFrame | None:
     """Records of the newest entry for (extraction date, type), or None."""
     found = (
         entries.where(
@@ -121,4 +158,4 @@ def load_latest(spark: SparkSession, entries: DataFrame, root: str, day, extract
         .select("id")
         .first()
     )
-    return None if found is None else read_files(spark, f"{root}/{found['id']}")
+    return None if found is None else read_files(spark, f"{root}/{found['id']}", table)

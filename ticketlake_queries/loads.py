@@ -116,7 +116,7 @@ def resources(d: Data) -> dict[str, DataFrame]:
         "incident": d.incident,
         "incident_task": d.incident_task,
         "task_sla": d.task_sla,
-        "task_time_worked": d.task_time_worked,
+        "task_time_worked": d.past_time_worked,
         "contract_sla": d.contract_sla,
         "user_group": d.user_group,
         "user": d.usr.drop("etl_updated_at"),
@@ -132,22 +132,47 @@ def no_rows(run: loads.Run) -> DataFrame:
     return run.spark.createDataFrame([], "sys_id STRING")
 
 
+#: columns whose content is compared after a run, table by table
+COMPARED = {
+    "contract_sla": ["sys_id", "name", "vendor", "type", "duration", "part_number"],
+    "user_group": ["sys_id", "name", "parent"],
+    "user": ["sys_id", "user_name", "name", "email", "company", "department", "active", "first_name", "last_name", "phone", "title"],
+    "company": ["sys_id", "name", "customer", "vendor", "active"],
+    "incident": RAW_FIELDS,
+    "incident_task": ["sys_id", "parent", "opened_at", "state"],
+    "task_sla": ["sys_id", "task"],  # copies of an id differ in the rest, and any of them may be the last
+    "task_time_worked": ["sys_id", "task", "sys_created_by", "time_in_seconds"],
+}
+
+
 def stored_counts(run: loads.Run) -> DataFrame:
-    """What is stored after a run: rows and distinct ids per table."""
+    """What is stored after a run: rows, distinct ids and a digest of the rows' content per table."""
     out = None
     for name in sorted(run.counts):
-        table = run.table(name)
+        table, columns = run.table(name), COMPARED[name]
         if table is None:  # an empty batch creates no table
-            table = no_rows(run)
-        row = table.agg(F.count(F.lit(1)).alias("record_count"), F.countDistinct("sys_id").alias("ids"))
-        row = row.select(F.lit(name).alias("table_name"), "record_count", "ids")
+            table = no_rows(run).select(*[F.lit(None).cast("string").alias(c) for c in columns])
+        text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in columns])
+        row = table.agg(
+            F.count(F.lit(1)).alias("record_count"), F.countDistinct("sys_id").alias("ids"),
+            F.sum(F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")).alias("content"),
+        )
+        row = row.select(F.lit(name).alias("table_name"), "record_count", "ids", "content")
         out = row if out is None else out.unionByName(row)
     return out
 
 
-def _count(table: str, shape: str, where: str = "true", merged: bool = False) -> str:
-    rows = "count(DISTINCT sys_id)" if merged else "count(*)"
-    return f"SELECT '{table}' AS table_name, {rows} AS record_count, count(DISTINCT sys_id) AS ids FROM {shape} WHERE {where}"
+def _count(table: str, shape: str, where: str = "true", last_by: str | None = None) -> str:
+    """The same in SQL; with ``last_by`` the last row of each id counts."""
+    text = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '-')" for c in COMPARED[table])
+    rows = f"SELECT * FROM {shape} WHERE {where}"
+    if last_by is not None:
+        rows = f"SELECT * FROM ({rows}) AS w QUALIFY row_number() OVER (PARTITION BY sys_id ORDER BY {last_by}) = 1"
+    return (
+        f"SELECT '{table}' AS table_name, count(*) AS record_count, count(DISTINCT sys_id) AS ids, "
+        f"CAST(sum(CAST(concat('0x', substr(md5(concat_ws('|', {text})), 1, 8)) AS BIGINT)) AS BIGINT) AS content "
+        f"FROM ({rows}) AS r"
+    )
 
 
 RECENT = "(active = 1 OR sys_updated_on >= TIMESTAMP '2001-07-03 00:00:00')"
@@ -164,9 +189,9 @@ def _incident_counts(start: str, end: str) -> str:
     time_window = f"sys_created_on >= TIMESTAMP '{start} 00:00:00' AND sys_created_on <= TIMESTAMP '{end} 23:59:59'"
     return " UNION ALL ".join([
         _count("incident", "incident", text_window),
-        _count("incident_task", "incident_task", f"{text_window} AND parent <> ''", merged=True),
-        _count("task_sla", "task_sla", f"{time_window} AND task <> ''", merged=True),
-        _count("task_time_worked", "task_time_worked", f"{time_window} AND task <> ''"),
+        _count("incident_task", "incident_task", f"{text_window} AND parent <> ''", "seq1 DESC, seq2 DESC, seq3 DESC"),
+        _count("task_sla", "task_sla", f"{time_window} AND task <> ''", "task"),
+        _count("task_time_worked", "past_time_worked", f"{time_window} AND task <> ''"),
     ])
 
 
@@ -230,24 +255,26 @@ def full_normalized(d: Data):
     )
 
 
+IN_TIME = "sys_created_on >= TIMESTAMP '1996-03-01 00:00:00' AND sys_created_on <= TIMESTAMP '2000-10-31 23:59:59' AND task <> ''"
 RUN_ROW = """
 SELECT 'range' AS execution_type, 'success' AS status, CAST(90 AS DOUBLE) AS duration_seconds,
        {requests} AS total_api_requests, CAST(written AS INTEGER) AS total_records_processed,
-       'contract_sla,user_group,user,company,incident,incident_task' AS tables_processed
+       'contract_sla,user_group,user,company,incident,incident_task,task_sla,task_time_worked' AS tables_processed
 FROM (SELECT (SELECT count(*) FROM contract_sla) + (SELECT count(*) FROM user_group)
            + (SELECT count(*) FROM usr WHERE {recent}) + (SELECT count(*) FROM company WHERE {recent})
            + (SELECT count(*) FROM incident WHERE opened_at >= '1996-03-01 00:00:00' AND opened_at <= '2000-10-31 23:59:59')
            + (SELECT count(DISTINCT sys_id) FROM incident_task WHERE parent <> '' AND opened_at >= '1996-03-01 00:00:00'
-              AND opened_at <= '2000-10-31 23:59:59') AS written) AS w
+              AND opened_at <= '2000-10-31 23:59:59')
+           + (SELECT count(DISTINCT sys_id) FROM task_sla WHERE {in_time})
+           + (SELECT count(*) FROM past_time_worked WHERE {in_time}) AS written) AS w
 """
 
 
 def _audited(d: Data, **kw) -> loads.Run:
+    """A whole run of all eight resources."""
     run = new_run(d)
-    kept = ("contract_sla", "user_group", "user", "company", "incident", "incident_task")
-    tables = {k: v for k, v in resources(d).items() if k in kept}
     clock = iter([ORDERS_AS_OF, ORDERS_AS_OF + timedelta(seconds=90)])
-    return audit.run_audited(run, "range", tables, clock.__next__, start="1996-03-01", end="2000-10-31", **kw)
+    return audit.run_audited(run, "range", resources(d), clock.__next__, start="1996-03-01", end="2000-10-31", **kw)
 
 
 def _log(run: loads.Run) -> DataFrame:
@@ -257,7 +284,7 @@ def _log(run: loads.Run) -> DataFrame:
     return double(log, "duration_seconds")
 
 
-@query("run_audit", RUN_ROW.format(recent=RECENT, requests="(SELECT CAST(count(*) AS INTEGER) FROM request_log)"))
+@query("run_audit", RUN_ROW.format(recent=RECENT, in_time=IN_TIME, requests="(SELECT CAST(count(*) AS INTEGER) FROM request_log)"))
 def run_audit(d: Data):
     return _log(_audited(d, request_log=d.request_log))
 

@@ -313,18 +313,20 @@ def batch_metadata(d: Data):
     "archive_sizes",
     """
     SELECT conv_id, CAST(round(CAST(sum(strlen(text)) AS DECIMAL(20,6)) / 1024, 2) AS DOUBLE) AS json_size_kb,
-           CAST(round(CAST(count(*) AS DECIMAL(20,6)) / 1024, 2) AS DOUBLE) AS compressed_size_kb
+           CAST(round(CAST(sum(length(text) - length(replace(text, ' ', ''))) AS DECIMAL(20,6)) / 1024, 2) AS DOUBLE) AS compressed_size_kb,
+           CAST(nullif(round(CAST(sum(strlen(text)) - sum(length(text) - length(replace(text, ' ', ''))) AS DECIMAL(20,6)) * 100
+                / sum(strlen(text)), 2), 0) AS DOUBLE) AS compression_ratio
     FROM conversations GROUP BY conv_id HAVING sum(strlen(text)) > 0
     """,
 )
 def archive_sizes(d: Data):
-    """Entry sizes of whole conversations; the row count stands for the compressed bytes."""
+    """Entry sizes and ratios of whole conversations; the number of their spaces stands for the compressed bytes."""
     raw = d.table("conversations").groupBy("conv_id").agg(
-        F.sum(F.octet_length("text")).alias("raw"), F.count(F.lit(1)).alias("packed")
+        F.sum(F.octet_length("text")).alias("raw"), F.sum(F.length("text") - F.length(F.replace("text", F.lit(" "), F.lit("")))).alias("packed")
     )
     sizes = A.entry_sizes(F.col("raw"), F.col("packed"))
     out = raw.where("raw > 0").select("conv_id", *[c.alias(n) for n, c in sizes.items()])
-    return double(out, "json_size_kb", "compressed_size_kb").drop("compression_ratio")
+    return double(out, "json_size_kb", "compressed_size_kb", "compression_ratio")
 
 
 @query(

@@ -195,11 +195,15 @@ def warehouse_scan(d: Data):
 ARCHIVED = """
 SELECT 'incident' AS table_name, sys_id, state, opened_at FROM incident
 UNION ALL SELECT 'incident_task', sys_id, state, opened_at FROM incident_task
+UNION ALL SELECT 'task_sla', sys_id, NULL, NULL FROM task_sla
+UNION ALL SELECT 'task_time_worked', sys_id, NULL, NULL FROM task_time_worked
 """
 
 
 def archived_tables(d: Data) -> dict[str, DataFrame]:
-    return {"incident": d.incident, "incident_task": d.incident_task.drop("seq1", "seq2", "seq3")}
+    """All four tables of an extraction."""
+    tables = {n: getattr(d, n) for n in ("incident", "incident_task", "task_sla", "task_time_worked")}
+    return {n: df.drop("seq1", "seq2", "seq3") for n, df in tables.items()}
 
 
 @query("archive_load", ARCHIVED)
@@ -221,6 +225,12 @@ _PROFILED = ["sys_id", "number", "state", "priority", "urgency", "impact", "shor
              "closed_at", "company", "resolved_by", "opened_by", "caller_id"]
 
 
+ISO = (
+    "strftime(sys_created_on, '%Y-%m-%dT%H:%M:%S') || "
+    "CASE WHEN strftime(sys_created_on, '%f') = '000000' THEN '' ELSE strftime(sys_created_on, '.%f') END"
+)
+
+
 @query(
     "column_profile",
     " UNION ALL ".join(
@@ -238,11 +248,16 @@ def profile(d: Data):
     "WITH sizes AS ("
     + " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, count(*) AS record_count, "
-        f"sum(strlen(CAST(json_merge_patch('{{}}', json_object({', '.join(f'{chr(39)}{c}{chr(39)}, {c}' for c in cols)})) AS VARCHAR))) AS json_bytes "
+        f"sum(strlen(CAST(json_merge_patch('{{}}', json_object({', '.join(f'{chr(39)}{c}{chr(39)}, {e}' for c, e in cols.items())})) AS VARCHAR))) AS json_bytes "
         f"FROM {t}"
         for t, cols in {
-            "incident": _PROFILED[:8] + ["closed_at", "company", "resolved_by", "opened_by", "caller_id"],
-            "incident_task": ["sys_id", "parent", "opened_at", "state"],
+            "incident": {c: c for c in _PROFILED},
+            "incident_task": {c: c for c in ("sys_id", "parent", "opened_at", "state")},
+            "task_sla": {"sys_id": "sys_id", "task": "task", "sys_created_on": ISO, "stage": "stage", "business_percentage": "business_percentage"},
+            "task_time_worked": {
+                "sys_id": "sys_id", "task": "task", "sys_created_on": ISO, "sys_created_by": "sys_created_by",
+                "time_in_seconds": "time_in_seconds",
+            },
         }.items()
     )
     + ") SELECT table_name, record_count, CAST(json_bytes AS BIGINT) AS json_bytes, true AS is_smaller FROM sizes",
@@ -251,7 +266,6 @@ def archive_write(d: Data):
     path = scratch_dir(d.spark, "archive")
     tables = archived_tables(d)
     sizes = archive_files.write_files(d.spark, tables, path)
-    sizes = sizes.join(archive_files.file_sizes(d.spark, path), "table", "left")
     return sizes.select(
         F.col("table").alias("table_name"), "record_count", "json_bytes",
         (F.col("compressed_bytes") < F.col("json_bytes")).alias("is_smaller"),

@@ -125,6 +125,16 @@ SELECT CAST(event_id AS STRING) AS sys_id,
 FROM {events}
 """
 
+# Time worked in the years of the incidents.
+SHAPES["past_time_worked"] = """
+SELECT CAST(event_id AS STRING) AS sys_id,
+       CASE WHEN event_id % 9 = 0 THEN '' WHEN event_id % 10 = 0 THEN NULL
+            ELSE CAST(event_id % 1500 AS STRING) END AS task,
+       ts - INTERVAL 24 YEAR AS sys_created_on, CAST(user_id AS STRING) AS sys_created_by,
+       CAST(event_id % 3600 AS INT) AS time_in_seconds
+FROM {events}
+"""
+
 SHAPES["contract_sla"] = """
 SELECT CAST(p_partkey AS STRING) AS sys_id, p_name AS name, p_brand AS vendor, p_type AS type,
        CAST(p_size AS STRING) AS duration, CAST(p_partkey AS INT) AS part_number
