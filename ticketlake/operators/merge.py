@@ -107,34 +107,41 @@ def merged_rows(
     are cut in the batch before that; without ``order`` its greatest row counts.
     """
     order = order or []
+    quoted = lambda *names: ".".join(f"`{n}`" for n in names)
     columns = [c for c in batch.columns if c not in order]
-    types = {f.name: f.dataType for f in old.schema} if old is not None else {}
+    stored = [f for f in old.schema if f.name != "_bucket"] if old is not None else []
+    types = {f.name: f.dataType.simpleString() for f in stored}
     # rows without a key are all different
-    own = F.when(F.col(key).isNull(), F.monotonically_increasing_id()).alias("_own")
-    batch = batch.select("*", own)
+    batch = batch.select("*", F.when(F.col(key).isNull(), F.monotonically_increasing_id()).alias("_own"))
     if order:
         copies = Window.partitionBy(key, "_own").orderBy(*[F.desc(c) for c in order])
         batch = batch.withColumn("_rn", F.row_number().over(copies)).where("_rn = 1")
-    typed = [F.col(c).cast(types.get(c, batch.schema[c].dataType)).alias(c) for c in columns]
-    new = batch.select(bucket.alias("_bucket"), F.col(key).cast("string").alias("_key"), "_own", F.struct(*typed).alias("_s"))
-    names = [c for c in (old.columns if old is not None else []) if c != "_bucket"]
+    # expressions as text: tables are wide, and every call to the JVM counts
+    typed = [f"CAST({quoted(c)} AS {types[c]})" if c in types else quoted(c) for c in columns]
+    row = ", ".join(f"'{c}', {v}" for c, v in zip(columns, typed, strict=True))
+    key_text = f"CAST({quoted(key)} AS STRING) AS _key"
+    new = batch.select(bucket.alias("_bucket"), F.expr(key_text), "_own", F.expr(f"named_struct({row}) AS _s"))
     if old is not None:
-        row = F.struct(*[F.col(c) for c in names]).alias("_t")
-        stored = old.select("_bucket", F.col(key).cast("string").alias("_key"), F.lit(None).cast("long").alias("_own"), row)
-        both = new.unionByName(stored, allowMissingColumns=True)
+        row = ", ".join(f"'{c}', {quoted(c)}" for c in types)
+        both = new.unionByName(
+            old.selectExpr("_bucket", key_text, "CAST(NULL AS BIGINT) AS _own", f"named_struct({row}) AS _t"), allowMissingColumns=True
+        )
     else:
         both = new.withColumn("_t", F.lit(None).cast("struct<_:int>"))
     one = both.repartition("_bucket").groupBy("_bucket", "_key", "_own").agg(F.max("_s").alias("_s"), F.max("_t").alias("_t"))
-    given, stored = F.col("_s").isNotNull(), F.col("_t").isNotNull()
-    same = F.lit(True)
-    for c in columns:
-        same = same & (F.col("_s").getField(c).eqNullSafe(F.col("_t").getField(c)) if c in types else F.col("_s").getField(c).isNull())
-    action = F.when(~stored, "insert").when(~given, "keep").when(same, "unchanged").otherwise("update")
+    same = " AND ".join(
+        f"{quoted('_s', c)} <=> {quoted('_t', c)}" if c in types else f"{quoted('_s', c)} IS NULL" for c in columns
+    )
+    action = (
+        f"CASE WHEN _t IS NULL THEN 'insert' WHEN _s IS NULL THEN 'keep' WHEN {same} THEN 'unchanged' ELSE 'update' END"
+        f" AS {ACTION}"
+    )
     values = []
-    for c in [*names, *(c for c in columns if c not in types)]:
-        before = F.col("_t").getField(c) if c in types else F.lit(None)
-        values.append((F.when(given, F.col("_s").getField(c)).otherwise(before) if c in columns else before).alias(c))
-    return one.select(*values, action.alias(ACTION), "_bucket")
+    for c in [*types, *(c for c in columns if c not in types)]:
+        before, given = quoted("_t", c) if c in types else "NULL", quoted("_s", c)
+        value = f"CASE WHEN _s IS NOT NULL THEN {given} ELSE {before} END" if c in columns else before
+        values.append(f"{value} AS {quoted(c)}")
+    return one.selectExpr(*values, action, "_bucket")
 
 
 def merge_upsert(target: DataFrame, source: DataFrame, key: str | None = None, order=None, **kw) -> DataFrame:

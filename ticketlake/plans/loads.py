@@ -51,7 +51,8 @@ class Run:
     execution_id: str = field(default_factory=lambda: str(uuid.uuid4()))
     counts: dict[str, int] = field(default_factory=dict)
     merged: dict[str, dict[str, int]] = field(default_factory=dict)
-    touched: dict[str, tuple[int, list[int]]] = field(default_factory=dict)  # buckets of the landed batches
+    landed: dict[str, int] = field(default_factory=dict)  # good rows of the newest batches
+    touched: dict[str, tuple[int, list[int]]] = field(default_factory=dict)  # and their buckets
     rejected: int = 0
     write_seconds: float = 0.0  # spent storing tables
 
@@ -105,6 +106,7 @@ def land(run: Run, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     for name, (rows, seen) in together({n: partial(write, n, df) for n, df in tables.items()}).items():
         landed[name] = rows.where(F.col(REASON).isNull()).drop(REASON)
         run.counts[name] = run.counts.get(name, 0) + seen["rows"]
+        run.landed[name] = seen["rows"] - seen["rejected"]
         run.rejected += seen["rejected"]
     return landed
 
@@ -144,8 +146,8 @@ def rejects(run: Run, name: str) -> DataFrame:
 
 
 def save(run: Run, tables: dict[str, DataFrame]) -> None:
-    """Upsert every non-empty table."""
-    filled = {name: batch for name, batch in tables.items() if run.counts.get(name)}
+    """Upsert every landed batch that has rows."""
+    filled = {name: batch for name, batch in tables.items() if run.landed.get(name)}
     began = time.monotonic()
     run.merged.update(together({name: partial(_upsert, run, name, batch) for name, batch in filled.items()}))
     run.write_seconds += time.monotonic() - began
