@@ -125,21 +125,30 @@ def line_chunks(text):
     return lines, list(zip(begins, [*begins[1:], len(lines)], strict=True))
 
 
+def line_units(text):
+    """The lines, and the places of all units: chunks of two lines or more, visible neighbours, long lines."""
+    lines, spans = line_chunks(text)
+    shown = [k for k, x in enumerate(lines) if re.search(r"[^\x00-\x20]", x)]
+    units = {(a, b) for a, b in spans if b - a >= 2} | {(a, b + 1) for a, b in zip(shown, shown[1:], strict=False)}
+    return lines, units | {(k, k + 1) for k in shown if len(lines[k]) >= 100}
+
+
 def line_dedup(docs):
     """(id, text left) with rows of one id and text taken as one."""
     groups, cut = defaultdict(set), {}
     for i, t in docs:
-        lines, spans = line_chunks(t)
-        cut[i, t or ""] = lines
-        for a, b in spans:
-            piece = "\n".join(lines[a:b])
-            if b - a >= 2 and re.search(r"[^\x00-\x20]", piece):
+        cut[i, t or ""], units = line_units(t)
+        for a, b in units:
+            piece = "\n".join(cut[i, t or ""][a:b])
+            if re.search(r"[^\x00-\x20]", piece):
                 key = signed(xxhash.xxh64_intdigest((t or "").encode(), 42))
                 groups[piece].add((i is None, i or 0, key, a, b, i, t or ""))
     gone = defaultdict(set)
     for places in groups.values():
-        for *_, a, b, i, t in sorted(places)[1:]:
-            gone[i, t].update(range(a, b))
+        (*_, keeper_end, keeper_id, keeper_text), *others = sorted(places)
+        for *_, a, b, i, t in others:
+            if (i, t) != (keeper_id, keeper_text) or a >= keeper_end:
+                gone[i, t].update(range(a, b))
     return [(i, "\n".join(x for k, x in enumerate(cut[i, t or ""]) if k not in gone[i, t or ""])) for i, t in docs]
 
 

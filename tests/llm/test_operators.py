@@ -1,5 +1,6 @@
 """Each operator against its plain version, on the small table and on awkward rows."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -135,6 +136,31 @@ def test_near_dedup_finds_a_link_that_no_pivot_shows(spark):
     assert as_bag(near_dedup.near_dedup(df), *columns) == ordered(plain.near(docs))
 
 
+def test_one_row_stays_of_groups_that_share_ids_or_have_none(spark):
+    text = " ".join(f"w{k}" for k in range(60))
+    near = text + " and more"
+    other = " ".join(f"v{k}" for k in range(60))
+    docs = [(1, text), (1, near), (1, near), (None, other), (None, other + " x"), (2, "alone in its group here")]
+    left = near_dedup.representatives(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert sorted(r["doc_id"] or 0 for r in left) == [0, 1, 2]
+
+
+def test_a_block_gives_few_links_for_many_similar_members(spark):
+    """300 variants, most of them similar to each other: links join components, they do not list pairs."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 2**32, 400, np.uint64).astype("<u4")
+    sets = [np.unique(np.concatenate([np.delete(base, rng.integers(0, 400, 30)), rng.integers(0, 2**32, 30, np.uint64).astype("<u4")])) for _ in range(300)]
+    keys = [b"%03d" % k for k in range(300)]
+    rows = [(k, c, len(s), s.tobytes(), asks) for asks in (False, True) for k, c, s in zip(keys, keys, sets, strict=True)]
+    fields = ["set_key", "component", "n", "short", "asks"]
+    links = near_dedup.block_links(pa.table(dict(zip(fields, map(list, zip(*rows, strict=True)), strict=True))), 75)
+    similar = [(a, b) for a in range(300) for b in range(a) if 100 * len(np.intersect1d(sets[a], sets[b])) >= 75 * len(np.union1d(sets[a], sets[b]))]
+    assert len(similar) > 5000 and len(links) == 299 - (300 - len({x for p in similar for x in p}))
+    assert all((int(b), int(a)) in similar for a, b in links)
+
+
 def test_suffix_dedup_within_one_periodic_text(spark):
     docs = [(1, "abc " * 300), (2, "x" * 399), (3, "x" * 400), (4, "y" * 401 + "q" * 500), (5, "".join(chr(97 + k * k % 23) for k in range(900)))]
     df = spark.createDataFrame(docs, "doc_id long, text string")

@@ -1,6 +1,7 @@
 """Line deduplication against a plain finder of repeated passages that knows no chunks."""
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -85,3 +86,13 @@ def test_every_repeated_run_goes_and_every_line_stays_somewhere(spark, sf):
     assert repeated > 0
     stay = {x for t in out.values() for x in t.split("\n")}
     assert all(x in stay for _, t in docs for x in (t or "").split("\n") if x)
+
+
+def test_one_text_of_very_many_short_lines(spark):
+    """Linear in the lines: a text of 100,000 of them, and one that repeats its middle."""
+    lines = [f"l{k * 7919 % 100_003}" for k in range(100_000)]
+    docs = [(1, "\n".join(lines)), (2, "own\n" + "\n".join(lines[1000:60_000]) + "\nend")]
+    began = time.monotonic()
+    out = left(spark, docs)
+    assert out == {1: docs[0][1], 2: "own\nend"}
+    assert time.monotonic() - began < 60

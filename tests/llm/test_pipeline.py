@@ -30,13 +30,12 @@ def expected_lines(spark, docs):
 
 
 def expected_near(spark, docs):
-    groups = plain.near([d[:2] for d in docs])
-    kept, seen = [], set()
-    for d, (_, n, _, keep) in zip(docs, groups, strict=True):
-        if keep and (n == 0 or d[:2] not in seen):
-            kept.append(d)
-            seen.add(d[:2])
-    return kept
+    """One row of each group, its smallest id, null ids last; no group of these tables has one id with several texts."""
+    links = plain.near([(k, d[1]) for k, d in enumerate(docs)])  # places as ids tell all groups apart
+    groups = {}
+    for k, n, group, _ in links:
+        groups.setdefault((group if n else f"wordless {k}"), []).append(docs[k])
+    return [min(g, key=lambda d: (d[0] is None, d[0] or 0)) for g in groups.values()]
 
 
 def expected_clean(spark, docs):

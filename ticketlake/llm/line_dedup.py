@@ -56,7 +56,8 @@ def chunks(df: DataFrame, id_col: str, text_col: str, window: int) -> DataFrame:
     rows = rows.withColumn(
         "rolled",
         F.transform(
-            "hashes", lambda h, i: F.when(i >= window - 1, F.xxhash64(F.slice("hashes", i - window + 2, F.lit(window))))
+            "hashes",
+            lambda h, i: F.when(i >= window - 1, F.xxhash64(*[F.get("hashes", i - window + 1 + j) for j in range(window)])),
         ),
     )
     n = F.size("lines")
@@ -72,16 +73,24 @@ def chunks(df: DataFrame, id_col: str, text_col: str, window: int) -> DataFrame:
     )
     seen = F.filter(F.sequence(F.lit(0), n - 1), lambda i: F.get("lines", i).rlike(VISIBLE))
     rows = rows.withColumn("spans", F.filter(spans, lambda s: s["after"] - s["first"] >= 2)).withColumn("seen", seen)
+    # A unit is one number here: sets of numbers are hashed, sets of structs compare all pairs.  The length comes
+    # first: Spark's hash mixes both halves by exclusive or, and first ^ after is almost the same for all units.
+    unit = lambda first, after: F.shiftleft((after - first).cast("long"), 32) + first
+    whole = F.transform("spans", lambda s: unit(s["first"], s["after"]))
     pairs = F.transform(
-        F.slice("seen", 1, F.greatest(F.size("seen") - 1, F.lit(0))),
-        lambda i, k: F.struct(i.alias("first"), (F.get("seen", k + 1) + 1).alias("after")),
+        F.slice("seen", 1, F.greatest(F.size("seen") - 1, F.lit(0))), lambda i, k: unit(i, F.get("seen", k + 1) + 1)
     )
     long_lines = F.transform(
-        F.filter("seen", lambda i: F.char_length(F.get("lines", i)) >= LONG_LINE),
-        lambda i: F.struct(i.alias("first"), (i + 1).alias("after")),
+        F.filter("seen", lambda i: F.char_length(F.get("lines", i)) >= LONG_LINE), lambda i: unit(i, i + 1)
+    )
+    rows = rows.withColumn("units", F.array_distinct(F.concat(whole, pairs, long_lines)))
+    first = lambda u: u.bitwiseAND((1 << 32) - 1).cast("int")
+    spans = F.transform(
+        "units",
+        lambda u: F.struct(first(u).alias("first"), (first(u) + F.shiftright(u, 32).cast("int")).alias("after")),
     )
     own = F.transform(
-        F.array_distinct(F.concat("spans", pairs, long_lines)),
+        spans,
         lambda s: F.struct(
             s["first"].alias("first"),
             s["after"].alias("after"),
@@ -93,11 +102,22 @@ def chunks(df: DataFrame, id_col: str, text_col: str, window: int) -> DataFrame:
         visible,
         lambda s: F.struct(F.xxhash64(s["piece"]).alias("digest"), s["first"].alias("first"), s["after"].alias("after")),
     )
-    return rows.select("id", "text_key", F.explode(made).alias("c")).select("id", "text_key", "c.*")
+    return exploded(rows.select("id", "text_key", made.alias("made")), "made")
+
+
+def exploded(df: DataFrame, units: str) -> DataFrame:
+    """One row for each struct in ``units``, spread out, beside the other columns.
+
+    The outer form: for ``explode`` Spark adds a filter on the array's size and
+    pushes it down to the text, where it splits the text again for every unit.
+    """
+    others = [c for c in df.columns if c != units]
+    return df.select(*others, F.explode_outer(units).alias("_u")).where("_u IS NOT NULL").select(*others, "_u.*")
 
 
 def piece(lines: str, span: Column) -> Column:
-    return F.array_join(F.slice(lines, span["first"] + 1, span["after"] - span["first"]), "\n")
+    """The lines of a span as one text; taken one by one, because ``slice`` copies the whole array first."""
+    return F.array_join(F.transform(F.sequence(span["first"], span["after"] - 1), lambda k: F.get(lines, k)), "\n")
 
 
 def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
@@ -122,15 +142,15 @@ def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
         F.collect_list(F.struct("digest", F.col("keeper.first").alias("first"), F.col("keeper.after").alias("after"))).alias("own")
     )
     own_text = F.col("id").eqNullSafe(F.col("own_id")) & (F.col("text_key") == F.col("own_key"))
+    # named twice here, the lines are split once; named once, Spark would split the text again for every unit
+    taken = lambda s: F.struct(s["digest"].alias("digest"), piece("lines", s).alias("piece"))
     kept = (
         texts.join(wanted.hint("merge"), own_text)
         .select("own", lines_of(whole).alias("lines"))
-        .select(
-            F.explode(
-                F.transform("own", lambda s: F.struct(s["digest"].alias("digest"), piece("lines", s).alias("piece")))
-            ).alias("k")
-        )
-        .select("k.*")
+        .select(F.when(F.size("lines") > 0, F.transform("own", taken)).alias("pieces"))
+    )
+    kept = (
+        exploded(kept, "pieces")
         .groupBy("digest")  # rows that repeat a keeper's id and text
         .agg(F.first("piece").alias("piece"))
     )

@@ -12,23 +12,26 @@ its whole word sequence as the only shingle).  Documents are linked when
    signature, then by the full sets.
 3. The links give components.  A bucket whose members then still lie in
    several components may hide links between them, so there the members
-   outside the bucket's most frequent component are compared with all
-   members of other components, in blocks of ``BLOCK`` x ``BLOCK``, by finer
-   signatures (the last four bits of ``FINE`` minima, made for these members
-   only).  Pairs inside one component need no comparison.  No bucket is
-   capped.
+   outside the bucket's most frequent component are compared with the members
+   of other components, in blocks of limited rows and shingles.  A block counts
+   common shingles by an inverted index of 32-bit hashes, and as soon as two
+   members are similar their components are one in this block: it gives at most
+   one link for each component it has, never all pairs.  Should a link not hold
+   on the full sets, two hashes were equal by chance, and the comparison is made
+   again with others.  No bucket is capped.
 
 With 32 bands of 4 rows a pair at exactly 0.75 is missed with a probability of
 about 5 in a million, a closer one far less often; ``LEAST_EQUAL`` of the 128
 minima (five standard deviations under the expectation at 0.75) adds one in a
-million, and so do the finer signatures.  Whatever is linked is confirmed on the full sets.
+million.  Whatever is linked is confirmed on the full sets.
 
 Defined results: null or wordless texts have an empty set and are linked with
 nothing.  ``component_id`` is the smallest id of the group; null ids do not
 count, and a group of null ids only has the component null.  ``kept`` is
 ``doc_id = component_id`` (for null ids: that the component is null), so rows
-that repeat the smallest id are all kept.  An empty table gives an empty
-result; other columns are not looked at.
+that repeat the smallest id are all kept; ``group_key`` tells the groups apart
+whatever their ids (null without words).  An empty table gives an empty result;
+other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -50,8 +53,8 @@ PERCENT = 75
 BANDS = 32
 ROWS = 4
 LEAST_EQUAL = 72
-FINE = 1024
 BLOCK = 1000
+BLOCK_SHINGLES = 4_000_000
 KNOWN_WORDS = 300_000
 SEED = 20260
 
@@ -200,52 +203,85 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def fine_signatures(sets: DataFrame) -> DataFrame:
-    """set_key and four bits of each of ``FINE`` minima, two to a byte."""
-    a, b = coefficients(FINE)
+def short_sets(sets: DataFrame, salt: int) -> DataFrame:
+    """set_key, n (shingles) and the distinct 32-bit hashes of the shingles, as bytes."""
+    multiplier = coefficients(1 + salt)[0][salt]
 
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = []
+            made, sizes = [], []
             for row in batch.column(1):
                 s = row.values.to_numpy().view(np.uint64)
-                bits = np.concatenate([signature(s, a[k : k + 128], b[k : k + 128]) for k in range(0, FINE, 128)]) & 15
-                made.append((bits[::2] | bits[1::2] << 4).astype(np.uint8).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], names=["set_key", "fine"])
-
-    return sets.select("set_key", "shingles").mapInArrow(sign, "set_key binary, fine binary")
-
-
-def least_alike(percent: int) -> int:
-    """Five standard deviations under the number of equal four-bit minima expected at the threshold."""
-    p = percent / 100 + (1 - percent / 100) / 16
-    return int(FINE * p - 5 * (FINE * p * (1 - p)) ** 0.5)
-
-
-def hidden_pairs(
-    members: DataFrame, nodes: DataFrame, sets: DataFrame, found: DataFrame, percent: int, bands: int
-) -> DataFrame:
-    """Pairs of one bucket, in different components, whose finer signatures are similar enough.
+                sizes.append(len(s))
+                made.append(np.unique((s * multiplier >> np.uint64(32)).astype("<u4")).tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(made, pa.binary())], names=["set_key", "n", "short"]
+            )
 
-    A pair with several buckets in common is found in the first of them only.
-    """
+    return sets.select("set_key", "shingles").mapInArrow(shorten, "set_key binary, n long, short binary")
+
+
+class Parts:
+    """Components that are joined as links are found."""
+
+    def __init__(self, names: list[bytes]):
+        self.of = np.unique(np.array(names, object), return_inverse=True)[1]
+
+    def join(self, i: int, j: int) -> None:
+        a, b = self.of[i], self.of[j]
+        self.of[self.of == max(a, b)] = min(a, b)
+
+
+def block_links(group: pa.Table, percent: int) -> list[tuple[bytes, bytes]]:
+    """Links between members of different components, enough to join all that are similar."""
+    asks = group.column("asks").to_numpy()
+    keys, sizes = group.column("set_key").to_pylist(), group.column("n").to_numpy()
+    parts = Parts(group.column("component").to_pylist())
+    sets = [np.frombuffer(s.as_py(), "<u4") for s in group.column("short")]
+    base = np.flatnonzero(~asks)
+    if not len(base):
+        return []
+    owners = np.repeat(np.arange(len(base)), [len(sets[k]) for k in base])
+    shingles = np.concatenate([sets[k] for k in base])
+    order = np.argsort(shingles, kind="stable")
+    shingles, owners = shingles[order], owners[order]
+    links = []
+    for k in np.flatnonzero(asks):
+        if (parts.of[base] == parts.of[k]).all():
+            continue
+        begin = np.searchsorted(shingles, sets[k], "left")
+        count = np.searchsorted(shingles, sets[k], "right") - begin
+        # the posting lists of the member's shingles, one after the other
+        places = np.arange(count.sum()) + np.repeat(begin - np.cumsum(count) + count, count)
+        common = np.bincount(owners[places], minlength=len(base))
+        similar = 100 * common >= percent * (sizes[k] + sizes[base] - common)
+        for other in base[similar]:
+            if parts.of[other] != parts.of[k]:
+                links.append((min(keys[k], keys[other]), max(keys[k], keys[other])))
+                parts.join(k, other)
+    return links
+
+
+def hidden_pairs(members: DataFrame, sets: DataFrame, found: DataFrame, percent: int, salt: int) -> DataFrame:
+    """Pairs (a, b) of one bucket that join components, at most one for each component in a block."""
     labelled = members.join(found, members["set_key"] == found["node"], "left").select(
-        "bucket", "band", "set_key", F.coalesce("component", "set_key").alias("component")
+        "bucket", "set_key", F.coalesce("component", "set_key").alias("component")
     )
     mixed = labelled.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
     rows = settle(spread_join(labelled, mixed.select("bucket"), "bucket"), "mixed")
-    per = rows.groupBy("bucket", "component").agg(F.count("*").alias("n"))
+    wanted = rows.select("set_key").distinct()
+    short = settle(short_sets(sets.join(wanted, "set_key", "left_semi"), salt), "short")
+    sized = rows.join(short.select("set_key", "n"), "set_key")
+    per = sized.groupBy("bucket", "component").agg(F.count("*").alias("n"), F.sum("n").alias("shingles"))
+    top = F.max(F.struct("n", "component", "shingles"))
+    blocks = lambda n, shingles: F.ceil(F.greatest(n / BLOCK, shingles / BLOCK_SHINGLES, F.lit(1))).cast("int")
+    all_n, all_shingles = F.sum("n"), F.sum("shingles")
     shape = per.groupBy("bucket").agg(
-        F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("members")
-    ).select(
-        "bucket",
-        F.col("top.component").alias("main"),
-        F.ceil(F.col("members") / BLOCK).cast("int").alias("across"),
-        F.ceil((F.col("members") - F.col("top.n")) / BLOCK).cast("int").alias("down"),
+        top["component"].alias("main"),
+        blocks(all_n, all_shingles).alias("across"),
+        blocks(all_n - top["n"], all_shingles - top["shingles"]).alias("down"),
     )
-    fine = settle(fine_signatures(sets.join(rows.select("set_key").distinct(), "set_key", "left_semi")), "fine")
-    signed = fine.join(nodes.select("set_key", "signature"), "set_key")
-    held = spread_join(rows, shape, "bucket").join(signed, "set_key")
+    held = spread_join(rows, shape, "bucket").join(short, "set_key")
     place = lambda n: F.pmod(F.xxhash64("set_key"), F.col(n)).cast("int")
     base = held.withColumn("i", place("across")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("down") - 1)))
     asked = (
@@ -253,29 +289,12 @@ def hidden_pairs(
         .withColumn("j", place("down"))
         .withColumn("i", F.explode(F.sequence(F.lit(0), F.col("across") - 1)))
     )
-    wanted = ["bucket", "i", "j", "band", "set_key", "component", "fine", "signature"]
-    both = base.select(*wanted, F.lit(False).alias("asks")).union(asked.select(*wanted, F.lit(True).alias("asks")))
-    least = least_alike(percent)
+    fields = ["bucket", "i", "j", "set_key", "component", "n", "short"]
+    both = base.select(*fields, F.lit(False).alias("asks")).union(asked.select(*fields, F.lit(True).alias("asks")))
 
     def compare(group: pa.Table) -> pa.Table:
-        asks = group.column("asks").to_numpy()
-        keys = np.array(group.column("set_key").to_pylist(), object)
-        parts = np.unique(np.array(group.column("component").to_pylist(), object), return_inverse=True)[1]
-        signs = np.frombuffer(b"".join(group.column("fine").to_pylist()), np.uint8).reshape(len(keys), -1)
-        coarse = np.frombuffer(b"".join(group.column("signature").to_pylist()), "<u4").reshape(len(keys), bands, -1)
-        band = group.column("band")[0].as_py()
-        base_keys, base_parts, base_signs, base_coarse = keys[~asks], parts[~asks], signs[~asks], coarse[~asks]
-        pairs = set()
-        for k in np.flatnonzero(asks):
-            others = np.flatnonzero(base_parts != parts[k])
-            differ = base_signs[others] ^ signs[k]
-            equal = ((differ & 15) == 0).sum(axis=1) + (differ < 16).sum(axis=1)
-            near = others[equal >= least]
-            near = near[(base_coarse[near] == coarse[k]).all(axis=2).argmax(axis=1) == band]
-            pairs.update((min(keys[k], other), max(keys[k], other)) for other in base_keys[near])
-        return pa.table(
-            {"a": pa.array([p[0] for p in pairs], pa.binary()), "b": pa.array([p[1] for p in pairs], pa.binary())}
-        )
+        links = block_links(group, percent)
+        return pa.table({"a": pa.array([p[0] for p in links], pa.binary()), "b": pa.array([p[1] for p in links], pa.binary())})
 
     return both.groupBy("bucket", "i", "j").applyInArrow(compare, "a binary, b binary").distinct()
 
@@ -290,7 +309,7 @@ def near_dedup(
     rows: int = ROWS,
     least_equal: int = LEAST_EQUAL,
 ) -> DataFrame:
-    """One row per input row: id, text_key, n_shingles, component_id, kept."""
+    """One row per input row: id, text_key, n_shingles, component_id, kept, group_key."""
     hashes = bands * rows
     docs = settle(sketches(df, id_col, text_col, width, hashes), "sketches")
     nodes = settle(
@@ -319,14 +338,21 @@ def near_dedup(
     sets = settle(full_sets(df, nodes.join(in_use, "set_key"), id_col, text_col, width), "sets")
     links = settle(confirmed(signed_pairs(first, nodes, hashes, least_equal), sets, percent), "links")
     found = components(links)
-    more = settle(confirmed(hidden_pairs(members, nodes, sets, found, percent, bands), sets, percent), "links")
-    if not more.isEmpty():
-        stars = found.where("node <> component").select(F.col("node").alias("u"), F.col("component").alias("v"))
-        found = components(stars.union(more))
+    salt = 0
+    while True:
+        pairs = settle(hidden_pairs(members, sets, found, percent, salt), "hidden")
+        more = settle(confirmed(pairs, sets, percent), "links")
+        n_pairs, n_links = pairs.count(), more.count()
+        if n_links:
+            stars = found.where("node <> component").select(F.col("node").alias("u"), F.col("component").alias("v"))
+            found = components(stars.union(more))
+        if n_links == n_pairs:
+            break
+        salt += 1  # hashes that are equal by chance joined what is not similar
     labels = nodes.select("set_key", "min_id").join(found, F.col("set_key") == F.col("node"), "left")
     labels = labels.select("set_key", "min_id", F.coalesce("component", "set_key").alias("component"))
     least = labels.groupBy("component").agg(F.min("min_id").alias("component_id"))
-    named = spread_join(labels, least, "component").select("set_key", "component_id")
+    named = spread_join(labels, least, "component").select("set_key", "component_id", F.col("component").alias("group_key"))
     out = spread_join(docs, named, "set_key", "left").withColumn(
         "component_id", F.when(F.col("set_key").isNull(), F.col("id")).otherwise(F.col("component_id"))
     )
@@ -336,19 +362,23 @@ def near_dedup(
         "n_shingles",
         "component_id",
         F.col("id").eqNullSafe(F.col("component_id")).alias("kept"),
+        "group_key",
     )
 
 
 def representatives(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **method) -> DataFrame:
-    """One row of each group, with all columns of ``df``; rows without words are all kept."""
-    groups = settle(near_dedup(df, id_col, text_col, **method).where("kept"), "kept").select(
-        col(id_col).alias("own_id"), F.col("text_key").alias("own_key"), "n_shingles"
-    )
+    """One row of each group, with all columns of ``df``: its smallest id (null last), of those the least text hash.
+
+    Rows without words are all kept.
+    """
+    groups = settle(near_dedup(df, id_col, text_col, **method).where("group_key IS NOT NULL"), "groups")
+    least = F.min(F.struct(col(id_col).isNull().alias("none"), col(id_col).alias("own_id"), F.col("text_key").alias("own_key")))
+    chosen = groups.groupBy("group_key").agg(least.alias("one")).select("group_key", "one.own_id", "one.own_key")
     rows = df.select(F.struct("*").alias("row"), col(id_col).alias("id"), F.xxhash64(text_of(text_col)).alias("key"))
+    wordless = ~text_of(text_col).rlike(r"[^\x20\x09-\x0D]")
     same = rows["id"].eqNullSafe(F.col("own_id")) & (F.col("key") == F.col("own_key"))
-    kept = rows.join(groups.distinct(), same)
-    again = groups.where("n_shingles > 0").groupBy("own_id", "own_key").count().where("count > 1")
-    if not again.isEmpty():  # rows that repeat an id and its text: one of them
-        one = kept.where("n_shingles > 0").groupBy("id", "key").agg(F.first("row").alias("row"))
-        kept = kept.where("n_shingles = 0").select("id", "key", "row").union(one)
-    return kept.select("row.*")
+    kept = rows.join(chosen, same)
+    copies = groups.join(chosen, "group_key").where(col(id_col).eqNullSafe(F.col("own_id")) & (F.col("text_key") == F.col("own_key")))
+    if not copies.groupBy("group_key").count().where("count > 1").isEmpty():  # rows that repeat an id and its text
+        kept = kept.groupBy("group_key").agg(F.first("row").alias("row"))
+    return kept.select("row.*").union(df.where(wordless))

@@ -76,7 +76,7 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op10_near_dedup")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup.near_dedup(table(spark, sf_dir, "documents")).drop("text_key")
+    return near_dedup.near_dedup(table(spark, sf_dir, "documents")).drop("text_key", "group_key")
 
 
 @query(
