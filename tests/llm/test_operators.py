@@ -153,9 +153,15 @@ def test_a_block_gives_few_links_for_many_similar_members(spark):
     base = rng.integers(0, 2**32, 400, np.uint64).astype("<u4")
     sets = [np.unique(np.concatenate([np.delete(base, rng.integers(0, 400, 30)), rng.integers(0, 2**32, 30, np.uint64).astype("<u4")])) for _ in range(300)]
     keys = [b"%03d" % k for k in range(300)]
-    rows = [(k, c, len(s), s.tobytes(), asks) for asks in (False, True) for k, c, s in zip(keys, keys, sets, strict=True)]
-    fields = ["set_key", "component", "n", "short", "asks"]
-    links = near_dedup.block_links(pa.table(dict(zip(fields, map(list, zip(*rows, strict=True)), strict=True))), 75)
+    a, b = near_dedup.coefficients(near_dedup.FINE)
+    bits = [near_dedup.signature(x.astype(np.uint64), a, b) & 15 for x in sets]
+    fine = [(x[::2] | x[1::2] << 4).astype(np.uint8).tobytes() for x in bits]
+    same = np.zeros(32 * 4, "<u4").tobytes()  # all buckets in common
+    rows = [
+        (k, k, len(s), s.tobytes(), f, same, 0, asks) for asks in (False, True) for k, s, f in zip(keys, sets, fine, strict=True)
+    ]
+    fields = ["set_key", "component", "n", "short", "fine", "signature", "band", "asks"]
+    links = near_dedup.block_links(pa.table(dict(zip(fields, map(list, zip(*rows, strict=True)), strict=True))), 75, 32)
     similar = [(a, b) for a in range(300) for b in range(a) if 100 * len(np.intersect1d(sets[a], sets[b])) >= 75 * len(np.union1d(sets[a], sets[b]))]
     assert len(similar) > 5000 and len(links) == 299 - (300 - len({x for p in similar for x in p}))
     assert all((int(b), int(a)) in similar for a, b in links)

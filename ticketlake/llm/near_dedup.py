@@ -13,17 +13,19 @@ its whole word sequence as the only shingle).  Documents are linked when
 3. The links give components.  A bucket whose members then still lie in
    several components may hide links between them, so there the members
    outside the bucket's most frequent component are compared with the members
-   of other components, in blocks of limited rows and shingles.  A block counts
-   common shingles by an inverted index of 32-bit hashes, and as soon as two
-   members are similar their components are one in this block: it gives at most
-   one link for each component it has, never all pairs.  Should a link not hold
-   on the full sets, two hashes were equal by chance, and the comparison is made
-   again with others.  No bucket is capped.
+   of other components, in blocks of limited rows and shingles: by finer
+   signatures (the last four bits of ``FINE`` minima, made for these members
+   only), then by their sets as 32-bit hashes.  As soon as two members are
+   similar their components are one in this block: it gives at most one link
+   for each component it has, never all pairs.  Should a link not hold on the
+   full sets, two hashes were equal by chance, and the comparison is made again
+   with others.  No bucket is capped.
 
 With 32 bands of 4 rows a pair at exactly 0.75 is missed with a probability of
 about 5 in a million, a closer one far less often; ``LEAST_EQUAL`` of the 128
 minima (five standard deviations under the expectation at 0.75) adds one in a
-million.  Whatever is linked is confirmed on the full sets.
+million, and so do the finer signatures.  Whatever is linked is confirmed on the
+full sets.
 
 Defined results: null or wordless texts have an empty set and are linked with
 nothing.  ``component_id`` is the smallest id of the group; null ids do not
@@ -53,6 +55,7 @@ PERCENT = 75
 BANDS = 32
 ROWS = 4
 LEAST_EQUAL = 72
+FINE = 1024
 BLOCK = 1000
 BLOCK_SHINGLES = 4_000_000
 KNOWN_WORDS = 300_000
@@ -232,45 +235,69 @@ class Parts:
         self.of[self.of == max(a, b)] = min(a, b)
 
 
-def block_links(group: pa.Table, percent: int) -> list[tuple[bytes, bytes]]:
-    """Links between members of different components, enough to join all that are similar."""
+def fine_signatures(sets: DataFrame) -> DataFrame:
+    """set_key and four bits of each of ``FINE`` minima, two to a byte."""
+    a, b = coefficients(FINE)
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = []
+            for row in batch.column(1):
+                s = row.values.to_numpy().view(np.uint64)
+                bits = np.concatenate([signature(s, a[k : k + 128], b[k : k + 128]) for k in range(0, FINE, 128)]) & 15
+                made.append((bits[::2] | bits[1::2] << 4).astype(np.uint8).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], names=["set_key", "fine"])
+
+    return sets.select("set_key", "shingles").mapInArrow(sign, "set_key binary, fine binary")
+
+
+def least_alike(percent: int) -> int:
+    """Five standard deviations under the number of equal four-bit minima expected at the threshold."""
+    p = percent / 100 + (1 - percent / 100) / 16
+    return int(FINE * p - 5 * (FINE * p * (1 - p)) ** 0.5)
+
+
+def block_links(group: pa.Table, percent: int, bands: int) -> list[tuple[bytes, bytes]]:
+    """Links between members of different components, enough to join all that are similar.
+
+    A pair with several buckets in common is looked at in the first of them.
+    """
     asks = group.column("asks").to_numpy()
     keys, sizes = group.column("set_key").to_pylist(), group.column("n").to_numpy()
     parts = Parts(group.column("component").to_pylist())
+    signs = np.frombuffer(b"".join(group.column("fine").to_pylist()), np.uint8).reshape(len(keys), -1)
+    coarse = np.frombuffer(b"".join(group.column("signature").to_pylist()), "<u4").reshape(len(keys), bands, -1)
     sets = [np.frombuffer(s.as_py(), "<u4") for s in group.column("short")]
-    base = np.flatnonzero(~asks)
-    if not len(base):
-        return []
-    owners = np.repeat(np.arange(len(base)), [len(sets[k]) for k in base])
-    shingles = np.concatenate([sets[k] for k in base])
-    order = np.argsort(shingles, kind="stable")
-    shingles, owners = shingles[order], owners[order]
+    band, least, base = group.column("band")[0].as_py(), least_alike(percent), np.flatnonzero(~asks)
     links = []
     for k in np.flatnonzero(asks):
-        if (parts.of[base] == parts.of[k]).all():
-            continue
-        begin = np.searchsorted(shingles, sets[k], "left")
-        count = np.searchsorted(shingles, sets[k], "right") - begin
-        # the posting lists of the member's shingles, one after the other
-        places = np.arange(count.sum()) + np.repeat(begin - np.cumsum(count) + count, count)
-        common = np.bincount(owners[places], minlength=len(base))
-        similar = 100 * common >= percent * (sizes[k] + sizes[base] - common)
-        for other in base[similar]:
-            if parts.of[other] != parts.of[k]:
+        others = base[parts.of[base] != parts.of[k]]
+        differ = signs[others] ^ signs[k]
+        equal = ((differ & 15) == 0).sum(axis=1) + (differ < 16).sum(axis=1)
+        near = others[equal >= least]
+        near = near[(coarse[near] == coarse[k]).all(axis=2).argmax(axis=1) == band]
+        for other in near:
+            if parts.of[other] == parts.of[k]:
+                continue
+            common = len(np.intersect1d(sets[k], sets[other], assume_unique=True))
+            if 100 * common >= percent * (sizes[k] + sizes[other] - common):
                 links.append((min(keys[k], keys[other]), max(keys[k], keys[other])))
                 parts.join(k, other)
     return links
 
 
-def hidden_pairs(members: DataFrame, sets: DataFrame, found: DataFrame, percent: int, salt: int) -> DataFrame:
+def hidden_pairs(
+    members: DataFrame, nodes: DataFrame, sets: DataFrame, found: DataFrame, percent: int, bands: int, salt: int
+) -> DataFrame:
     """Pairs (a, b) of one bucket that join components, at most one for each component in a block."""
     labelled = members.join(found, members["set_key"] == found["node"], "left").select(
-        "bucket", "set_key", F.coalesce("component", "set_key").alias("component")
+        "bucket", "band", "set_key", F.coalesce("component", "set_key").alias("component")
     )
     mixed = labelled.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
     rows = settle(spread_join(labelled, mixed.select("bucket"), "bucket"), "mixed")
-    wanted = rows.select("set_key").distinct()
-    short = settle(short_sets(sets.join(wanted, "set_key", "left_semi"), salt), "short")
+    wanted = settle(sets.join(rows.select("set_key").distinct(), "set_key", "left_semi"), "mixed-sets")
+    short = short_sets(wanted, salt).join(fine_signatures(wanted), "set_key").join(nodes.select("set_key", "signature"), "set_key")
+    short = settle(short, "short")
     sized = rows.join(short.select("set_key", "n"), "set_key")
     per = sized.groupBy("bucket", "component").agg(F.count("*").alias("n"), F.sum("n").alias("shingles"))
     top = F.max(F.struct("n", "component", "shingles"))
@@ -289,11 +316,11 @@ def hidden_pairs(members: DataFrame, sets: DataFrame, found: DataFrame, percent:
         .withColumn("j", place("down"))
         .withColumn("i", F.explode(F.sequence(F.lit(0), F.col("across") - 1)))
     )
-    fields = ["bucket", "i", "j", "set_key", "component", "n", "short"]
+    fields = ["bucket", "i", "j", "band", "set_key", "component", "n", "short", "fine", "signature"]
     both = base.select(*fields, F.lit(False).alias("asks")).union(asked.select(*fields, F.lit(True).alias("asks")))
 
     def compare(group: pa.Table) -> pa.Table:
-        links = block_links(group, percent)
+        links = block_links(group, percent, bands)
         return pa.table({"a": pa.array([p[0] for p in links], pa.binary()), "b": pa.array([p[1] for p in links], pa.binary())})
 
     return both.groupBy("bucket", "i", "j").applyInArrow(compare, "a binary, b binary").distinct()
@@ -340,7 +367,7 @@ def near_dedup(
     found = components(links)
     salt = 0
     while True:
-        pairs = settle(hidden_pairs(members, sets, found, percent, salt), "hidden")
+        pairs = settle(hidden_pairs(members, nodes, sets, found, percent, bands, salt), "hidden")
         more = settle(confirmed(pairs, sets, percent), "links")
         n_pairs, n_links = pairs.count(), more.count()
         if n_links:
