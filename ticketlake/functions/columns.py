@@ -76,10 +76,6 @@ def fixed(col: Column, places: int = 2) -> Column:
     return F.round(col.cast("decimal(38,10)"), places)
 
 
-def as_double(col: Column, places: int = 2) -> Column:
-    return fixed(col, places).cast("double")
-
-
 def safe_ratio(num: Column, den: Column, default: float | None = 0) -> Column:
     """num / den where den > 0, else the default."""
     return F.when(den > 0, F.try_divide(num, den)).otherwise(F.lit(default))
@@ -111,7 +107,3 @@ def value_bytes(columns: list[str]) -> Column:
 def short_text(col: Column, limit: int = 50) -> Column:
     """First ``limit`` characters, followed by ``...`` if the text is longer."""
     return F.when(F.length(col) > limit, F.concat(F.substring(col, 1, limit), F.lit("..."))).otherwise(col)
-
-
-def has_columns(df: DataFrame, *names: str) -> bool:
-    return set(names) <= set(df.columns)

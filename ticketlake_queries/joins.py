@@ -102,8 +102,8 @@ def orphan_users(d: Data):
 
 @query(
     "orphan_incidents",
-    "SELECT count(*) AS orphan_count FROM incident AS i LEFT JOIN company AS c ON i.company = c.sys_id "
-    "WHERE i.company IS NOT NULL AND c.sys_id IS NULL",
+    "SELECT count(*) AS orphan_count FROM incident "
+    "WHERE company IS NOT NULL AND company NOT IN (SELECT sys_id FROM company WHERE sys_id IS NOT NULL)",
 )
 def orphan_incidents(d: Data):
     return integrity.orphan_incidents(d.incident, d.company)
