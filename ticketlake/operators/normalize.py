@@ -18,6 +18,7 @@ from ticketlake.schemas import (
     TYPED_TABLES,
     TypedField,
 )
+from ticketlake.sources.evolution import declared_field
 
 
 def _is_reference(value: str) -> str:
@@ -131,6 +132,28 @@ def typed_conform(df: DataFrame, table: str, as_of: datetime) -> DataFrame:
     return df.select(*out)
 
 
+def conform_present(df: DataFrame, table: str, as_of: datetime, keep: Iterable[str] = ()) -> DataFrame:
+    """``typed_conform`` of the declared columns that are there; others become text, those in ``keep`` stay."""
+    declared = {f.name: f for f in TYPED_TABLES[table]}
+    out = []
+    for c in df.columns:
+        value = F.col(f"`{c}`")
+        if c not in keep and c in declared:
+            default = _default(declared[c], as_of)
+            value = value.try_cast(declared[c].dtype)
+            value = value if default is None else F.coalesce(value, default)
+        elif c not in keep:
+            value = value.cast("string")
+        out.append(value.alias(c))
+    return df.select(*out)
+
+
+def declared_schema(table: str, as_of: datetime) -> T.StructType:
+    """The columns of a typed table with their defaults, as a stored table is told about them."""
+    moment = as_of.isoformat(" ")
+    return T.StructType([declared_field(f.name, f.dtype, moment if f.default == NOW else f.default) for f in TYPED_TABLES[table]])
+
+
 def with_reject_reasons(df: DataFrame, table: str) -> DataFrame:
     """Adds ``reject_reason``: the broken column rules, comma-joined, or NULL for a good row."""
     checks = []

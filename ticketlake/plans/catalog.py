@@ -3,23 +3,27 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from ticketlake.operators import archive, runlog, views
 from ticketlake.operators.normalize import project_schema
 from ticketlake.plans.loads import Run
-from ticketlake.schemas import COMPANY_FIELDS, INCIDENT_FIELDS, LINEAGE_FIELDS, USER_FIELDS, strings
+from ticketlake.schemas import INCIDENT_FIELDS, strings, typed_schema
 
-TABLE_VIEWS = {
-    "incident": INCIDENT_FIELDS,
-    "user_account": [*USER_FIELDS, *LINEAGE_FIELDS],
-    "company": [*COMPANY_FIELDS, *LINEAGE_FIELDS],
-}
+
+def _shown(table: str) -> T.StructType:
+    """A typed table's columns; flags are shown as 1/0, so that ``active = 1`` works."""
+    flag = lambda f: T.IntegerType() if isinstance(f.dataType, T.BooleanType) else f.dataType
+    return T.StructType([T.StructField(f.name, flag(f)) for f in typed_schema(table)])
+
+
+TABLE_VIEWS = {"incident": strings(INCIDENT_FIELDS), "user_account": _shown("user"), "company": _shown("company")}
 STORED_AS = {"user_account": "user"}
 
 
 def _table(run: Run, view: str) -> DataFrame:
     """A stored table with all its declared columns; empty if nothing was loaded yet."""
-    schema = strings(TABLE_VIEWS[view])
+    schema = TABLE_VIEWS[view]
     stored = run.table(STORED_AS.get(view, view))
     return run.spark.createDataFrame([], schema) if stored is None else project_schema(stored, schema)
 

@@ -19,9 +19,17 @@ from ticketlake.functions.periods import default_window, run_window, to_day
 from ticketlake.operators.archive import replace_slice, replace_windows
 from ticketlake.operators.dedup import last_wins
 from ticketlake.operators.integrity import missing_company_ids, missing_user_ids
-from ticketlake.operators.normalize import add_row_hash, audit_stamp, flatten_refs, normalize_flags, with_reject_reasons
+from ticketlake.operators.normalize import (
+    add_row_hash,
+    audit_stamp,
+    conform_present,
+    declared_schema,
+    flatten_refs,
+    normalize_flags,
+    with_reject_reasons,
+)
 from ticketlake.operators.sync import CHANGE, incremental_changes, normalise_reference, reference_by_ids, reference_full_scan
-from ticketlake.schemas import PAGE_LIMIT, TYPED_TABLES
+from ticketlake.schemas import PAGE_LIMIT, TYPED_STORAGE, TYPED_TABLES
 from ticketlake.session import together
 from ticketlake.sources import archive_files, scans
 from ticketlake.sources.keyed import KeyedTable, bits, bucket_bitmap, bucket_of
@@ -160,9 +168,12 @@ def _upsert(run: Run, name: str, batch: DataFrame) -> dict[str, int]:
     order = [c for c in run.order if c in batch.columns]
     if not order:
         batch, order = batch.withColumn("_rank", F.monotonically_increasing_id()), ["_rank"]
-    # stored as text, as the resources deliver it
-    batch = batch.select(*[F.col(c) if c in order else F.col(c).cast("string").alias(c) for c in batch.columns])
-    return run.keyed(name).merge(batch, order, touched=run.touched.get(name))
+    declared = None
+    if name in TYPED_STORAGE:
+        batch, declared = conform_present(batch, name, run.as_of, order), declared_schema(name, run.as_of)
+    else:  # stored as text, as the resources deliver it
+        batch = batch.select(*[F.col(c) if c in order else F.col(c).cast("string").alias(c) for c in batch.columns])
+    return run.keyed(name).merge(batch, order, touched=run.touched.get(name), declared=declared)
 
 
 def load_reference(run: Run, resources: dict[str, DataFrame]) -> Run:

@@ -197,6 +197,9 @@ TYPED_TABLES: dict[str, list[TypedField]] = {
 }
 
 
+TYPED_STORAGE = ("user", "company")  # tables that runs store typed
+
+
 def typed_schema(table: str) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dtype) for f in TYPED_TABLES[table]])
 

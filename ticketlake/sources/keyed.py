@@ -11,6 +11,9 @@ writes those whose rows changed, and every other bucket keeps its files.  What
 it read belongs to one commit; if another writer's commit came first, its own
 still stands when their buckets differ, and is worked out anew when they meet.
 
+The schema belongs to the commit, with a version that every change of it counts
+up; how it may change is said in ``evolution``.
+
 A commit also remembers the last batch number of each writer it contains, so a
 batch that is written again after a failure changes nothing, whatever else
 happened to the table in between.
@@ -24,6 +27,7 @@ import time
 import uuid
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field, replace
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +38,7 @@ from ticketlake.operators.lookups import plan_bytes
 from ticketlake.operators.merge import ACTION, merged_rows
 from ticketlake.session import scratch_dir
 from ticketlake.sources.commits import ATTEMPTS, CommitLog, Conflict, Folder
+from ticketlake.sources.evolution import SchemaConflict, default_of, evolved, with_metadata
 
 BUCKET_BYTES = 256 * 1024 * 1024
 LEAST_BUCKETS, MOST_BUCKETS = 4, 1 << 15  # a bitmap of buckets has so many bits
@@ -53,12 +58,17 @@ class State:
     loose: list[str] = field(default_factory=list)
     bytes: dict[int, int] = field(default_factory=dict)
     applied: dict[str, int] = field(default_factory=dict)
+    version: int = 1  # of the schema
+
+    def with_schema(self, schema: T.StructType, **changes) -> State:
+        return replace(self, schema=schema, version=self.version + (schema != self.schema), **changes)
 
     def content(self, changed: Iterable[int] | None) -> dict:
         """``changed``: the buckets this commit is about, None for all."""
         return {
             "buckets": self.buckets,
             "schema": self.schema.json(),
+            "version": self.version,
             "base": self.base,
             "changes": self.changes,
             "loose": self.loose,
@@ -79,6 +89,7 @@ class State:
             content["loose"],
             numbered(content["bytes"]),
             content["applied"],
+            content.get("version", 1),
         )
 
     def parts(self) -> set[tuple[str, int]]:
@@ -121,6 +132,12 @@ def fitting_buckets(size: int) -> int:
     return buckets
 
 
+def _assert_fits(lost: Observation) -> None:
+    bad = {c: n for c, n in lost.get.items() if n}
+    if bad:
+        raise SchemaConflict(f"values that do not fit their declared types: {bad}")
+
+
 class KeyedTable:
     def __init__(self, spark: SparkSession, path: str, key: str = "sys_id", sort_by: str | None = None):
         self.spark, self.path, self.key, self.sort_by = spark, path.rstrip("/"), key, sort_by
@@ -198,7 +215,7 @@ class KeyedTable:
             if self.log.claim(number + 1, state.content(touched)):
                 return replace(state, number=number + 1)
 
-    def _retried(self, work: Callable[[], dict | None]) -> dict | None:
+    def _retried(self, work: Callable):
         for attempt in range(ATTEMPTS):
             try:
                 return work()
@@ -208,21 +225,35 @@ class KeyedTable:
                 time.sleep(random.uniform(0, 0.1 * (attempt + 1)))
         raise AssertionError
 
-    def replace(self, rows: DataFrame, buckets: int | None = None, based_on: State | None = None) -> State:
+    def replace(
+        self,
+        rows: DataFrame,
+        buckets: int | None = None,
+        based_on: State | None = None,
+        check: Callable[[], None] | None = None,
+    ) -> State:
         """A new complete state with one row a key.
 
         ``based_on`` is the state the rows were made from: a commit after it is a
-        conflict.  Without it the rows replace whatever is there.
+        conflict.  Without it the rows replace whatever is there.  ``check`` is
+        called when they are written and may forbid that they count.
         """
         buckets = buckets or fitting_buckets(known_bytes(rows))
         number = (based_on.number if based_on else self.log.latest()[0]) + 1
         name, sizes = self._write(number, rows.withColumn("_bucket", bucket_of(self.key, buckets)).repartition("_bucket"))
         kept = sorted(b for b in sizes if b != LOOSE)
+        fields = with_metadata(stored_fields(rows), based_on.schema if based_on else None)
+        try:
+            if check is not None:
+                check()
+        except SchemaConflict:
+            self._discard(name)
+            raise
 
         def change(state: State | None) -> State:
             return State(
-                0, buckets, stored_fields(rows), dict.fromkeys(kept, name), {}, [name] if LOOSE in sizes else [], sizes,
-                state.applied if state else {},
+                0, buckets, fields, dict.fromkeys(kept, name), {}, [name] if LOOSE in sizes else [], sizes,
+                state.applied if state else {}, state.version + (fields != state.schema) if state else 1,
             )
 
         while True:
@@ -261,6 +292,7 @@ class KeyedTable:
         touched: tuple[int, Iterable[int]] | None = None,
         writer: str | None = None,
         number: int | None = None,
+        declared: T.StructType | None = None,
     ) -> dict[str, int]:
         """Upsert a batch; returns how many rows were inserted, updated, unchanged.
 
@@ -268,7 +300,13 @@ class KeyedTable:
         of buckets they are counted by; otherwise the batch is staged by bucket.
         Either way the batch and its buckets of the table are read once.  A
         batch whose ``number`` the table contains changes nothing.
+
+        ``declared`` columns are there afterwards, in types that hold the
+        declared ones.  Those the batch lacks keep their value in rows that are
+        there, and have their default in new ones.
         """
+        if declared is not None:
+            self.evolve(declared)
         held = (batch, *touched) if touched else (batch, None, ())
 
         def work() -> dict[str, int]:
@@ -283,7 +321,13 @@ class KeyedTable:
             read = set(known) - {LOOSE} if state else set()
             buckets = state.buckets if state else fitting_buckets(known_bytes(batch))
             merged = merged_rows(self.rows(state, read) if state else None, rows, self.key, order, bucket_of(self.key, buckets))
-            fields = stored_fields(merged.drop(ACTION, "_bucket"))
+            filled = {}
+            for f in declared or []:
+                if f.name not in rows.columns:
+                    old = F.col(f.name) if f.name in merged.columns else F.lit(None).cast(f.dataType)
+                    filled[f.name] = F.when(F.col(ACTION) == "insert", F.expr(default_of(f))).otherwise(old)
+            merged = merged.withColumns(filled) if filled else merged
+            fields = with_metadata(stored_fields(merged.drop(ACTION, "_bucket")), state.schema if state else declared)
             seen, action = Observation(), F.col(ACTION)
             counts = [F.count_if(action == a).alias(a) for a in COUNTED]
             changed = bucket_bitmap(F.col("_bucket"), action.isin("insert", "update")).alias("changed")
@@ -300,9 +344,8 @@ class KeyedTable:
 
             def change(now: State | None) -> State:
                 now = now or State(0, buckets, fields)
-                return replace(
-                    now,
-                    schema=fields,
+                return now.with_schema(
+                    fields,
                     base={**now.base, **dict.fromkeys(changed, name)},
                     changes={b: c for b, c in now.changes.items() if b not in changed},
                     loose=now.loose + [name] * (LOOSE in sizes),
@@ -321,6 +364,32 @@ class KeyedTable:
         self._grow()
         return counts
 
+    def evolve(self, declared: T.StructType) -> State | None:
+        """Give a table the declared columns and types; the newest state, None if there is no table.
+
+        New columns and wider types are a commit without data.  Text that
+        becomes a type is the only rewrite; a value that does not fit is an
+        error, and then nothing has changed.
+        """
+
+        def work() -> State | None:
+            state = self.state()
+            if state is None:
+                return None
+            fields, anew = evolved(state.schema, declared)
+            if fields == state.schema:
+                return state
+            if not anew:
+                return self._commit(state.number, lambda now: now.with_schema(fields), None)
+            as_files, _ = evolved(state.schema, T.StructType([f for f in declared if f.name not in anew]))
+            typed = {c: F.col(c).try_cast(fields[c].dataType) for c in anew}
+            seen = Observation()
+            lost = [F.count_if(F.col(c).isNotNull() & value.isNull()).alias(c) for c, value in typed.items()]
+            rows = self.read(replace(state, schema=as_files)).observe(seen, *lost).withColumns(typed)
+            return self.replace(rows, state.buckets, based_on=state, check=partial(_assert_fits, seen))
+
+        return self._retried(work)
+
     def add_changes(
         self,
         make: Callable[[DataFrame | None], DataFrame],
@@ -356,9 +425,8 @@ class KeyedTable:
 
             def change(now: State | None) -> State:
                 now = now or State(0, buckets, fields)
-                return replace(
-                    now,
-                    schema=fields,
+                return now.with_schema(
+                    fields,
                     changes={**now.changes, **{b: [*now.changes.get(b, []), name] for b in changed}},
                     loose=now.loose + [name] * (LOOSE in sizes),
                     bytes={**now.bytes, **{b: now.bytes.get(b, 0) + sizes[b] for b in changed}},

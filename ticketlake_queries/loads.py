@@ -6,6 +6,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ticketlake.operators import sync
 from ticketlake.operators.normalize import add_row_hash, audit_stamp
@@ -152,7 +153,9 @@ def stored_counts(run: loads.Run) -> DataFrame:
         table, columns = run.table(name), COMPARED[name]
         if table is None:  # an empty batch creates no table
             table = no_rows(run).select(*[F.lit(None).cast("string").alias(c) for c in columns])
-        text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in columns])
+        flags = {f.name for f in table.schema if isinstance(f.dataType, T.BooleanType)}  # shown as the resources have them
+        shown = [F.col(c).cast("int") if c in flags else F.col(c) for c in columns]
+        text = F.concat_ws("|", *[F.coalesce(c.cast("string"), F.lit("-")) for c in shown])
         row = table.agg(
             F.count(F.lit(1)).alias("record_count"), F.countDistinct("sys_id").alias("ids"),
             F.sum(F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")).alias("content"),
