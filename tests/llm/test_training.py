@@ -1,9 +1,13 @@
 """Every word of every text is a target of the training."""
 
+import math
+from collections import Counter
+
 import numpy as np
 import pytest
 
 from ticketlake.llm import lm_score
+from ticketlake.llm.common import settle
 
 
 @pytest.mark.parametrize("rounds", [1, 2, 3, 8])
@@ -20,3 +24,80 @@ def test_short_texts_train(spark):
         net = lm_score.trained(numbers, 2)
         fresh = lm_score.Network()
         assert all(net.parts["word_bias"][w] > fresh.parts["word_bias"][w] for w in words)
+
+
+def texts():
+    rng = np.random.default_rng(5)
+    common = [f"w{k}" for k in range(12)]
+    made = [" ".join(rng.choice(common, 30)) + f" rare{k % 7} ünique{k}" for k in range(40)]
+    return [*made, "", None, "  ", "W1 w2\tw3\x0bw4", "é", "q" * 300 + " w1"]
+
+
+def plain_log_probability(net, spelled, frequent, words, place):
+    """The log-probability of one word, number by number and byte by byte."""
+    number = lambda w: frequent.index(w) if w in frequent else len(frequent) + w[0]
+    p = {k: v.astype(np.float64) for k, v in net.parts.items()}
+    around = [place + k for k in (-2, -1, 1, 2)]
+    x = np.concatenate([p["embed"][number(words[k]) if 0 <= k < len(words) else net.size] for k in around])
+    h = np.tanh(p["inner"] @ x + p["inner_bias"])
+    of_class = p["by_class"] @ h + p["class_bias"]
+    c, j = divmod(number(words[place]), net.in_class)
+    own = [p["by_word"][c * net.in_class + k] @ h + p["word_bias"][c * net.in_class + k] for k in range(net.in_class)]
+    out = of_class[c] - math.log(sum(math.exp(z) for z in of_class)) + own[j] - math.log(sum(math.exp(z) for z in own))
+    if words[place] not in frequent:
+        rest = [*words[place], lm_score.EDGE]
+        for before, after in zip(rest, rest[1:], strict=False):
+            n = spelled[before]
+            out += math.log((n[after] + lm_score.SMOOTH) / (sum(n.values()) + lm_score.SMOOTH * (lm_score.EDGE + 1)))
+    return out
+
+
+def test_sums_equal_a_plain_network(spark, monkeypatch):
+    monkeypatch.setattr(lm_score, "SHARE", 60)
+    docs = list(enumerate(texts()))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    words = {i: (t or "").lower().encode().split() for i, t in docs}
+    counted = Counter(w for own in words.values() for w in own)
+    total = sum(counted.values())
+    frequent, counts, pairs = lm_score.vocabulary(df)
+    assert frequent == sorted((w for w, n in counted.items() if n * 60 >= total), key=lambda w: (-counted[w], w))
+    assert 0 < len(frequent) < len(counted) and counts.sum() == total
+    spelled = {a: Counter() for a in range(256)}
+    for w, n in counted.items():
+        if w not in frequent:
+            for a, b in zip([*w], [*w[1:], lm_score.EDGE], strict=True):
+                spelled[a][b] += n
+    assert all(pairs[a, b] == n for a, c in spelled.items() for b, n in c.items())
+    numbers = settle(lm_score.encoded(df, frequent, lm_score.Spelling(pairs), "doc_id", "text"), "numbers")
+    net = lm_score.trained(numbers, 2, lm_score.Network.of_counts(counts))
+    out = {r["id"]: r for r in lm_score.scored(numbers, net).collect()}
+    for i, own in words.items():
+        expected = sum(plain_log_probability(net, spelled, frequent, own, k) for k in range(len(own)))
+        assert out[i]["n_words"] == len(own)
+        assert math.isclose(out[i]["log_likelihood"], expected, rel_tol=1e-4, abs_tol=1e-6), i
+
+
+def test_spellings_sum_to_one():
+    """All continuations of a byte together, to any length, have probability one."""
+    pairs = np.zeros((257, 257), np.int64)
+    pairs[97, 98] = 5
+    pairs[98, 256] = 3
+    steps = np.exp(lm_score.Spelling(pairs).logs)
+    assert np.allclose(steps.sum(axis=1), 1)
+    assert math.isclose(lm_score.Spelling(pairs).of([b"ab", b"b"]), math.log(steps[97, 98] * steps[98, 256] ** 2))
+
+
+def test_slices_equal_whole_texts(monkeypatch):
+    monkeypatch.setattr(lm_score, "SLICE", 7)
+    text = b"Aa bb  cccccccccccccccc\tdd e " * 5
+    assert [w for part in lm_score.word_lists(text) for w in part] == text.lower().split()
+    net = lm_score.Network(classes=4, in_class=4, width=3, hidden=5)
+    ids = np.arange(15, dtype="<u2")
+    padded = [16, 16, *ids, 16, 16]
+    monkeypatch.setattr(lm_score, "BATCH", 4)
+    for rounds in (1, 2, 3):
+        got = {}
+        for r in range(rounds):
+            for around, target in lm_score.slices(ids.tobytes(), net, r, rounds):
+                got.update(zip(target.tolist(), around.tolist(), strict=True))
+        assert got == {k: [padded[k], padded[k + 1], padded[k + 3], padded[k + 4]] for k in range(15)}

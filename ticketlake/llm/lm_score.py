@@ -4,10 +4,16 @@ A window network sees ``side`` words on both sides of a masked word and gives
 it a probability; a document's score is the sum of the log-probabilities of all
 its words, each predicted from both sides.
 
-1. Word counts of the whole corpus choose the vocabulary: the most frequent
-   words have a number each, all others share ``BUCKETS`` numbers by hash.  A
-   word's number is its rank, and ``IN_CLASS`` neighbouring ranks form a class:
-   the network predicts the class, then the word in it.
+1. Word counts of the whole corpus choose the vocabulary: every word of up to
+   ``LONGEST`` bytes that makes up at least one in ``SHARE`` of all words, so
+   never more than ``SHARE`` words, has a number, its rank.  Any other word is
+   predicted in two steps: its first byte has one of 256 numbers in the network,
+   and the rest of its bytes, and its end, come from a model of letter pairs
+   counted over all such words.  So each word has its own probability, whether
+   the corpus knows it or not, and those of all words sum to at most one.
+   Neighbouring numbers form classes, about as many as a class has numbers: the
+   network predicts the class, then the number in it.  It begins with the shares
+   of classes and numbers in the corpus.
 2. Training, in numpy: in every round each task starts from the same weights,
    passes over all its documents with Adagrad steps, and the results are
    averaged, weighted by the words they have predicted.  Each round masks one
@@ -17,7 +23,8 @@ its words, each predicted from both sides.
    than one network's worth of numbers plus a bounded number of rows.
 3. Scoring predicts every word of every text.
 
-The weights depend slightly on how the rows are
+Texts are split, learnt and scored in slices, so memory does not grow with
+their length beyond two bytes a word.  The weights depend slightly on how the rows are
 partitioned, as with any averaged training.
 
 Words are runs of characters between ASCII white space, A-Z lowered.  Defined
@@ -28,12 +35,13 @@ columns are not looked at.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,36 +51,81 @@ from ticketlake.llm.common import col, settle, text_of
 SIDE = 2
 CLASSES = 64
 IN_CLASS = 64
-BUCKETS = 1024
+SHARE = 60_000
+LONGEST = 256
+FIRST_BYTES = 256
+EDGE = 256
+SMOOTH = 0.1
 WIDTH = 16
 HIDDEN = 32
 ROUNDS = 2
-BATCH = 4096
+BATCH = 8192
+BLOCK = 2048
 RATE = 0.1
 PIECE = 1024
 SALTS = 64
 KNOWN_WORDS = 300_000
+SLICE = 1 << 20
 SEED = 7
+SPACE = re.compile(rb"[\x20\x09-\x0D]")
+
+
+def word_lists(text: bytes) -> Iterator[list[bytes]]:
+    """The words of a text, slice by slice."""
+    at = 0
+    while at < len(text):
+        cut = SPACE.search(text, at + SLICE) if len(text) - at > SLICE else None
+        end = cut.start() if cut else len(text)
+        yield text[at:end].lower().split()
+        at = end
 
 
 class Numbers(dict):
-    """Numbers of words: the rank of a frequent word, a bucket for any other."""
+    """Numbers of words: the rank of a frequent word, that of its first byte for any other."""
 
-    def __init__(self, frequent: list[bytes], size: int):
+    def __init__(self, frequent: list[bytes]):
         super().__init__((w, k) for k, w in enumerate(frequent))
-        self.first, self.buckets, self.fixed = size - BUCKETS, BUCKETS, len(self)
+        self.first = len(frequent)
 
     def __missing__(self, word: bytes) -> int:
-        number = self.first + xxhash.xxh3_64_intdigest(word) % self.buckets
-        if len(self) < self.fixed + KNOWN_WORDS:
-            self[word] = number
-        return number
+        return self.first + word[0]
+
+
+class Spelling:
+    """Log-probabilities of the bytes of a word after its first, by the byte before; ``EDGE`` ends a word."""
+
+    def __init__(self, pairs: np.ndarray):
+        """``pairs[a, b]``: how often byte b follows byte a; row ``EDGE`` counts first bytes and is not used."""
+        counts = pairs[:EDGE].astype(np.float64) + SMOOTH
+        self.logs = np.log(counts / counts.sum(axis=1, keepdims=True))
+
+    def of(self, words: list[bytes]) -> float:
+        """The sum over some words."""
+        if not words:
+            return 0.0
+        before, after = byte_pairs(words)
+        return float(self.logs[before, after].sum())
+
+
+def byte_pairs(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Every byte of the words with the byte, or the end, that follows."""
+    every = np.frombuffer(b" ".join(words) + b" ", np.uint8).astype(np.intp)
+    before, after = every[:-1], every[1:]
+    inside = before != 32
+    after = np.where(after == 32, EDGE, after)
+    return before[inside], after[inside]
+
+
+def blocks(n: int) -> list[slice]:
+    """Rows whose numbers a processor's cache can hold."""
+    return [slice(low, min(low + BLOCK, n)) for low in range(0, max(n, 1), BLOCK)]
 
 
 class Network:
-    """Window network with a two-step softmax; ``size`` = classes * in_class words, and ``size`` itself as padding."""
+    """Window network with a two-step softmax; ``size`` = classes * in_class numbers, and ``size`` itself as padding."""
 
     def __init__(self, side: int = SIDE, width: int = WIDTH, hidden: int = HIDDEN, classes: int = CLASSES, in_class: int = IN_CLASS):
+        self.shape = {"side": side, "width": width, "hidden": hidden, "classes": classes, "in_class": in_class}
         self.side, self.classes, self.in_class, self.size = side, classes, in_class, classes * in_class
         rng = np.random.default_rng(SEED)
         draw = lambda *shape: (rng.standard_normal(shape) / np.sqrt(shape[-1])).astype(np.float32)
@@ -87,6 +140,20 @@ class Network:
         }
         self.parts = {k: np.ascontiguousarray(v, np.float32) for k, v in self.parts.items()}
 
+    @classmethod
+    def of_counts(cls, counts: np.ndarray) -> Network:
+        """A network for numbers that occur so often, which begins with their shares."""
+        in_class = max(int(np.ceil(np.sqrt(len(counts)))), 1)
+        classes = -(-len(counts) // in_class)
+        net = cls(classes=classes, in_class=in_class)
+        n = np.full(net.size, 1e-3)
+        n[: len(counts)] = np.maximum(counts, 1e-3)
+        n = n.reshape(classes, in_class)
+        of_class = n.sum(axis=1)
+        net.parts["class_bias"] = np.log(of_class / of_class.sum()).astype(np.float32)
+        net.parts["word_bias"] = np.log(n / of_class[:, None]).ravel().astype(np.float32)
+        return net
+
     def flat(self) -> np.ndarray:
         return np.concatenate([p.ravel() for p in self.parts.values()])
 
@@ -97,64 +164,98 @@ class Network:
             at += p.size
         return self
 
-    def windows(self, ids: np.ndarray, targets: np.ndarray | None = None) -> np.ndarray:
-        """The numbers around each target of one text."""
-        padded = np.concatenate([[self.size] * self.side, ids, [self.size] * self.side])
-        at = np.arange(len(ids)) if targets is None else targets
-        shifts = [k for k in range(2 * self.side + 1) if k != self.side]
-        return np.stack([padded[at + k] for k in shifts], axis=1)
+    def windows(self, ids: np.ndarray, first: int = 0, step: int = 1) -> np.ndarray:
+        """The numbers around every ``step``-th place of one text, from ``first`` on."""
+        edge = np.full(self.side, self.size, np.intp)
+        padded = np.concatenate([edge, ids, edge])
+        around = np.empty((len(range(first, len(ids), step)), 2 * self.side), np.intp)
+        for k in range(2 * self.side):
+            shift = k if k < self.side else k + 1
+            around[:, k] = padded[first + shift : len(ids) + shift : step]
+        return around
 
     def _hidden(self, around: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         p = self.parts
-        x = p["embed"][around].reshape(len(around), -1)
+        x = p["embed"].take(around.ravel(), axis=0).reshape(len(around), -1)
         return x, np.tanh(x @ p["inner"].T + p["inner_bias"])
 
     @staticmethod
-    def _log_softmax(z: np.ndarray) -> np.ndarray:
-        z = z - z.max(axis=1, keepdims=True)
-        return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
+    def _excess(z: np.ndarray, chosen: np.ndarray, n: int) -> np.ndarray:
+        """A softmax less its target, over n: the gradient of the mean loss."""
+        z -= z.max(axis=1, keepdims=True)
+        np.exp(z, out=z)
+        z *= 1 / (n * z.sum(axis=1, keepdims=True))
+        z[np.arange(len(z)), chosen] -= 1 / n
+        return z
 
-    def _by_class(self, target: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        group = target // self.in_class
+    @staticmethod
+    def _log_share(z: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+        """Log of the softmax at one place of each row."""
+        z -= z.max(axis=1, keepdims=True)
+        own = z[np.arange(len(z)), chosen]
+        return own - np.log(np.exp(z, out=z).sum(axis=1))
+
+    def _by_class(self, target: np.ndarray) -> tuple[np.ndarray, list[tuple[int, slice]]]:
+        """An order of the targets by class, and the rows of each class in it."""
+        group = (target // self.in_class).astype(np.uint16)
         order = np.argsort(group, kind="stable")
         bounds = np.searchsorted(group[order], np.arange(self.classes + 1))
-        for c in range(self.classes):
-            if bounds[c] < bounds[c + 1]:
-                yield c, order[bounds[c] : bounds[c + 1]]
+        return order, [(c, slice(bounds[c], bounds[c + 1])) for c in range(self.classes) if bounds[c] < bounds[c + 1]]
 
     def log_probability(self, around: np.ndarray, target: np.ndarray) -> np.ndarray:
         p = self.parts
-        h = self._hidden(around)[1]
-        out = self._log_softmax(h @ p["by_class"].T + p["class_bias"])[np.arange(len(target)), target // self.in_class]
-        for c, rows in self._by_class(target):
-            own = slice(c * self.in_class, (c + 1) * self.in_class)
-            z = self._log_softmax(h[rows] @ p["by_word"][own].T + p["word_bias"][own])
-            out[rows] += z[np.arange(len(rows)), target[rows] % self.in_class]
+        order, groups = self._by_class(target)
+        target = target[order]
+        h = self._hidden(around[order])[1]
+        group = target // self.in_class
+        own = np.concatenate(
+            [self._log_share(h[x] @ p["by_class"].T + p["class_bias"], group[x]) for x in blocks(len(h))]
+        )
+        for c, rows in groups:
+            words = slice(c * self.in_class, (c + 1) * self.in_class)
+            own[rows] += self._log_share(h[rows] @ p["by_word"][words].T + p["word_bias"][words], target[rows] - words.start)
+        out = np.empty_like(own)
+        out[order] = own
         return out
 
     def step(self, around: np.ndarray, target: np.ndarray, squares: dict[str, np.ndarray], rate: float) -> None:
-        """One Adagrad step on the mean negative log-probability."""
+        """One Adagrad step on the mean negative log-probability; only rows with a gradient are touched."""
         p, n = self.parts, len(target)
+
+        def move(name: str, rows: slice | np.ndarray, gradient: np.ndarray) -> None:
+            total = squares[name][rows] + gradient * gradient
+            squares[name][rows] = total
+            total += 1e-8
+            p[name][rows] -= rate * gradient / np.sqrt(total, out=total)
+
+        order, groups = self._by_class(target)
+        around, target = around[order], target[order]
         x, h = self._hidden(around)
-        grads = {k: np.zeros_like(v) for k, v in p.items() if k in ("embed", "by_word", "word_bias")}
-        d = np.exp(self._log_softmax(h @ p["by_class"].T + p["class_bias"]))
-        d[np.arange(n), target // self.in_class] -= 1
-        d /= n
-        grads["by_class"], grads["class_bias"] = d.T @ h, d.sum(axis=0)
-        back = d @ p["by_class"]
-        for c, rows in self._by_class(target):
-            own = slice(c * self.in_class, (c + 1) * self.in_class)
-            e = np.exp(self._log_softmax(h[rows] @ p["by_word"][own].T + p["word_bias"][own]))
-            e[np.arange(len(rows)), target[rows] % self.in_class] -= 1
-            e /= n
-            grads["by_word"][own], grads["word_bias"][own] = e.T @ h[rows], e.sum(axis=0)
-            back[rows] += e @ p["by_word"][own]
+        group = target // self.in_class
+        back = np.empty_like(h)
+        of_class, of_bias = np.zeros_like(p["by_class"]), np.zeros_like(p["class_bias"])
+        for rows in blocks(n):
+            d = self._excess(h[rows] @ p["by_class"].T + p["class_bias"], group[rows], n)
+            back[rows] = d @ p["by_class"]
+            of_class += d.T @ h[rows]
+            of_bias += d.sum(axis=0)
+        for c, rows in groups:
+            words = slice(c * self.in_class, (c + 1) * self.in_class)
+            e = self._excess(h[rows] @ p["by_word"][words].T + p["word_bias"][words], target[rows] - words.start, n)
+            back[rows] += e @ p["by_word"][words]
+            move("by_word", words, e.T @ h[rows])
+            move("word_bias", words, e.sum(axis=0))
         back *= 1 - h * h
-        grads["inner"], grads["inner_bias"] = back.T @ x, back.sum(axis=0)
-        np.add.at(grads["embed"], around.ravel(), (back @ p["inner"]).reshape(around.size, -1))
-        for k, g in grads.items():
-            squares[k] += g * g
-            p[k] -= rate * g / np.sqrt(squares[k] + 1e-8)
+        into = np.ascontiguousarray((back @ p["inner"]).reshape(around.size, -1).T)
+        every = slice(None)
+        move("by_class", every, of_class)
+        move("class_bias", every, of_bias)
+        move("inner", every, back.T @ x)
+        move("inner_bias", every, back.sum(axis=0))
+        seen = around.ravel()
+        touched = np.flatnonzero(np.bincount(seen, minlength=self.size + 1))
+        sums = [np.bincount(seen, column, self.size + 1)[touched] for column in into]
+        move("embed", touched, np.stack(sums, axis=1).astype(into.dtype))
 
 
 def word_counts(df: DataFrame, text_col: str) -> DataFrame:
@@ -169,28 +270,58 @@ def word_counts(df: DataFrame, text_col: str) -> DataFrame:
 
         for batch in batches:
             for text in batch.column(0):
-                held.update(text.as_py().lower().split())
-                if len(held) > KNOWN_WORDS:
-                    yield out()
-                    held.clear()
+                for words in word_lists(text.as_py()):
+                    held.update(words)
+                    if len(held) > KNOWN_WORDS:
+                        yield out()
+                        held.clear()
         yield out()
 
     return rows.mapInArrow(count, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def encoded(df: DataFrame, frequent: list[bytes], size: int, id_col: str, text_col: str) -> DataFrame:
-    """id and the numbers of the words, two bytes each."""
+def pair_counts(outside: DataFrame) -> np.ndarray:
+    """Over all occurrences of some words (word, n): how often a byte, or the end, follows a byte, or the beginning."""
+    width = EDGE + 1
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(width * width, np.int64)
+        for batch in batches:
+            words, n = batch.column("word").to_pylist(), batch.column("n").to_numpy()
+            if words:
+                before, after = byte_pairs(words)
+                np.add.at(sums, before * width + after, np.repeat(n, [len(w) for w in words]))
+                np.add.at(sums, EDGE * width + np.array([w[0] for w in words]), n)
+        some = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(sums[some])], names=["pair", "n"])
+
+    counted = outside.select("word", "n").mapInArrow(count, "pair int, n bigint").groupBy("pair").agg(F.sum("n").alias("n"))
+    out = np.zeros(width * width, np.int64)
+    for r in counted.collect():  # at most 257 * 257 rows
+        out[r["pair"]] = r["n"]
+    return out.reshape(width, width)
+
+
+def encoded(df: DataFrame, frequent: list[bytes], spelling: Spelling, id_col: str, text_col: str) -> DataFrame:
+    """id, the numbers of the words, two bytes each, and what the spelling of the others adds to the log-likelihood."""
     rows = df.select(col(id_col).alias("id"), F.encode(text_of(text_col), "UTF-8").alias("utf8"))
-    schema = T.StructType([rows.schema[0], T.StructField("numbers", T.BinaryType())])
+    schema = T.StructType([rows.schema[0], T.StructField("numbers", T.BinaryType()), T.StructField("spelled", T.DoubleType())])
+    shipped = df.sparkSession.sparkContext.broadcast((frequent, spelling))  # at most SHARE words of LONGEST bytes
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers = Numbers(frequent, size)
+        known, spells = shipped.value
+        numbers = Numbers(known)
         for batch in batches:
-            made = []
+            made, spelled = [], []
             for text in batch.column(1):
-                words = text.as_py().lower().split()
-                made.append(np.fromiter(map(numbers.__getitem__, words), "<u2", len(words)).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], names=schema.names)
+                parts, total = [], 0.0
+                for words in word_lists(text.as_py()):
+                    own = np.fromiter(map(numbers.__getitem__, words), "<u2", len(words))
+                    total += spells.of(list(compress(words, own >= numbers.first)))
+                    parts.append(own.tobytes())
+                made.append(b"".join(parts))
+                spelled.append(total)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary()), pa.array(spelled, pa.float64())], names=schema.names)
 
     return rows.mapInArrow(encode, schema)
 
@@ -218,9 +349,22 @@ def turn(n: int, r: int, rounds: int) -> np.ndarray:
     return np.arange((r + n) % rounds, n, rounds)
 
 
-def trained(numbers: DataFrame, rounds: int) -> Network:
-    """A network trained on all texts."""
-    net = Network()
+def slices(data: bytes, net: Network, r: int = 0, rounds: int = 1) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The windows and numbers of one round's places in a text, slice by slice."""
+    ids = np.frombuffer(data, "<u2")
+    places = turn(len(ids), r, rounds)
+    for low in range(0, len(places), BATCH):
+        first, last = int(places[low]), int(places[min(low + BATCH, len(places)) - 1])
+        start = max(first - net.side, 0)
+        own = ids[start : last + net.side + 1].astype(np.intp)
+        target = own[first - start : last - start + 1 : rounds]
+        yield net.windows(own, first - start, rounds)[: len(target)], target
+
+
+def trained(numbers: DataFrame, rounds: int, net: Network | None = None) -> Network:
+    """A network trained on all texts, from the given one on."""
+    net = net or Network()
+    shape = net.shape
     weights = net.flat()
     for r in range(rounds):
         shipped = numbers.sparkSession.sparkContext.broadcast(weights)
@@ -228,7 +372,7 @@ def trained(numbers: DataFrame, rounds: int) -> Network:
         def learn(batches: Iterator[pa.RecordBatch], r: int = r, shipped=shipped) -> Iterator[pa.RecordBatch]:
             from pyspark import TaskContext
 
-            own = Network().load(shipped.value)
+            own = Network(**shape).load(shipped.value)
             squares = {k: np.full_like(p, 1e-4) for k, p in own.parts.items()}
             seen = 0
             around: list[np.ndarray] = []
@@ -247,14 +391,12 @@ def trained(numbers: DataFrame, rounds: int) -> Network:
 
             for batch in batches:
                 for data in batch.column(0):
-                    ids = np.frombuffer(data.as_py(), "<u2").astype(np.int64)
-                    masked = turn(len(ids), r, rounds)
-                    if len(masked):
-                        around.append(own.windows(ids, masked))
-                        target.append(ids[masked])
-                        held += len(masked)
-                    if held >= BATCH:
-                        flush()
+                    for a, t in slices(data.as_py(), own, r, rounds):
+                        around.append(a)
+                        target.append(t)
+                        held += len(t)
+                        if held >= BATCH:
+                            flush()
             if held:
                 flush()
             if seen:
@@ -278,14 +420,10 @@ def trained(numbers: DataFrame, rounds: int) -> Network:
     return net.load(weights)
 
 
-def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS) -> DataFrame:
-    """One row per input row: id, n_words, log_likelihood, mean_log_likelihood."""
-    size = CLASSES * IN_CLASS
-    top = word_counts(df, text_col).orderBy(F.desc("n"), "word").limit(size - BUCKETS)  # the vocabulary: bounded
-    frequent = [bytes(r["word"]) for r in top.collect()]
-    numbers = settle(encoded(df, frequent, size, id_col, text_col), "numbers")
-    weights = trained(numbers, rounds).flat()
-    shipped = df.sparkSession.sparkContext.broadcast(weights)
+def scored(numbers: DataFrame, net: Network, id_col: str = "id") -> DataFrame:
+    """id, n_words, log_likelihood, mean_log_likelihood of encoded texts."""
+    shape = net.shape
+    shipped = numbers.sparkSession.sparkContext.broadcast(net.flat())
     schema = T.StructType(
         [
             T.StructField(id_col, numbers.schema["id"].dataType),
@@ -296,31 +434,51 @@ def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", rou
     )
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net = Network().load(shipped.value)
+        own = Network(**shape).load(shipped.value)
         for batch in batches:
-            texts = [np.frombuffer(x.as_py(), "<u2").astype(np.int64) for x in batch.column(1)]
-            sums = np.zeros(len(texts))
-            waiting: list[int] = []
+            sums = batch.column(2).to_numpy().copy()
+            n = np.zeros(batch.num_rows, np.int64)
+            waiting: list[tuple[np.ndarray, np.ndarray]] = []
+            owner: list[np.ndarray] = []
             held = 0
-            for k, ids in enumerate(texts):
-                waiting.append(k)
-                held += len(ids)
-                if held >= 4 * BATCH or k == len(texts) - 1:
-                    add_scores(net, texts, waiting, sums)
-                    waiting, held = [], 0
-            n = np.array([len(t) for t in texts], np.int64)
+
+            def flush(sums: np.ndarray = sums) -> None:
+                nonlocal held
+                if held:
+                    a, t = (np.concatenate(x) for x in zip(*waiting, strict=True))
+                    sums += np.bincount(np.concatenate(owner), own.log_probability(a, t), minlength=len(sums))
+                waiting.clear()
+                owner.clear()
+                held = 0
+
+            for k, data in enumerate(batch.column(1)):
+                for a, t in slices(data.as_py(), own):
+                    waiting.append((a, t))
+                    owner.append(np.full(len(t), k))
+                    n[k] += len(t)
+                    held += len(t)
+                    if held >= 2 * BATCH:
+                        flush()
+            flush()
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n), pa.array(sums), pa.array(sums / np.maximum(n, 1))], names=schema.names
             )
 
-    return numbers.select("id", "numbers").mapInArrow(score, schema)
+    return numbers.select("id", "numbers", "spelled").mapInArrow(score, schema)
 
 
-def add_scores(net: Network, texts: list[np.ndarray], some: list[int], sums: np.ndarray) -> None:
-    """Put the summed log-probabilities of some texts in their places."""
-    around = np.concatenate([net.windows(texts[k]) for k in some])
-    target = np.concatenate([texts[k] for k in some])
-    owner = np.repeat(some, [len(texts[k]) for k in some])
-    for low in range(0, len(target), 4 * BATCH):
-        part = slice(low, low + 4 * BATCH)
-        sums += np.bincount(owner[part], net.log_probability(around[part], target[part]), minlength=len(sums))
+def vocabulary(df: DataFrame, text_col: str = "text") -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The frequent words, how often each number occurs, and the byte pairs of all other words."""
+    counts = settle(word_counts(df, text_col), "words")
+    total = counts.select(F.coalesce(F.sum("n"), F.lit(0)).alias("total")).first()["total"]
+    frequent = (F.col("n") * SHARE >= total) & (F.octet_length("word") <= LONGEST)
+    top = counts.where(frequent).orderBy(F.desc("n"), "word").collect()  # at most SHARE words
+    pairs = pair_counts(counts.where(~frequent))
+    return [bytes(r["word"]) for r in top], np.concatenate([[r["n"] for r in top], pairs[EDGE, :FIRST_BYTES]]), pairs
+
+
+def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS) -> DataFrame:
+    """One row per input row: id, n_words, log_likelihood, mean_log_likelihood."""
+    frequent, counts, pairs = vocabulary(df, text_col)
+    numbers = settle(encoded(df, frequent, Spelling(pairs), id_col, text_col), "numbers")
+    return scored(numbers, trained(numbers, rounds, Network.of_counts(counts)), id_col)
