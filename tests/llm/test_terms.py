@@ -70,3 +70,13 @@ def test_long_text_with_many_terms(spark):
     docs = [(k, " ".join(names * 7) + f" {k} jo@x.org über10.0.0.1 é😀 " + " ".join(names)) for k in range(3)]
     docs += [(k, f"nothing here {k}") for k in range(10, 40)]
     assert found(spark.createDataFrame(docs, "doc_id long, text string")) == expected(docs)
+
+
+def test_places_of_many_matches(spark):
+    """Places are right across blocks, and 5,000 addresses in one text take no longer than their length asks for."""
+    texts = {n: " ".join(f"é user{k}@mail{k % 7}.org" for k in range(n)) for n in (1, 63, 64, 65, 129, 5000)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    for r in pii.base_spans(df, "doc_id", "text").collect():
+        t = texts[r["id"]]
+        expected = [(m.start(), m.end(), m[0]) for m in re.finditer(plain.PERSONAL["email"], t)]
+        assert [(s["start"], s["after"], s["value"]) for s in r["spans"]] == expected and len(expected) == r["id"]

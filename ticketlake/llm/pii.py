@@ -54,20 +54,37 @@ SUPPORT = 3
 SPAN = "array<struct<start:int,after:int,value:string>>"
 
 
+def bound(value: Column, use) -> Column:
+    """``use`` of a value that is computed once, however often it is named."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def running(steps: Column) -> Column:
+    """Sums of an array of numbers up to each place, block by block: an array that grows step by step costs its square."""
+    last = lambda a: F.coalesce(F.get(a, F.size(a) - 1), F.lit(0))
+    summed = lambda a: F.aggregate(
+        a, F.array().cast("array<int>"), lambda acc, x: F.concat(acc, F.array(last(acc) + x))
+    )
+    starts = lambda own: F.sequence(F.lit(1), F.greatest(F.size(own), F.lit(1)), F.lit(BLOCK))
+    inner = lambda own: F.transform(starts(own), lambda k: summed(F.slice(own, k, F.lit(BLOCK))))
+    before = lambda own: F.concat(F.array(F.lit(0)), summed(F.transform(own, last)))
+    moved = lambda own: F.flatten(
+        F.zip_with(own, F.slice(before(own), F.lit(1), F.size(own)), lambda x, at: F.transform(x, lambda y: y + at))
+    )
+    return bound(bound(steps, inner), moved)
+
+
 def matches(text: Column, pattern: str, found: Column | None = None) -> Column:
     """Leftmost non-overlapping matches with their places in code points, end exclusive."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)) if found is None else found
     gaps = F.slice(F.split(text, pattern, -1), 1, F.size(found))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out"))
-
-    def add(acc: Column, pair: Column) -> Column:
-        first = acc["at"] + F.char_length(pair["gap"])
-        after = first + F.char_length(pair["value"])
-        one = F.struct(first.alias("start"), after.alias("after"), pair["value"].alias("value"))
-        return F.struct(after.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
-
-    pairs = F.zip_with(gaps, found, lambda g, v: F.struct(g.alias("gap"), v.alias("value")))
-    return F.when(F.size(found) > 0, F.aggregate(pairs, start, add, lambda acc: acc["out"])).otherwise(F.array().cast(SPAN))
+    steps = F.zip_with(gaps, found, lambda g, v: F.char_length(g) + F.char_length(v))
+    spans = F.zip_with(
+        found,
+        running(steps),
+        lambda v, after: F.struct((after - F.char_length(v)).alias("start"), after.alias("after"), v.alias("value")),
+    )
+    return F.when(F.size(found) > 0, spans).otherwise(F.array().cast(SPAN))
 
 
 def digits(value: Column) -> Column:
