@@ -101,3 +101,41 @@ def test_slices_equal_whole_texts(monkeypatch):
             for around, target in lm_score.slices(ids.tobytes(), net, r, rounds):
                 got.update(zip(target.tolist(), around.tolist(), strict=True))
         assert got == {k: [padded[k], padded[k + 1], padded[k + 3], padded[k + 4]] for k in range(15)}
+
+
+def test_only_the_last_batch_is_small():
+    """What is left over of a full batch waits for more texts and is no small step of its own."""
+    lengths = [5, 9, 0, 3, 30, 1, 7]
+    made = [np.arange(sum(lengths[:k]), sum(lengths[: k + 1])) for k in range(len(lengths))]
+    got = list(lm_score.full_batches(((np.stack([t, t], axis=1), t) for t in made), 8))
+    assert [len(t) for _, t in got] == [8, 8, 8, 8, 8, 8, 7]
+    assert np.array_equal(np.concatenate([t for _, t in got]), np.arange(55))
+    assert all(np.array_equal(a[:, 1], t) for a, t in got)
+    assert list(lm_score.full_batches(iter([]), 8)) == []
+
+
+def test_memory_of_a_step_is_used_again():
+    """Steps of any size leave no trace in later results, and a later step of no greater size takes no new memory."""
+    rng = np.random.default_rng(1)
+    draw = lambda n: (rng.integers(0, 17, (n, 4)), rng.integers(0, 16, n))
+    net, fresh = (lm_score.Network(classes=4, in_class=4, width=3, hidden=5) for _ in range(2))
+    squares = {k: np.full_like(p, 1e-4) for k, p in net.parts.items()}
+    net.step(*draw(50), squares, 0.1)
+    rooms = {k: id(v) for k, v in net.rooms.items()}
+    assert rooms
+    net.step(*draw(20), squares, 0.1)
+    assert {k: id(v) for k, v in net.rooms.items()} == rooms
+    around, target = draw(30)
+    expected = fresh.load(net.flat()).log_probability(around, target)
+    assert np.array_equal(net.log_probability(around, target), expected)
+
+
+def test_weights_beyond_single_precision():
+    """exp of the inputs is infinite or zero in single precision; the log-probabilities are not."""
+    for shift in (200, -200):
+        net = lm_score.Network(classes=4, in_class=4, width=3, hidden=5)
+        around, target = np.array([[1, 2, 16, 16]] * 16), np.arange(16)
+        expected = net.log_probability(around, target)
+        net.parts["class_bias"] += shift
+        net.parts["word_bias"] += shift
+        assert np.allclose(net.log_probability(around, target), expected, atol=1e-4)

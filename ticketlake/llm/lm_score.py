@@ -35,9 +35,10 @@ columns are not looked at.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import compress
 
 import numpy as np
@@ -98,13 +99,20 @@ class Spelling:
         """``pairs[a, b]``: how often byte b follows byte a; row ``EDGE`` counts first bytes and is not used."""
         counts = pairs[:EDGE].astype(np.float64) + SMOOTH
         self.logs = np.log(counts / counts.sum(axis=1, keepdims=True))
+        joined = self.logs[:, :EDGE].copy()  # for words joined by spaces, which no word holds: a space ends one
+        joined[:, 32] = self.logs[:, EDGE]
+        joined[32] = 0
+        self.joined = joined.ravel()
 
     def of(self, words: list[bytes]) -> float:
         """The sum over some words."""
         if not words:
             return 0.0
-        before, after = byte_pairs(words)
-        return float(self.logs[before, after].sum())
+        every = np.frombuffer(b" ".join(words) + b" ", np.uint8)
+        pairs = every[:-1].astype(np.uint16)
+        pairs <<= 8
+        pairs |= every[1:]
+        return float(self.joined.take(pairs).sum())
 
 
 def byte_pairs(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -139,6 +147,7 @@ class Network:
             "word_bias": np.zeros(self.size, np.float32),
         }
         self.parts = {k: np.ascontiguousarray(v, np.float32) for k, v in self.parts.items()}
+        self.rooms: dict[str, np.ndarray] = {}
 
     @classmethod
     def of_counts(cls, counts: np.ndarray) -> Network:
@@ -174,26 +183,64 @@ class Network:
             around[:, k] = padded[first + shift : len(ids) + shift : step]
         return around
 
-    def _hidden(self, around: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        p = self.parts
-        x = p["embed"].take(around.ravel(), axis=0).reshape(len(around), -1)
-        return x, np.tanh(x @ p["inner"].T + p["inner_bias"])
+    def _room(self, name: str, *shape: int) -> np.ndarray:
+        """Memory for numbers of one step that the next step uses again; new memory for each costs more than the sums."""
+        kind, size = self.parts["inner"].dtype, math.prod(shape)
+        held = self.rooms.get(name)
+        if held is None or held.size < size or held.dtype != kind:
+            held = self.rooms[name] = np.empty(size, kind)
+        return held[:size].reshape(shape)
 
-    @staticmethod
-    def _excess(z: np.ndarray, chosen: np.ndarray, n: int) -> np.ndarray:
-        """A softmax less its target, over n: the gradient of the mean loss."""
-        z -= z.max(axis=1, keepdims=True)
-        np.exp(z, out=z)
-        z *= 1 / (n * z.sum(axis=1, keepdims=True))
-        z[np.arange(len(z)), chosen] -= 1 / n
+    def _hidden(self, around: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The joined vectors of the windows, and the hidden layer with a last column of ones for the biases."""
+        p, n = self.parts, len(around)
+        x = self._room("x", around.size, p["embed"].shape[1])
+        p["embed"].take(around.ravel(), axis=0, out=x, mode="clip")
+        x = x.reshape(n, -1)
+        inside = np.matmul(x, p["inner"].T, out=self._room("inside", n, len(p["inner"])))
+        inside += p["inner_bias"]
+        h = self._room("h", n, len(p["inner"]) + 1)
+        np.tanh(inside, out=h[:, :-1])
+        h[:, -1] = 1
+        return x, h
+
+    def _outer(self) -> tuple[np.ndarray, np.ndarray]:
+        """The weights of classes and of numbers, each with its bias as last column."""
+        p, both = self.parts, []
+        for name, bias in (("by_class", "class_bias"), ("by_word", "word_bias")):
+            rows, columns = p[name].shape
+            both.append(self._room(name, rows, columns + 1))
+            both[-1][:, :-1] = p[name]
+            both[-1][:, -1] = p[bias]
+        return both[0], both[1]
+
+    def _level(self, h: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """Inputs of a softmax, less the greatest of each row unless single precision holds their exponentials as they are."""
+        z = np.matmul(h, weights.T, out=self._room("z", len(h), len(weights)))
+        if not (z.min() > -60 and z.max() < 60):
+            z -= z.max(axis=1, keepdims=True)
         return z
 
     @staticmethod
-    def _log_share(z: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    def _row_sums(z: np.ndarray) -> np.ndarray:
+        return z @ np.ones(z.shape[1], z.dtype)
+
+    def _gradients(self, h: np.ndarray, weights: np.ndarray, chosen: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Gradients of the loss of one softmax, over n: by the hidden layer and by the weights."""
+        e = self._level(h, weights)
+        np.exp(e, out=e)
+        sums = self._row_sums(e)
+        e[np.arange(len(e)), chosen] -= sums
+        share = (1 / (n * sums))[:, None]
+        back = np.matmul(e, weights, out=self._room("part", *h.shape))
+        back *= share
+        return back, e.T @ np.multiply(h, share, out=self._room("scaled", *h.shape))
+
+    def _log_share(self, h: np.ndarray, weights: np.ndarray, chosen: np.ndarray) -> np.ndarray:
         """Log of the softmax at one place of each row."""
-        z -= z.max(axis=1, keepdims=True)
+        z = self._level(h, weights)
         own = z[np.arange(len(z)), chosen]
-        return own - np.log(np.exp(z, out=z).sum(axis=1))
+        return own - np.log(self._row_sums(np.exp(z, out=z)))
 
     def _by_class(self, target: np.ndarray) -> tuple[np.ndarray, list[tuple[int, slice]]]:
         """An order of the targets by class, and the rows of each class in it."""
@@ -203,23 +250,21 @@ class Network:
         return order, [(c, slice(bounds[c], bounds[c + 1])) for c in range(self.classes) if bounds[c] < bounds[c + 1]]
 
     def log_probability(self, around: np.ndarray, target: np.ndarray) -> np.ndarray:
-        p = self.parts
+        by_class, by_word = self._outer()
         order, groups = self._by_class(target)
         target = target[order]
         h = self._hidden(around[order])[1]
         group = target // self.in_class
-        own = np.concatenate(
-            [self._log_share(h[x] @ p["by_class"].T + p["class_bias"], group[x]) for x in blocks(len(h))]
-        )
+        own = np.concatenate([self._log_share(h[x], by_class, group[x]) for x in blocks(len(h))])
         for c, rows in groups:
             words = slice(c * self.in_class, (c + 1) * self.in_class)
-            own[rows] += self._log_share(h[rows] @ p["by_word"][words].T + p["word_bias"][words], target[rows] - words.start)
+            own[rows] += self._log_share(h[rows], by_word[words], target[rows] - words.start)
         out = np.empty_like(own)
         out[order] = own
         return out
 
     def step(self, around: np.ndarray, target: np.ndarray, squares: dict[str, np.ndarray], rate: float) -> None:
-        """One Adagrad step on the mean negative log-probability; only rows with a gradient are touched."""
+        """One Adagrad step on the mean negative log-probability."""
         p, n = self.parts, len(target)
 
         def move(name: str, rows: slice | np.ndarray, gradient: np.ndarray) -> None:
@@ -228,31 +273,37 @@ class Network:
             total += 1e-8
             p[name][rows] -= rate * gradient / np.sqrt(total, out=total)
 
+        by_class, by_word = self._outer()
         order, groups = self._by_class(target)
         around, target = around[order], target[order]
         x, h = self._hidden(around)
         group = target // self.in_class
-        back = np.empty_like(h)
-        of_class, of_bias = np.zeros_like(p["by_class"]), np.zeros_like(p["class_bias"])
+        back, of_word = self._room("back", *h.shape), self._room("of_word", *by_word.shape)
+        of_class = np.zeros_like(by_class)
+        of_word[:] = 0
         for rows in blocks(n):
-            d = self._excess(h[rows] @ p["by_class"].T + p["class_bias"], group[rows], n)
-            back[rows] = d @ p["by_class"]
-            of_class += d.T @ h[rows]
-            of_bias += d.sum(axis=0)
+            back[rows], more = self._gradients(h[rows], by_class, group[rows], n)
+            of_class += more
         for c, rows in groups:
             words = slice(c * self.in_class, (c + 1) * self.in_class)
-            e = self._excess(h[rows] @ p["by_word"][words].T + p["word_bias"][words], target[rows] - words.start, n)
-            back[rows] += e @ p["by_word"][words]
-            move("by_word", words, e.T @ h[rows])
-            move("word_bias", words, e.sum(axis=0))
-        back *= 1 - h * h
-        into = np.ascontiguousarray((back @ p["inner"]).reshape(around.size, -1).T)
+            more, of_word[words] = self._gradients(h[rows], by_word[words], target[rows] - words.start, n)
+            back[rows] += more
+        h = h[:, :-1]
+        inside = self._room("inside", *h.shape)
+        np.subtract(1, np.multiply(h, h, out=inside), out=inside)
+        inside *= back[:, :-1]
+        # by vector column, then place in the window: the rows that the sums by number read one after the other
+        width = p["embed"].shape[1]
+        by_column = p["inner"].reshape(len(p["inner"]), -1, width).T.reshape(-1, len(p["inner"]))
+        into = np.matmul(by_column, inside.T, out=self._room("into", len(by_column), n)).reshape(width, -1)
         every = slice(None)
-        move("by_class", every, of_class)
-        move("class_bias", every, of_bias)
-        move("inner", every, back.T @ x)
-        move("inner_bias", every, back.sum(axis=0))
-        seen = around.ravel()
+        move("by_class", every, of_class[:, :-1])
+        move("class_bias", every, of_class[:, -1])
+        move("by_word", every, of_word[:, :-1])
+        move("word_bias", every, of_word[:, -1])
+        move("inner", every, inside.T @ x)
+        move("inner_bias", every, inside.sum(axis=0))
+        seen = around.T.ravel()
         touched = np.flatnonzero(np.bincount(seen, minlength=self.size + 1))
         sums = [np.bincount(seen, column, self.size + 1)[touched] for column in into]
         move("embed", touched, np.stack(sums, axis=1).astype(into.dtype))
@@ -361,6 +412,25 @@ def slices(data: bytes, net: Network, r: int = 0, rounds: int = 1) -> Iterator[t
         yield net.windows(own, first - start, rounds)[: len(target)], target
 
 
+def full_batches(parts: Iterable[tuple[np.ndarray, np.ndarray]], size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The windows and numbers of all parts in their order, ``size`` at a time; only the last batch may hold fewer."""
+    around: list[np.ndarray] = []
+    target: list[np.ndarray] = []
+    held = 0
+    for a, t in parts:
+        around.append(a)
+        target.append(t)
+        held += len(t)
+        if held >= size:
+            a, t = np.concatenate(around), np.concatenate(target)
+            full = held - held % size
+            for low in range(0, full, size):
+                yield a[low : low + size], t[low : low + size]
+            around, target, held = [a[full:]], [t[full:]], held - full
+    if held:
+        yield np.concatenate(around), np.concatenate(target)
+
+
 def trained(numbers: DataFrame, rounds: int, net: Network | None = None) -> Network:
     """A network trained on all texts, from the given one on."""
     net = net or Network()
@@ -375,30 +445,10 @@ def trained(numbers: DataFrame, rounds: int, net: Network | None = None) -> Netw
             own = Network(**shape).load(shipped.value)
             squares = {k: np.full_like(p, 1e-4) for k, p in own.parts.items()}
             seen = 0
-            around: list[np.ndarray] = []
-            target: list[np.ndarray] = []
-            held = 0
-
-            def flush() -> None:
-                nonlocal held, seen
-                a, t = np.concatenate(around), np.concatenate(target)
-                for low in range(0, len(t), BATCH):
-                    own.step(a[low : low + BATCH], t[low : low + BATCH], squares, RATE)
-                seen += len(t)
-                held = 0
-                around.clear()
-                target.clear()
-
-            for batch in batches:
-                for data in batch.column(0):
-                    for a, t in slices(data.as_py(), own, r, rounds):
-                        around.append(a)
-                        target.append(t)
-                        held += len(t)
-                        if held >= BATCH:
-                            flush()
-            if held:
-                flush()
+            parts = (part for batch in batches for data in batch.column(0) for part in slices(data.as_py(), own, r, rounds))
+            for around, target in full_batches(parts, BATCH):
+                own.step(around, target, squares, RATE)
+                seen += len(target)
             if seen:
                 flat = own.flat()
                 flat = np.concatenate([flat, np.zeros(-len(flat) % PIECE, np.float32)]).reshape(-1, PIECE)
