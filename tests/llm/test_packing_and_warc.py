@@ -202,3 +202,40 @@ def test_no_pages(spark):
 @pytest.mark.parametrize("name", ["op1_exact_dedup", "op8_warc"])
 def test_queries_agree_with_sql(spark, name):
     assert compare(entry.queries()[name](spark, SF_DIR), connect(SF_DIR), entry.oracle_sql()[name]) is None
+
+
+def test_new_words_are_encoded_together():
+    """Many words go to the tokenizer as one text; a word's ids are the same as alone, also if ends of words cannot be told."""
+    signs = ["'s", "'", "''", "'ll", "½", "²", "3", "<", "|>", "</w>", "...", "\x00", "é", "œuvre", "ÿ", "ß", "¿qué?", "a\x1cb"]
+    spelled = lambda k: "wö" + "".join(chr(97 + k // 26**j % 26) for j in range(3))
+    made = [" ".join(f"{spelled(k)} it's-{k}" for k in range(low, low + 400)) for low in range(0, 4000, 400)]
+    texts = [*signs, "".join(signs[:9]), "", " ", *made, made[0]]
+    expected = [np.array(TOKENIZER.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+
+    class Counted:
+        given = 0
+
+        def encode_batch_fast(self, texts, add_special_tokens):
+            self.given += len(texts)
+            return TOKENIZER.encode_batch_fast(texts, add_special_tokens=add_special_tokens)
+
+    for told in (True, False):
+        words = packing.WordIds(tokenizer_path())
+        words.tokenizer = Counted()
+        words.closes &= told
+        assert words.encode(texts) == expected
+        n = len(words.known)
+        assert n > 3000 and (words.tokenizer.given < n / 50) == told
+        before = words.tokenizer.given
+        assert words.encode(texts) == expected and words.tokenizer.given - before < len(texts)
+
+
+def test_full_cache_keeps_the_words_of_the_batch(monkeypatch):
+    """Words met lately move to the older cache while a batch still uses them."""
+    monkeypatch.setattr(packing, "CACHED_WORDS", 5)
+    words = packing.WordIds(tokenizer_path())
+    texts = ["a b c d e f g h", "a b new words here and there", "f g a other new words", "x y z here again a"]
+    for _ in range(2):
+        for t in texts:
+            assert words.encode([t, t]) == [np.array(TOKENIZER.encode(t, add_special_tokens=False).ids, "<u4").tobytes()] * 2
+    assert words.older

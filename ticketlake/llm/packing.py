@@ -43,6 +43,7 @@ from ticketlake.llm.common import col, settle, text_of
 CAPACITY = 4096
 END_ID = 1
 CACHED_WORDS = 500_000
+JOINED = 256
 # The tokenizer's word pattern for lower-case text of the characters that UNCOMMON leaves.
 LETTERS = "a-z\u00aa\u00b5\u00ba\u00df-\u00f6\u00f8-\u00ff\u0153"
 NUMBERS = "0-9\u00b2\u00b3\u00b9\u00bc-\u00be"
@@ -55,7 +56,7 @@ class WordIds:
 
     Texts of common Latin characters are split as the tokenizer's own pattern
     splits them after lower-casing, and only words not met before are given to
-    the tokenizer; any other text is given to it whole.
+    the tokenizer, many in one text; any other text is given to it whole.
     """
 
     def __init__(self, tokenizer_path: str, caches: tuple[dict, dict] | None = None):
@@ -64,31 +65,62 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
         self.known, self.older = caches or ({}, {})  # words met lately, and before that
-
-    def _ids(self, words: list[str]) -> Iterator[bytes]:
-        for low in range(0, len(words), 4096):
-            for e in self.tokenizer.encode_batch_fast(words[low : low + 4096], add_special_tokens=False):
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.closes = np.zeros(max(vocabulary.values(), default=0) + 1, bool)  # ids that end a word
+        if suffix:
+            self.closes[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+
+    def _ids(self, texts: list[str]) -> Iterator[bytes]:
+        for low in range(0, len(texts), 4096):
+            for e in self.tokenizer.encode_batch_fast(texts[low : low + 4096], add_special_tokens=False):
                 yield array("I", e.ids).tobytes()
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [None if UNCOMMON.search(t) or "<|" in t else WORDS.findall(t.lower()) for t in texts]
-        new: set[str] = set()
-        for words in split:
-            if words:
-                new.update(words)
+    def _word_ids(self, words: list[str]) -> Iterator[bytes]:
+        """The ids of each word: of all in one text, cut after the ids that end a word, or one by one if these are not as many."""
+        for low in range(0, len(words), JOINED):
+            some = words[low : low + JOINED]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.flatnonzero(self.closes[ids]) + 1
+            if len(ends) != len(some) or ends[-1] != len(ids):
+                yield from self._ids(some)
+                continue
+            data, at = ids.tobytes(), 0
+            for end in (4 * ends).tolist():
+                yield data[at:end]
+                at = end
+
+    def _learn(self, new: set[str]) -> None:
+        """Take up words that are not among those met lately."""
         if len(self.known) > CACHED_WORDS:
             self.older.clear()
             self.older.update(self.known)
             self.known.clear()
-        new.difference_update(self.known)
         if self.older:
             again = new.intersection(self.older)
             self.known.update((w, self.older[w]) for w in again)
-            new -= again
+            new = new - again
         missing = list(new)
-        self.known.update(zip(missing, self._ids(missing), strict=True))
+        self.known.update(zip(missing, self._word_ids(missing), strict=True))
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        split = [None if UNCOMMON.search(t) or "<|" in t else WORDS.findall(t.lower()) for t in texts]
+        every = [w for words in split if words for w in words]
+        found = list(map(self.known.get, every))
+        gaps = [k for k, own in enumerate(found) if own is None]
+        if gaps:
+            self._learn({every[k] for k in gaps})
+            for k in gaps:
+                found[k] = self.known[every[k]]
         whole = self._ids([t for t, words in zip(texts, split, strict=True) if words is None])
-        return [next(whole) if words is None else b"".join(map(self.known.__getitem__, words)) for words in split]
+        out, at = [], 0
+        for words in split:
+            if words is None:
+                out.append(next(whole))
+            else:
+                out.append(b"".join(found[at : at + len(words)]))
+                at += len(words)
+        return out
 
 
 def tokenized_pieces(
