@@ -154,6 +154,15 @@ def test_days_are_saved_in_one_write_and_one_is_read_alone(spark, tmp_path, monk
     assert sorted((str(r["start_date"]), r["record_count"]) for r in listed.collect()) == [("2024-01-01", 1), ("2024-01-02", 1), ("2024-01-03", 10)]
 
 
+def test_entry_rows_tell_what_was_written(spark, tmp_path):
+    spark.range(6).selectExpr("id", "concat('2024-01-0', 1 + id % 2) AS made").write.parquet(str(tmp_path / "source"))
+    source = spark.read.parquet(str(tmp_path / "source"))
+    entries = AF.save_days(spark, {"a": source}, str(tmp_path / "saved"), {"a": "made"}, "a", as_of=AS_OF)
+    for file in [*tmp_path.glob("source/*.parquet"), *tmp_path.glob("saved/*/day=2024-01-01/*/*.gz")]:
+        file.unlink()  # neither the table nor a day's files are read again
+    assert sorted((str(r["start_date"]), r["record_count"]) for r in entries.collect()) == [("2024-01-01", 3), ("2024-01-02", 3)]
+
+
 def test_batch_metadata_leaves_empty_tables_out_of_the_map(spark):
     got = A.batch_metadata({"b": spark.range(2), "a": spark.range(3), "z": spark.range(0)}).first()
     assert (got["table_count"], got["total_records"], got["records_by_table"]) == (3, 5, '{"a":3,"b":2}')

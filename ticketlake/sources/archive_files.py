@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ticketlake.functions.periods import to_day
 from ticketlake.operators.archive import entry_sizes, record_json
+from ticketlake.session import scratch_dir
 
 
 def _records(tables: dict[str, DataFrame], days: dict[str, str] | None) -> DataFrame:
@@ -36,7 +37,8 @@ def write_files(
     """Write every table's records in one job; the JVM compresses while it writes.
 
     Returns the manifest: (day, table, record_count, json_bytes, files,
-    compressed_bytes), one row per folder.
+    compressed_bytes), one row per folder.  It is stored, so it tells what was
+    written, whatever becomes of the tables or of other days' folders.
     """
     records = _records(tables, days)
     parts = ["day", "table"] if days else ["table"]
@@ -54,7 +56,9 @@ def write_files(
         counts = counts.unionByName(empty.join(counts, "table", "left_anti"))
     sizes = file_sizes(spark, path, by_day=True).withColumnsRenamed({"day": "_day", "table": "_table"})
     same = F.col("day").eqNullSafe(F.col("_day")) & (F.col("table") == F.col("_table"))
-    return counts.join(sizes, same, "left").drop("_day", "_table")
+    manifest, held = counts.join(sizes, same, "left").drop("_day", "_table"), scratch_dir(spark, "manifest")
+    manifest.write.parquet(held)
+    return spark.read.schema(manifest.schema).parquet(held)
 
 
 def read_files(spark: SparkSession, path: str, table: str | None = None) -> DataFrame:
