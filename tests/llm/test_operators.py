@@ -1,8 +1,12 @@
 """Each operator against its plain version, on the small table and on awkward rows."""
 
+import tracemalloc
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tests.conftest import SF_DIR
 from tests.llm import plain
@@ -98,6 +102,43 @@ def test_decontaminate_near_misses(spark):
     assert as_bag(found, "doc_id", "n_hit", F.col("n_near") > 0) == [(1, 0, True), (2, 4, True), (3, 0, False)]
 
 
+@pytest.mark.parametrize("places", [1, 40])
+def test_decontaminate_parts_do_not_matter(spark, monkeypatch, places):
+    monkeypatch.setattr(decontaminate, "PART_PLACES", places)
+    columns = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
+    found = decontaminate.decontaminate(awkward(spark).coalesce(1), bench(spark))
+    assert as_bag(decontaminate.verdicts(found), *columns) == ordered(plain.hits(AWKWARD, ITEMS))
+
+
+def test_decontaminate_long_texts_are_searched_in_parts(spark):
+    """300 texts of 20,000 benchmark words each; searched at once they take 240 MB."""
+
+    class Index:
+        schema = T.StructType.fromDDL("id long, text_key long, n_words long")
+
+        def mapInArrow(self, function, schema):
+            self.search = function
+            return self
+
+    texts, length, terms = 300, 20_000, 200
+    drawn = np.random.default_rng(1).integers(0, terms, (texts, length))
+    counts = [np.bincount(d, minlength=terms).astype(np.int32) for d in drawn]
+    places = [np.argsort(d, kind="stable").astype(np.int32) for d in drawn]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(texts)), pa.array(range(texts)), pa.array([length] * texts)]
+        + [pa.array(x, pa.list_(pa.int32())) for x in ([np.arange(terms, dtype=np.int32)] * texts, counts, places)],
+        names=["id", "text_key", "n_words", "terms", "sizes", "positions"],
+    )
+    block = decontaminate.Windows([("1", [b"%03d" % k for k in range(terms)])], decontaminate.WINDOW)
+    index = decontaminate.intersect(Index(), block, np.sum(counts, 0), 2)
+    tracemalloc.start()
+    found = sum(part.num_rows for part in index.search(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == texts
+    assert peak < 160e6
+
+
 def test_decontaminate_without_items_or_rows(spark):
     none = decontaminate.decontaminate(awkward(spark), bench(spark, []))
     assert none.where("n_hit > 0").isEmpty() and none.count() == len(AWKWARD)

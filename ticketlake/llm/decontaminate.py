@@ -40,6 +40,9 @@ from ticketlake.llm.common import col, settle, text_of
 
 WINDOW = 13
 BLOCK_WORDS = 500_000
+#: a part that is searched at once has at most so many documents, and so many places unless it is one document
+PART_ROWS = 2000
+PART_PLACES = 2_000_000
 #: bytes to bytes: A-Z lowered, everything that is not part of a word becomes a space
 WORD_BYTES = bytes(
     c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256)
@@ -230,11 +233,16 @@ def intersect(index: DataFrame, block: Windows, frequency: np.ndarray, slop: int
 
     def all_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low in range(0, batch.num_rows, 2000):
+            upto = batch.column(5).offsets.to_numpy()
+            low = 0
+            while low < batch.num_rows:
+                most = int(np.searchsorted(upto, upto[low] + PART_PLACES, "right")) - 1
+                high = max(low + 1, min(low + PART_ROWS, most, batch.num_rows))
                 # a copy: slices keep the offsets of the whole batch
                 yield search(pa.RecordBatch.from_arrays(
-                    [pa.concat_arrays([c]) for c in batch.slice(low, 2000).columns], names=batch.schema.names
+                    [pa.concat_arrays([c]) for c in batch.slice(low, high - low).columns], names=batch.schema.names
                 ))
+                low = high
 
     return index.mapInArrow(all_batches, schema)
 
