@@ -139,3 +139,83 @@ def test_weights_beyond_single_precision():
         net.parts["class_bias"] += shift
         net.parts["word_bias"] += shift
         assert np.allclose(net.log_probability(around, target), expected, atol=1e-4)
+
+
+def test_words_of_many_texts(monkeypatch):
+    """Words, numbers and spelling of many texts at once are those of each text, word by word."""
+    made = [(t or "").encode() for t in texts()] + [b" \t a  B\n", b"\x0c", b"\xc3\x89t\xc3\xa9 \x1c\x85 I\xcc\x87", b"x" * 40]
+    plain = [t.lower().split() for t in made]
+    counted = Counter(w for own in plain for w in own)
+    frequent = [w for w, n in counted.most_common(12)]
+    rest = [w for w in counted if w not in frequent]
+    pairs = np.zeros((257, 257), np.int64)
+    np.add.at(pairs, lm_score.byte_pairs(rest), 1)
+    numbers, spelling = lm_score.Numbers(frequent), lm_score.Spelling(pairs)
+    for size in (1, 50, 1 << 20):
+        monkeypatch.setattr(lm_score, "SLICE", size)
+        own = [[] for _ in made]
+        found = [[] for _ in made]
+        spelled = np.zeros(len(made))
+        for text, words in lm_score.text_words(made):
+            ids, places, rare = numbers.of(words)
+            assert [w.as_py() for w in rare.view("binary")] == [w for w in words.view("binary").to_pylist() if w not in frequent]
+            spelled += spelling.of_texts(rare, text[places], len(made))
+            for k, w, i in zip(text.tolist(), words.view("binary").to_pylist(), ids.tolist(), strict=True):
+                own[k].append(w)
+                found[k].append(i)
+        assert own == plain
+        assert found == [[frequent.index(w) if w in frequent else len(frequent) + w[0] for w in t] for t in plain]
+        assert np.allclose(spelled, [spelling.of([w for w in t if w not in frequent]) for t in plain])
+
+
+@pytest.mark.parametrize("rounds", [1, 2, 3])
+def test_windows_of_many_texts(rounds, monkeypatch):
+    monkeypatch.setattr(lm_score, "BATCH", 4)
+    net = lm_score.Network(classes=4, in_class=4, width=3, hidden=5)
+    made = [np.random.default_rng(n).integers(0, 16, n).astype("<u2").tobytes() for n in (0, 3, 1, 0, 40, 2, 9, 5, 1, 0)]
+    for r in range(rounds):
+        got = list(lm_score.text_windows(made, net, r, rounds, size=7))
+        whole = [(a, t, k) for k, data in enumerate(made) for around, target in lm_score.slices(data, net, r, rounds)
+                 for a, t in zip(around.tolist(), target.tolist(), strict=True)]
+        assert [x for part in got for x in zip(*(p.tolist() for p in part), strict=True)] == whole
+        assert max(len(t) for _, t, _ in got) <= 7
+
+
+def uneven(classes):
+    """A network and places whose classes have from none to some thousand rows."""
+    net = lm_score.Network(classes=classes, in_class=6, width=3, hidden=5)
+    rng = np.random.default_rng(3)
+    group = np.repeat(np.arange(classes), [3000, 129, 128, 65, 17, 16, 1, *[(7 * k) % 23 for k in range(classes - 7)]])
+    target = rng.permutation(group * 6 + rng.integers(0, 6, len(group)))
+    return net, rng.integers(0, net.size + 1, (len(target), 4)), target
+
+
+def test_small_classes_are_taken_together(monkeypatch):
+    """A step on 60 classes, 54 of them small, takes some products for classes of one size, not some for each class."""
+    net, around, target = uneven(60)
+    calls = []
+    gradients = lm_score.Network._gradients
+    monkeypatch.setattr(lm_score.Network, "_gradients", lambda *a: calls.append(1) or gradients(*a))
+    net.step(around, target, {k: np.full_like(p, 1e-4) for k, p in net.parts.items()}, 0.1)
+    assert len(calls) < 15
+
+
+@pytest.mark.parametrize("shift", [0, 200])
+def test_classes_together_equal_single_ones(shift, monkeypatch):
+    moved, shares = [], []
+    for most in (lm_score.MOST, 0):
+        monkeypatch.setattr(lm_score, "MOST", most, raising=False)
+        net, around, target = uneven(60)
+        net.parts["word_bias"] += shift
+        shares.append(net.log_probability(around, target))
+        net.step(around, target, {k: np.full_like(p, 1e-4) for k, p in net.parts.items()}, 0.1)
+        moved.append(net.flat())
+    assert np.allclose(*shares, atol=1e-4)
+    assert np.allclose(*moved, atol=2e-4)
+    p = {k: v.astype(np.float64) for k, v in uneven(60)[0].parts.items()}
+    h = np.tanh(p["embed"][around].reshape(len(around), -1) @ p["inner"].T + p["inner_bias"])
+    rows = np.arange(len(h))
+    of_class = h @ p["by_class"].T + p["class_bias"]
+    of_word = (h @ p["by_word"].T + p["word_bias"]).reshape(len(h), net.classes, net.in_class)[rows, target // 6]
+    expected = of_class[rows, target // 6] - np.log(np.exp(of_class).sum(axis=1)) + of_word[rows, target % 6] - np.log(np.exp(of_word).sum(axis=1))
+    assert np.allclose(shares[0], expected, atol=2e-4)

@@ -37,12 +37,11 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
 from collections.abc import Iterable, Iterator
-from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -62,34 +61,83 @@ HIDDEN = 32
 ROUNDS = 2
 BATCH = 8192
 BLOCK = 2048
+FEWEST = 16
+MOST = 128
+SAFE = 60
 RATE = 0.1
 PIECE = 1024
 SALTS = 64
-KNOWN_WORDS = 300_000
+COUNTED = 1 << 25
 SLICE = 1 << 20
 SEED = 7
 SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
 
-def word_lists(text: bytes) -> Iterator[list[bytes]]:
-    """The words of a text, slice by slice."""
+def text_slices(text: bytes) -> Iterator[bytes]:
+    """A text, cut at white space."""
     at = 0
     while at < len(text):
         cut = SPACE.search(text, at + SLICE) if len(text) - at > SLICE else None
         end = cut.start() if cut else len(text)
-        yield text[at:end].lower().split()
+        yield text[at:end]
         at = end
 
 
-class Numbers(dict):
+def word_lists(text: bytes) -> Iterator[list[bytes]]:
+    """The words of a text, slice by slice."""
+    return (part.lower().split() for part in text_slices(text))
+
+
+def text_words(texts: Iterable[bytes]) -> Iterator[tuple[np.ndarray, pa.StringArray]]:
+    """The words of many texts in their order, those of about ``SLICE`` bytes at a time, and the number of each word's text."""
+
+    def split() -> tuple[np.ndarray, pa.StringArray]:
+        lists = pc.ascii_split_whitespace(pc.ascii_lower(pa.array(held, pa.binary()).view(pa.string())))
+        words, text = lists.flatten(), np.repeat(owner, lists.value_lengths().to_numpy())
+        some = pc.greater(pc.binary_length(words), 0)  # white space at an end of a text leaves an empty string there
+        if pc.all(some).as_py() is False:
+            words, text = words.filter(some), text[some.to_numpy(zero_copy_only=False)]
+        return text, words
+
+    owner: list[int] = []
+    held: list[bytes] = []
+    size = 0
+    for k, text in enumerate(texts):
+        for part in text_slices(text):
+            owner.append(k)
+            held.append(part)
+            size += len(part)
+            if size >= SLICE:
+                yield split()
+                owner, held, size = [], [], 0
+    if held:
+        yield split()
+
+
+def raw_bytes(words: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the bytes of each word begin and those of the last end, and the bytes of all."""
+    if not len(words):
+        return np.zeros(1, np.int32), np.empty(0, np.uint8)
+    ends = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1]
+    return ends - ends[0], np.frombuffer(words.buffers()[2], np.uint8)[ends[0] : ends[-1]]
+
+
+class Numbers:
     """Numbers of words: the rank of a frequent word, that of its first byte for any other."""
 
     def __init__(self, frequent: list[bytes]):
-        super().__init__((w, k) for k, w in enumerate(frequent))
+        self.ranks = pa.array(frequent, pa.binary()).view(pa.string())
         self.first = len(frequent)
 
-    def __missing__(self, word: bytes) -> int:
-        return self.first + word[0]
+    def of(self, words: pa.StringArray) -> tuple[np.ndarray, np.ndarray, pa.StringArray]:
+        """The numbers of some words, the places of those that are not frequent, and these."""
+        rank = pc.index_in(words, value_set=self.ranks)
+        own = rank.fill_null(0).to_numpy().astype("<u2")
+        rare = words.filter(rank.is_null())
+        places = np.flatnonzero(rank.is_null().to_numpy(zero_copy_only=False))
+        ends, every = raw_bytes(rare)
+        own[places] = every[ends[:-1]] + np.uint16(self.first)
+        return own, places, rare
 
 
 class Spelling:
@@ -99,20 +147,32 @@ class Spelling:
         """``pairs[a, b]``: how often byte b follows byte a; row ``EDGE`` counts first bytes and is not used."""
         counts = pairs[:EDGE].astype(np.float64) + SMOOTH
         self.logs = np.log(counts / counts.sum(axis=1, keepdims=True))
-        joined = self.logs[:, :EDGE].copy()  # for words joined by spaces, which no word holds: a space ends one
+        joined = self.logs[:, :EDGE].copy()  # a space, which no word holds, ends one
         joined[:, 32] = self.logs[:, EDGE]
-        joined[32] = 0
         self.joined = joined.ravel()
 
+    def of_bytes(self, ends: np.ndarray, every: np.ndarray) -> np.ndarray:
+        """What every byte of some words adds, as ``raw_bytes`` gives them."""
+        pairs = every.astype(np.uint16)
+        pairs <<= 8
+        pairs[:-1] |= every[1:]
+        last = ends[1:] - 1
+        pairs[last] &= 0xFF00
+        pairs[last] |= 32
+        return self.joined.take(pairs)
+
     def of(self, words: list[bytes]) -> float:
         """The sum over some words."""
-        if not words:
-            return 0.0
-        every = np.frombuffer(b" ".join(words) + b" ", np.uint8)
-        pairs = every[:-1].astype(np.uint16)
-        pairs <<= 8
-        pairs |= every[1:]
-        return float(self.joined.take(pairs).sum())
+        return float(self.of_bytes(*raw_bytes(pa.array(words, pa.binary()))).sum())
+
+    def of_texts(self, words: pa.StringArray, text: np.ndarray, n: int) -> np.ndarray:
+        """The sums over the words of n texts; ``text``, in order, says whose each word is."""
+        out = np.zeros(n)
+        if len(words):
+            ends, every = raw_bytes(words)
+            firsts = np.flatnonzero(np.append(True, text[1:] != text[:-1]))
+            out[text[firsts]] = np.add.reduceat(self.of_bytes(ends, every), ends[firsts])
+        return out
 
 
 def byte_pairs(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -205,60 +265,105 @@ class Network:
         return x, h
 
     def _outer(self) -> tuple[np.ndarray, np.ndarray]:
-        """The weights of classes and of numbers, each with its bias as last column."""
+        """The weights of classes and of numbers, these class by class, each with its bias as last column."""
         p, both = self.parts, []
         for name, bias in (("by_class", "class_bias"), ("by_word", "word_bias")):
             rows, columns = p[name].shape
             both.append(self._room(name, rows, columns + 1))
             both[-1][:, :-1] = p[name]
             both[-1][:, -1] = p[bias]
-        return both[0], both[1]
+        return both[0], both[1].reshape(self.classes, self.in_class, -1)
 
-    def _level(self, h: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        """Inputs of a softmax, less the greatest of each row unless single precision holds their exponentials as they are."""
-        z = np.matmul(h, weights.T, out=self._room("z", len(h), len(weights)))
-        if not (z.min() > -60 and z.max() < 60):
-            z -= z.max(axis=1, keepdims=True)
+    def _is_safe(self, weights: np.ndarray) -> bool:
+        """Whether single precision holds the exponentials of all inputs of a softmax; no number of the hidden layer exceeds one."""
+        return bool(self._row_sums(np.abs(weights, out=self._room("abs", *weights.shape))).max() < SAFE)
+
+    def _level(self, h: np.ndarray, weights: np.ndarray, safe: bool) -> np.ndarray:
+        """Inputs of a softmax, less the greatest of each row unless all are safe."""
+        z = np.matmul(h, weights.swapaxes(-1, -2), out=self._room("z", *h.shape[:-1], weights.shape[-2]))
+        if not safe:
+            z -= z.max(axis=-1, keepdims=True)
         return z
 
+    @staticmethod
+    def _at(z: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of z in one row, and where the chosen one of each of its rows is."""
+        flat = z.reshape(-1)
+        return flat, np.arange(0, flat.size, z.shape[-1]) + chosen.reshape(-1)
+
     @staticmethod
     def _row_sums(z: np.ndarray) -> np.ndarray:
-        return z @ np.ones(z.shape[1], z.dtype)
+        return z @ np.ones(z.shape[-1], z.dtype)
 
-    def _gradients(self, h: np.ndarray, weights: np.ndarray, chosen: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """Gradients of the loss of one softmax, over n: by the hidden layer and by the weights."""
-        e = self._level(h, weights)
+    def _gradients(
+        self, h: np.ndarray, weights: np.ndarray, chosen: np.ndarray, n: int, safe: bool, real: np.ndarray | None = None
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Gradients of the loss of one softmax, or of several, over n: by the hidden layer and by the weights."""
+        e = self._level(h, weights, safe)
         np.exp(e, out=e)
         sums = self._row_sums(e)
-        e[np.arange(len(e)), chosen] -= sums
-        share = (1 / (n * sums))[:, None]
+        flat, at = self._at(e, chosen)
+        flat[at] -= sums.reshape(-1)
+        share = 1 / (n * sums)
+        if real is not None:
+            share *= real
+        share = share[..., None]
         back = np.matmul(e, weights, out=self._room("part", *h.shape))
         back *= share
-        return back, e.T @ np.multiply(h, share, out=self._room("scaled", *h.shape))
+        return back, np.matmul(e.swapaxes(-1, -2), np.multiply(h, share, out=self._room("scaled", *h.shape)))
 
-    def _log_share(self, h: np.ndarray, weights: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    def _log_share(self, h: np.ndarray, weights: np.ndarray, chosen: np.ndarray, safe: bool) -> np.ndarray:
         """Log of the softmax at one place of each row."""
-        z = self._level(h, weights)
-        own = z[np.arange(len(z)), chosen]
+        z = self._level(h, weights, safe)
+        flat, at = self._at(z, chosen)
+        own = flat[at].reshape(chosen.shape)
         return own - np.log(self._row_sums(np.exp(z, out=z)))
 
-    def _by_class(self, target: np.ndarray) -> tuple[np.ndarray, list[tuple[int, slice]]]:
-        """An order of the targets by class, and the rows of each class in it."""
+    def _by_class(self, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """An order of the targets by class, and where each class begins and the last one ends in it."""
         group = (target // self.in_class).astype(np.uint16)
         order = np.argsort(group, kind="stable")
-        bounds = np.searchsorted(group[order], np.arange(self.classes + 1))
-        return order, [(c, slice(bounds[c], bounds[c + 1])) for c in range(self.classes) if bounds[c] < bounds[c + 1]]
+        return order, np.append(0, np.cumsum(np.bincount(group, minlength=self.classes)))
+
+    def _large(self, bounds: np.ndarray) -> Iterator[tuple[int, slice]]:
+        """Classes of more than ``MOST`` rows, each with some of its rows."""
+        for c in np.flatnonzero(np.diff(bounds) > MOST):
+            for low in range(bounds[c], bounds[c + 1], BLOCK):
+                yield c, slice(low, min(low + BLOCK, bounds[c + 1]))
+
+    def _small(self, bounds: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """All other classes, those of about one size together: the classes, their rows, and which of these are real.
+
+        Each class is filled up with other rows to the next power of two, as one product of many small matrices takes
+        less time than many products.
+        """
+        first, count = bounds[:-1], np.diff(bounds)
+        least, width = 0, FEWEST
+        while least < MOST:
+            some = np.flatnonzero((count > least) & (count <= width))
+            for low in range(0, len(some), BLOCK // width):
+                c = some[low : low + BLOCK // width]
+                rows = first[c][:, None] + np.arange(width)
+                yield c, np.minimum(rows, bounds[-1] - 1), np.arange(width) < count[c][:, None]
+            least, width = width, 2 * width
+
+    def _taken(self, h: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """Rows of the hidden layer."""
+        out = self._room("taken", rows.size, h.shape[1])
+        return h.take(rows.ravel(), axis=0, out=out, mode="clip").reshape(*rows.shape, -1)
 
     def log_probability(self, around: np.ndarray, target: np.ndarray) -> np.ndarray:
         by_class, by_word = self._outer()
-        order, groups = self._by_class(target)
-        target = target[order]
+        order, bounds = self._by_class(target)
         h = self._hidden(around[order])[1]
-        group = target // self.in_class
-        own = np.concatenate([self._log_share(h[x], by_class, group[x]) for x in blocks(len(h))])
-        for c, rows in groups:
-            words = slice(c * self.in_class, (c + 1) * self.in_class)
-            own[rows] += self._log_share(h[rows], by_word[words], target[rows] - words.start)
+        group, inside = np.divmod(target[order], self.in_class)
+        safe = self._is_safe(by_class)
+        own = np.concatenate([self._log_share(h[x], by_class, group[x], safe) for x in blocks(len(h))])
+        safe = self._is_safe(by_word)
+        for c, rows in self._large(bounds):
+            own[rows] += self._log_share(h[rows], by_word[c], inside[rows], safe)
+        for c, rows, real in self._small(bounds):
+            own[rows[real]] += self._log_share(self._taken(h, rows), by_word[c], inside[rows], safe)[real]
         out = np.empty_like(own)
         out[order] = own
         return out
@@ -274,20 +379,26 @@ class Network:
             p[name][rows] -= rate * gradient / np.sqrt(total, out=total)
 
         by_class, by_word = self._outer()
-        order, groups = self._by_class(target)
-        around, target = around[order], target[order]
+        order, bounds = self._by_class(target)
+        around = around[order]
+        group, place = np.divmod(target[order], self.in_class)
         x, h = self._hidden(around)
-        group = target // self.in_class
         back, of_word = self._room("back", *h.shape), self._room("of_word", *by_word.shape)
         of_class = np.zeros_like(by_class)
         of_word[:] = 0
+        safe = self._is_safe(by_class)
         for rows in blocks(n):
-            back[rows], more = self._gradients(h[rows], by_class, group[rows], n)
+            back[rows], more = self._gradients(h[rows], by_class, group[rows], n, safe)
             of_class += more
-        for c, rows in groups:
-            words = slice(c * self.in_class, (c + 1) * self.in_class)
-            more, of_word[words] = self._gradients(h[rows], by_word[words], target[rows] - words.start, n)
+        safe = self._is_safe(by_word)
+        for c, rows in self._large(bounds):
+            more, own = self._gradients(h[rows], by_word[c], place[rows], n, safe)
             back[rows] += more
+            of_word[c] += own
+        for c, rows, real in self._small(bounds):
+            more, of_word[c] = self._gradients(self._taken(h, rows), by_word[c], place[rows], n, safe, real)
+            back[rows[real]] += more[real]
+        of_word = of_word.reshape(self.size, -1)
         h = h[:, :-1]
         inside = self._room("inside", *h.shape)
         np.subtract(1, np.multiply(h, h, out=inside), out=inside)
@@ -302,7 +413,7 @@ class Network:
         move("by_word", every, of_word[:, :-1])
         move("word_bias", every, of_word[:, -1])
         move("inner", every, inside.T @ x)
-        move("inner_bias", every, inside.sum(axis=0))
+        move("inner_bias", every, np.ones(n, inside.dtype) @ inside)
         seen = around.T.ravel()
         touched = np.flatnonzero(np.bincount(seen, minlength=self.size + 1))
         sums = [np.bincount(seen, column, self.size + 1)[touched] for column in into]
@@ -314,19 +425,22 @@ def word_counts(df: DataFrame, text_col: str) -> DataFrame:
     rows = df.select(F.encode(text_of(text_col), "UTF-8").alias("utf8"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter = Counter()
+        held: list[pa.StringArray] = []
+        size = 0
 
         def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], names=["word", "n"])
+            words, n = pc.value_counts(pa.chunked_array(held)).flatten()
+            return pa.RecordBatch.from_arrays([words.view(pa.binary()), n], names=["word", "n"])
 
         for batch in batches:
-            for text in batch.column(0):
-                for words in word_lists(text.as_py()):
-                    held.update(words)
-                    if len(held) > KNOWN_WORDS:
-                        yield out()
-                        held.clear()
-        yield out()
+            for _, words in text_words(text.as_py() for text in batch.column(0)):
+                held.append(words)
+                size += words.nbytes
+                if size >= COUNTED:
+                    yield out()
+                    held, size = [], 0
+        if held:
+            yield out()
 
     return rows.mapInArrow(count, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -363,16 +477,16 @@ def encoded(df: DataFrame, frequent: list[bytes], spelling: Spelling, id_col: st
         known, spells = shipped.value
         numbers = Numbers(known)
         for batch in batches:
-            made, spelled = [], []
-            for text in batch.column(1):
-                parts, total = [], 0.0
-                for words in word_lists(text.as_py()):
-                    own = np.fromiter(map(numbers.__getitem__, words), "<u2", len(words))
-                    total += spells.of(list(compress(words, own >= numbers.first)))
-                    parts.append(own.tobytes())
-                made.append(b"".join(parts))
-                spelled.append(total)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary()), pa.array(spelled, pa.float64())], names=schema.names)
+            made, spelled = [], np.zeros(batch.num_rows)
+            n = np.zeros(batch.num_rows, np.int64)
+            for text, words in text_words(text.as_py() for text in batch.column(1)):
+                own, places, rare = numbers.of(words)
+                made.append(own.tobytes())
+                n += np.bincount(text, minlength=len(n))
+                spelled += spells.of_texts(rare, text[places], len(n))
+            ends = np.append(0, np.cumsum(2 * n)).astype(np.int32)
+            texts = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(ends), pa.py_buffer(b"".join(made))])
+            yield pa.RecordBatch.from_arrays([batch.column(0), texts, pa.array(spelled)], names=schema.names)
 
     return rows.mapInArrow(encode, schema)
 
@@ -412,6 +526,43 @@ def slices(data: bytes, net: Network, r: int = 0, rounds: int = 1) -> Iterator[t
         yield net.windows(own, first - start, rounds)[: len(target)], target
 
 
+def text_windows(
+    texts: Iterable[bytes], net: Network, r: int = 0, rounds: int = 1, size: int = BATCH
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The windows and numbers of one round's places in many texts, in their order, and whose each is; about ``size`` at a time."""
+    edge = np.full(net.side, net.size, "<u2").tobytes()
+
+    def joined() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        ids = np.frombuffer(edge + edge.join(held) + edge, "<u2")
+        n = np.array([len(data) // 2 for data in held])
+        start = np.cumsum(n + net.side) - n
+        first = (r + n) % rounds
+        count = np.maximum(-((first - n) // rounds), 0)
+        before = np.cumsum(count) - count
+        places = np.arange(0, rounds * count.sum(), rounds) + np.repeat(start + first - rounds * before, count)
+        around = np.empty((len(places), 2 * net.side), np.intp)
+        for k in range(2 * net.side):
+            around[:, k] = ids.take(places + (k - net.side if k < net.side else k - net.side + 1))
+        return around, ids.take(places).astype(np.intp), np.repeat(owner, count)
+
+    owner: list[int] = []
+    held: list[bytes] = []
+    words = 0
+    for k, data in enumerate(texts):
+        if words and words + len(data) // 2 > size * rounds:
+            yield joined()
+            owner, held, words = [], [], 0
+        if len(data) // 2 > size * rounds:
+            for around, target in slices(data, net, r, rounds):
+                yield around, target, np.full(len(target), k)
+        else:
+            owner.append(k)
+            held.append(data)
+            words += len(data) // 2
+    if words:
+        yield joined()
+
+
 def full_batches(parts: Iterable[tuple[np.ndarray, np.ndarray]], size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """The windows and numbers of all parts in their order, ``size`` at a time; only the last batch may hold fewer."""
     around: list[np.ndarray] = []
@@ -445,7 +596,8 @@ def trained(numbers: DataFrame, rounds: int, net: Network | None = None) -> Netw
             own = Network(**shape).load(shipped.value)
             squares = {k: np.full_like(p, 1e-4) for k, p in own.parts.items()}
             seen = 0
-            parts = (part for batch in batches for data in batch.column(0) for part in slices(data.as_py(), own, r, rounds))
+            texts = ((data.as_py() for data in batch.column(0)) for batch in batches)
+            parts = ((around, target) for own_texts in texts for around, target, _ in text_windows(own_texts, own, r, rounds))
             for around, target in full_batches(parts, BATCH):
                 own.step(around, target, squares, RATE)
                 seen += len(target)
@@ -488,28 +640,9 @@ def scored(numbers: DataFrame, net: Network, id_col: str = "id") -> DataFrame:
         for batch in batches:
             sums = batch.column(2).to_numpy().copy()
             n = np.zeros(batch.num_rows, np.int64)
-            waiting: list[tuple[np.ndarray, np.ndarray]] = []
-            owner: list[np.ndarray] = []
-            held = 0
-
-            def flush(sums: np.ndarray = sums) -> None:
-                nonlocal held
-                if held:
-                    a, t = (np.concatenate(x) for x in zip(*waiting, strict=True))
-                    sums += np.bincount(np.concatenate(owner), own.log_probability(a, t), minlength=len(sums))
-                waiting.clear()
-                owner.clear()
-                held = 0
-
-            for k, data in enumerate(batch.column(1)):
-                for a, t in slices(data.as_py(), own):
-                    waiting.append((a, t))
-                    owner.append(np.full(len(t), k))
-                    n[k] += len(t)
-                    held += len(t)
-                    if held >= 2 * BATCH:
-                        flush()
-            flush()
+            for around, target, text in text_windows((data.as_py() for data in batch.column(1)), own, size=2 * BATCH):
+                sums += np.bincount(text, own.log_probability(around, target), minlength=len(sums))
+                n += np.bincount(text, minlength=len(n))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n), pa.array(sums), pa.array(sums / np.maximum(n, 1))], names=schema.names
             )
