@@ -1,10 +1,12 @@
 from datetime import datetime, timedelta
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from ticketlake.plans import audit, loads
+from ticketlake.schemas import REQUEST_LOG
 from ticketlake.sources import archive_files
 from ticketlake.sources.keyed import bits, bucket_bitmap, bucket_of
 
@@ -165,3 +167,27 @@ def test_old_runs_are_cut_from_the_stored_log(spark, tmp_path):
     assert not (tmp_path / "tables/run_log/rows/_month=2001-03").exists()
     assert set((tmp_path / "tables/run_log/rows/_month=2001-08").iterdir()) == august  # untouched
     assert audit.cut_log(run, AS_OF, days=90) == 0
+
+
+def test_request_time_of_a_large_run_is_logged_beside_older_rows(spark, tmp_path):
+    """More than 10^8 seconds over all requests; rows of earlier runs were stored with a narrower type."""
+    run, column = new_run(spark, tmp_path), "total_api_time_seconds"
+    requests = spark.createDataFrame([("user", n, 99_999_999.25, 0) for n in range(3)], REQUEST_LOG)
+    small = spark.createDataFrame([("user", 1, 1.25, 0)], REQUEST_LOG)
+    for day, log in ((datetime(2001, 5, 1), small), (datetime(2001, 5, 5), small), (datetime(2001, 8, 1), requests)):
+        row = audit.audit_row(run, "daily", "success", day + timedelta(minutes=1), started_at=day, request_log=log)
+        audit.append_run(run, row if log is requests else row.withColumn(column, F.col(column).cast("decimal(10,2)")))
+    times = [r[column] for r in run.store.read_appended("run_log").orderBy("started_at").collect()]
+    assert times == [Decimal("1.25"), Decimal("1.25"), Decimal("299999997.75")]
+    assert audit.cut_log(run, AS_OF, days=90) == 1
+    audit.append_run(run, audit.audit_row(run, "daily", "success", datetime(2001, 5, 6), request_log=requests, started_at=datetime(2001, 5, 6)))
+    times = [r[column] for r in run.store.read_appended("run_log").orderBy("started_at").collect()]
+    assert times == [Decimal("1.25"), Decimal("299999997.75"), Decimal("299999997.75")]
+
+
+def test_a_run_with_much_request_time_succeeds(spark, data, tmp_path):
+    requests = spark.createDataFrame([("user_group", n, 99_999_999.25, n) for n in range(2)], REQUEST_LOG)
+    run = audit.run_audited(new_run(spark, tmp_path), "config", {"user_group": data.user_group}, lambda: AS_OF, requests)
+    log = run.store.read_appended("run_log").first()
+    assert (log["status"], log["total_api_time_seconds"]) == ("success", Decimal("199999998.50"))
+    assert (log["total_api_requests"], log["failed_api_requests"]) == (2, 1)

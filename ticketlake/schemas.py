@@ -179,7 +179,7 @@ TYPED_TABLES: dict[str, list[TypedField]] = {
         ("json_storage_enabled", _B, None, False, "false"),
         ("total_api_requests", _I, None, False, "0"),
         ("failed_api_requests", _I, None, False, "0"),
-        ("total_api_time_seconds", T.DecimalType(10, 2), None, False, "0"),
+        ("total_api_time_seconds", T.DecimalType(18, 2), None, False, "0"),  # over all requests of a run: 8 places are too few
         ("api_success_rate", T.DecimalType(5, 2), None, False, "0"),
         ("total_db_transactions", _I, None, False, "0"),
         ("total_records_processed", _I, None, False, "0"),

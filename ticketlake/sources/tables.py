@@ -13,9 +13,12 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ticketlake.schemas import TYPED_TABLES
 from ticketlake.session import scratch_dir
 from ticketlake.sources.commits import ATTEMPTS, CommitLog, Conflict, Folder
+from ticketlake.sources.evolution import widens
 from ticketlake.sources.keyed import KeyedTable
 
 
@@ -94,9 +97,20 @@ class TableStore:
             month = F.coalesce(F.date_format(month_of, "yyyy-MM"), F.lit("none"))
             df.withColumn("_month", month).write.mode("append").partitionBy("_month").parquet(f"{self.root}/{table}/rows")
 
+    def _appended(self, table: str) -> DataFrame:
+        """All rows of a log.  A column that was narrower when some were written has its declared type in all."""
+        path = f"{self.root}/{table}/rows"
+        rows = self.spark.read.parquet(path)
+        declared = {f.name: f.dtype for f in TYPED_TABLES.get(table, [])}
+        wider = {f.name: declared[f.name] for f in rows.schema if f.name in declared and widens(f.dataType, declared[f.name])}
+        if not wider:
+            return rows
+        fields = [T.StructField(f.name, wider.get(f.name, f.dataType)) for f in rows.schema]
+        return self.spark.read.schema(T.StructType(fields)).parquet(path)
+
     def read_appended(self, table: str) -> DataFrame | None:
         folder = Folder(self.spark, f"{self.root}/{table}/rows")
-        return self.spark.read.parquet(folder.path).drop("_month") if folder.children() else None
+        return self._appended(table).drop("_month") if folder.children() else None
 
     def cut(self, table: str, column: str, before: datetime) -> int:
         """Remove the rows of a log by month that are older than a time; returns how many.
@@ -108,7 +122,7 @@ class TableStore:
         months = {n.split("=")[1] for n in folder.children() if n.startswith("_month=")} - {"none"}
         border = before.strftime("%Y-%m")
         removed = 0
-        schema = self.spark.read.parquet(folder.path).schema if months else None
+        schema = self._appended(table).schema if months else None
         for month in sorted(m for m in months if m < border):
             removed += self.spark.read.parquet(f"{folder.path}/_month={month}").count()
             folder.delete(f"_month={month}")
